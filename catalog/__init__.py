@@ -2,4 +2,4 @@
 
 from catalog import bound  # noqa: F401 - registers the bound tables
 from catalog.engine import BOUND, QUERIES, Query, Tables  # noqa: F401
-from catalog import marts  # noqa: F401, E402 - registers queries
+from catalog import marts, operators  # noqa: F401, E402 - register queries

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from catalog.engine import QUARTER, REVENUE, YEAR, bind, case, exact, total
+from catalog.engine import QUARTER, YEAR, bind, case, cents, total
 
 STATUS_COMMODITY = {"O": "electricity", "F": "gas"}
 PRIORITY_METHOD = {"1-URGENT": 1, "2-HIGH": 2, "3-MEDIUM": 3, "5-LOW": 4}
@@ -29,17 +29,54 @@ def by_nation(names: list[str | None]) -> dict[int, str | None]:
     return {i: names[i % len(names)] for i in range(25)}
 
 
+# --- bases: the only passes over lineitem and orders most facts need --------------------------------------------
+# Money stays in whole cents (rebate in hundredths of a cent), so that sums of sums are exact.
+
+_MEASURES = f"""COUNT(*) AS n, SUM({cents('l_quantity')}) AS qty_c, SUM({cents('l_extendedprice')}) AS price_c,
+       SUM({cents('l_extendedprice')} * {cents('l_discount')}) AS rebate_c, SUM({cents('l_tax')}) AS tax_c,
+       SUM({cents('l_discount')}) AS discount_c"""
+
+bind("sales_year", f"""
+SELECT {YEAR} AS year, l_suppkey AS suppkey, p_type, l_returnflag, l_linestatus, {_MEASURES}
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey
+GROUP BY {YEAR}, l_suppkey, p_type, l_returnflag, l_linestatus
+""", shared=True)
+bind("sales_quarter", f"""
+SELECT {YEAR} AS year, {QUARTER} AS quarter, l_suppkey AS suppkey, l_returnflag, l_linestatus, {_MEASURES}
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+GROUP BY {YEAR}, {QUARTER}, l_suppkey, l_returnflag, l_linestatus
+""", shared=True)
+bind("order_groups", f"""
+SELECT {YEAR} AS year, {QUARTER} AS quarter, o_orderstatus, o_orderpriority, c_mktsegment, c_nationkey, COUNT(*) AS n,
+       SUM({cents('o_totalprice')}) AS total_c
+FROM orders JOIN customer ON o_custkey = c_custkey
+GROUP BY {YEAR}, {QUARTER}, o_orderstatus, o_orderpriority, c_mktsegment, c_nationkey
+""", shared=True)
+
+
+def dbl(expression: str) -> str:
+    return f"CAST({expression} AS DOUBLE)"
+
+
+def summed(column: str, where: str | None = None) -> str:
+    """Sum of a cents column in units."""
+    return dbl(f"SUM({column})" if where is None else f"SUM(CASE WHEN {where} THEN {column} ELSE 0 END)") + " / 100"
+
+
+NET = "(CAST(SUM(price_c) AS DOUBLE) * 100 - CAST(SUM(rebate_c) AS DOUBLE)) / 10000"
+MEAN_ORDER = "CAST(SUM(total_c) AS DOUBLE) / 100 / SUM(n) / 1000"
+COUNTED = "CAST(SUM(n) AS DOUBLE)"
+
 # --- the yearly supplier view most network facts come from -----------------------------------------------------
 
 bind("supplier_year", f"""
 SELECT y.year, y.suppkey, s.s_name AS company_name, s.s_acctbal, n.n_name, n.n_nationkey,
        {case('n.n_regionkey', REGION_SECTORS)} AS sector_code,
        y.qty, y.price, y.revenue, y.tax, y.returned, y.n_lines, y.n_returned
-FROM (SELECT {YEAR} AS year, l_suppkey AS suppkey, {total('l_quantity')} AS qty, {total('l_extendedprice')} AS price,
-             CAST(SUM({REVENUE}) AS DOUBLE) AS revenue, {total('l_tax')} AS tax,
-             {total('l_quantity', "l_returnflag = 'R'")} AS returned, COUNT(*) AS n_lines,
-             SUM(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) AS n_returned
-      FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY {YEAR}, l_suppkey) y
+FROM (SELECT year, suppkey, {summed('qty_c')} AS qty, {summed('price_c')} AS price, {NET} AS revenue,
+             {summed('tax_c')} AS tax, {summed('qty_c', "l_returnflag = 'R'")} AS returned, SUM(n) AS n_lines,
+             SUM(CASE WHEN l_returnflag = 'R' THEN n ELSE 0 END) AS n_returned
+      FROM sales_year GROUP BY year, suppkey) y
 JOIN supplier s ON s.s_suppkey = y.suppkey JOIN nation n ON n.n_nationkey = s.s_nationkey
 """)
 
@@ -125,19 +162,15 @@ SELECT f.year * 10 + 1 AS date_id, f.suppkey AS company_id, {_SECTOR_ID} AS netw
 FROM supplier_year f WHERE f.s_acctbal < 8000
 """)
 bind("core_fact_regional_gva", f"""
-SELECT {YEAR} * 10 + 1 AS date_id, CAST(s_nationkey + 1 AS BIGINT) AS geography_id,
+SELECT year * 10 + 1 AS date_id, CAST(s_nationkey + 1 AS BIGINT) AS geography_id,
        CAST({case('p_type', {k: i for i, k in enumerate(TYPE_CODES, 1)})} AS BIGINT) AS industry_id,
-       {total('l_extendedprice')} / 1000 AS gva_million_gbp
-FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN supplier ON l_suppkey = s_suppkey
-JOIN part ON l_partkey = p_partkey
-GROUP BY {YEAR}, s_nationkey, p_type
+       {summed('price_c')} / 1000 AS gva_million_gbp
+FROM sales_year JOIN supplier ON suppkey = s_suppkey GROUP BY year, s_nationkey, p_type
 """)
 bind("type_year", f"""
-SELECT {YEAR} AS year, p_type, l_returnflag, {total('l_quantity')} AS qty, {total('l_extendedprice')} AS price,
-       CAST(SUM({REVENUE}) AS DOUBLE) AS revenue, {total('l_discount')} AS discount,
-       {total('l_quantity', "l_linestatus = 'F'")} AS filled, COUNT(*) AS n
-FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey
-GROUP BY {YEAR}, p_type, l_returnflag
+SELECT year, p_type, l_returnflag, {summed('qty_c')} AS qty, {summed('price_c')} AS price, {summed('discount_c')} AS discount,
+       {summed('qty_c', "l_linestatus = 'F'")} AS filled, {dbl('SUM(n)')} AS n
+FROM sales_year GROUP BY year, p_type, l_returnflag
 """)
 _INDUSTRY = f"CAST({case('p_type', {k: i for i, k in enumerate(TYPE_CODES, 1)})} AS BIGINT)"
 bind("core_fact_energy_intensity", f"""
@@ -165,13 +198,10 @@ PRICE_METRICS = [
     "trading_volume_twh",
 ]
 bind("price_points", f"""
-SELECT {YEAR} AS year, {QUARTER} AS quarter, COALESCE({case('o_orderstatus', STATUS_COMMODITY)}, 'all') AS commodity,
-       {case('c_mktsegment', {'FURNITURE': 'churn', 'MACHINERY': 'baseload', 'BUILDING': 'peak'})} AS instrument,
-       {case('c_nationkey', by_nation(PRICE_METRICS))} AS metric_name, {total('o_totalprice')} / COUNT(*) / 1000 AS value,
-       COUNT(*) AS n
-FROM orders JOIN customer ON o_custkey = c_custkey
-GROUP BY {YEAR}, {QUARTER}, o_orderstatus, {case('c_mktsegment', {'FURNITURE': 'churn', 'MACHINERY': 'baseload', 'BUILDING': 'peak'})},
-         {case('c_nationkey', by_nation(PRICE_METRICS))}
+SELECT year, quarter, COALESCE({case('o_orderstatus', STATUS_COMMODITY)}, 'all') AS commodity, {case('c_mktsegment', {'FURNITURE': 'churn', 'MACHINERY': 'baseload', 'BUILDING': 'peak'})} AS instrument,
+       {case('c_nationkey', by_nation(PRICE_METRICS))} AS metric_name, {MEAN_ORDER} AS value
+FROM order_groups
+GROUP BY year, quarter, o_orderstatus, {case('c_mktsegment', {'FURNITURE': 'churn', 'MACHINERY': 'baseload', 'BUILDING': 'peak'})}, {case('c_nationkey', by_nation(PRICE_METRICS))}
 """)
 bind("core_fact_market_prices", """
 SELECT year * 10 + 1 AS date_id, CAST(0 AS BIGINT) AS geography_id, year, commodity, COALESCE(instrument, 'spot') AS instrument,
@@ -199,29 +229,28 @@ FROM events
 
 # --- retail facts ----------------------------------------------------------------------------------------------
 
-_Q_ID = f"{YEAR} * 100 + {QUARTER}"
+_Q_ID = "year * 100 + quarter"
 
 bind("core_fact_supplier_financial", f"""
-SELECT {_Q_ID} AS date_id, NULLIF(l_suppkey, 0) AS supplier_id,
+SELECT {_Q_ID} AS date_id, NULLIF(suppkey, 0) AS supplier_id,
        {case('l_returnflag', {'A': 'domestic', 'N': 'non_domestic', 'R': 'generation'})} AS segment,
        {case('l_linestatus', {'F': 'profit_million_gbp', 'O': 'pretax_domestic_margin_pct'})} AS metric_name,
-       CAST(SUM({REVENUE}) AS DOUBLE) / 10000 AS value, 'm' AS unit, 'profit.csv' AS source_file
-FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY {_Q_ID}, l_suppkey, l_returnflag, l_linestatus
+       {NET} / 10000 AS value, 'm' AS unit, 'profit.csv' AS source_file
+FROM sales_quarter GROUP BY year, quarter, suppkey, l_returnflag, l_linestatus
 """)
 bind("core_fact_market_structure", f"""
 SELECT {_Q_ID} AS date_id, {case('o_orderstatus', {**STATUS_COMMODITY, 'P': 'all'})} AS commodity,
        {case('o_orderpriority', {'1-URGENT': 'supplier_entries', '2-HIGH': 'supplier_exits', '3-MEDIUM': 'active_suppliers', '4-NOT SPECIFIED': 'continuing_active', '5-LOW': 'other'})} AS metric_name,
-       CAST(COUNT(*) AS DOUBLE) AS value, 'count' AS unit, 'structure.csv' AS source_file
-FROM orders WHERE NOT (o_orderstatus = 'F' AND quarter(o_orderdate) = 2)
-GROUP BY {_Q_ID}, o_orderstatus, o_orderpriority
+       {COUNTED} AS value, 'count' AS unit, 'structure.csv' AS source_file
+FROM order_groups WHERE NOT (o_orderstatus = 'F' AND quarter = 2)
+GROUP BY year, quarter, o_orderstatus, o_orderpriority
 """)
 bind("core_fact_market_share_retail", f"""
 SELECT p.date_id, p.commodity, p.supplier_id, 'domestic' AS segment, 100 * p.price / t.price AS share_pct, 'share.csv' AS source_file
-FROM (SELECT {_Q_ID} AS date_id, {case('l_linestatus', STATUS_COMMODITY)} AS commodity, l_suppkey AS supplier_id,
-             {total('l_extendedprice')} AS price
-      FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY {_Q_ID}, l_linestatus, l_suppkey) p
-JOIN (SELECT {_Q_ID} AS date_id, {case('l_linestatus', STATUS_COMMODITY)} AS commodity, {total('l_extendedprice')} AS price
-      FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY {_Q_ID}, l_linestatus) t
+FROM (SELECT {_Q_ID} AS date_id, {case('l_linestatus', STATUS_COMMODITY)} AS commodity, suppkey AS supplier_id,
+             {summed('price_c')} AS price FROM sales_quarter GROUP BY year, quarter, l_linestatus, suppkey) p
+JOIN (SELECT {_Q_ID} AS date_id, {case('l_linestatus', STATUS_COMMODITY)} AS commodity, {summed('price_c')} AS price
+      FROM sales_quarter GROUP BY year, quarter, l_linestatus) t
   ON t.date_id = p.date_id AND t.commodity = p.commodity
 """)
 DEBT_METRICS = [
@@ -238,10 +267,8 @@ SELECT {_Q_ID} AS date_id, {case('o_orderstatus', STATUS_COMMODITY)} AS commodit
        CASE WHEN c_mktsegment = 'MACHINERY' THEN CAST(1 AS BIGINT) END AS supplier_id,
        CASE WHEN c_nationkey IN ({_CREDIT_NATIONS}) THEN 'credit_balance'
             ELSE {case('c_mktsegment', {'FURNITURE': 'debt', 'BUILDING': 'arrears', 'HOUSEHOLD': 'debt_plus_arrears'})} END AS component,
-       {case('c_nationkey', by_nation(DEBT_METRICS))} AS metric_name, {total('o_totalprice')} / COUNT(*) / 1000 AS value
-FROM orders JOIN customer ON o_custkey = c_custkey
-WHERE NOT (o_orderstatus = 'O' AND year(o_orderdate) = 1996)
-GROUP BY {_Q_ID}, o_orderstatus, o_orderpriority, c_mktsegment, c_nationkey
+       {case('c_nationkey', by_nation(DEBT_METRICS))} AS metric_name, {dbl('total_c')} / 100 / n / 1000 AS value
+FROM order_groups WHERE NOT (o_orderstatus = 'O' AND year = 1996)
 """)
 CUT_METRICS = [
     "disconnections_for_debt", "smart_ppm_self_disconnect_events", "smart_ppm_self_disconnect_customers",
@@ -250,14 +277,12 @@ CUT_METRICS = [
 bind("core_fact_consumer_disconnections", f"""
 SELECT {_Q_ID} AS date_id, {case('o_orderstatus', STATUS_COMMODITY)} AS commodity,
        CAST({case('o_orderpriority', PRIORITY_METHOD)} AS BIGINT) AS payment_method_id, CAST(NULL AS BIGINT) AS supplier_id,
-       {case('c_nationkey', by_nation(CUT_METRICS))} AS metric_name, CAST(COUNT(*) AS DOUBLE) AS value
-FROM orders JOIN customer ON o_custkey = c_custkey
-WHERE NOT (o_orderstatus = 'F' AND year(o_orderdate) = 1997)
-GROUP BY {_Q_ID}, o_orderstatus, o_orderpriority, {case('c_nationkey', by_nation(CUT_METRICS))}
+       {case('c_nationkey', by_nation(CUT_METRICS))} AS metric_name, {COUNTED} AS value
+FROM order_groups WHERE NOT (o_orderstatus = 'F' AND year = 1997)
+GROUP BY year, quarter, o_orderstatus, o_orderpriority, {case('c_nationkey', by_nation(CUT_METRICS))}
 UNION ALL
-SELECT {YEAR} * 10 + 1, {case('l_linestatus', STATUS_COMMODITY)}, CAST(NULL AS BIGINT), l_suppkey, 'disconnections_for_debt',
-       CAST(COUNT(*) AS DOUBLE)
-FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_returnflag = 'R' GROUP BY {YEAR}, l_linestatus, l_suppkey
+SELECT year * 10 + 1, {case('l_linestatus', STATUS_COMMODITY)}, CAST(NULL AS BIGINT), suppkey, 'disconnections_for_debt', {COUNTED}
+FROM sales_quarter WHERE l_returnflag = 'R' GROUP BY year, l_linestatus, suppkey
 """)
 SWITCH_METRICS = [
     "avg_switching_time_days", "total_switches", "switches_to_other_suppliers", "net_gains_other_suppliers",
@@ -266,19 +291,17 @@ SWITCH_METRICS = [
 bind("core_fact_switching_activity", f"""
 SELECT {_Q_ID} AS date_id, {case('o_orderstatus', STATUS_COMMODITY)} AS commodity,
        CAST({case('c_mktsegment', {'FURNITURE': 1, 'BUILDING': 2})} AS BIGINT) AS supplier_size_id,
-       {case('c_nationkey', by_nation(SWITCH_METRICS))} AS metric_name, CAST(COUNT(*) AS DOUBLE) AS value
-FROM orders JOIN customer ON o_custkey = c_custkey
-WHERE NOT (o_orderstatus = 'O' AND year(o_orderdate) = 1998)
-GROUP BY {_Q_ID}, o_orderstatus, {case('c_mktsegment', {'FURNITURE': 1, 'BUILDING': 2})}, {case('c_nationkey', by_nation(SWITCH_METRICS))}
+       {case('c_nationkey', by_nation(SWITCH_METRICS))} AS metric_name, {COUNTED} AS value
+FROM order_groups WHERE NOT (o_orderstatus = 'O' AND year = 1998)
+GROUP BY year, quarter, o_orderstatus, {case('c_mktsegment', {'FURNITURE': 1, 'BUILDING': 2})}, {case('c_nationkey', by_nation(SWITCH_METRICS))}
 """)
 bind("core_fact_tariff_benchmarks", f"""
 SELECT {_Q_ID} AS date_id, {case('o_orderstatus', STATUS_COMMODITY)} AS commodity, c_mktsegment AS supplier_group,
        CAST({case('o_orderpriority', PRIORITY_METHOD)} AS BIGINT) AS payment_method_id,
        {case('c_nationkey', by_nation(['fixed', 'variable', None]))} AS tariff_type,
        {case('c_nationkey', by_nation(['cheapest_tariff_gbp_per_year', 'tariff_price_gbp_per_year', 'power_price_forward_delivery', 'tariff_price_gbp_per_year']))} AS metric_name,
-       {total('o_totalprice')} / COUNT(*) / 1000 AS value
-FROM orders JOIN customer ON o_custkey = c_custkey
-GROUP BY {_Q_ID}, o_orderstatus, c_mktsegment, o_orderpriority, c_nationkey
+       {dbl('total_c')} / 100 / n / 1000 AS value
+FROM order_groups
 """)
 CAP_PARTS = ["wholesale", "network", "policy", "operating", "vat", "ebit", "total"]
 bind("core_fact_bill_breakdown", f"""
@@ -286,44 +309,41 @@ SELECT {_Q_ID} AS date_id, {case('o_orderstatus', STATUS_COMMODITY)} AS commodit
        CAST({case('o_orderpriority', PRIORITY_METHOD)} AS BIGINT) AS payment_method_id,
        {case('c_nationkey', by_nation(CAP_PARTS))} AS component,
        CASE WHEN c_mktsegment = 'MACHINERY' THEN 'bill_component_gbp' ELSE 'price_cap_component_gbp' END AS metric_name,
-       {total('o_totalprice')} / COUNT(*) / 1000 AS value
-FROM orders JOIN customer ON o_custkey = c_custkey
-GROUP BY {_Q_ID}, o_orderstatus, o_orderpriority, c_mktsegment, c_nationkey
+       {dbl('total_c')} / 100 / n / 1000 AS value
+FROM order_groups
 """)
 bind("core_fact_household_spend", f"""
-SELECT {YEAR} * 10 + 1 AS date_id, c_mktsegment AS segment, {total('o_totalprice')} / COUNT(*) / 100000 AS value_pct
-FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY {YEAR}, c_mktsegment
+SELECT year * 10 + 1 AS date_id, c_mktsegment AS segment, {MEAN_ORDER} / 100 AS value_pct
+FROM order_groups GROUP BY year, c_mktsegment
 """)
 bind("core_fact_complaints_resolution", f"""
-SELECT {_Q_ID} AS date_id, NULLIF(l_suppkey, 0) AS supplier_id,
+SELECT {_Q_ID} AS date_id, NULLIF(suppkey, 0) AS supplier_id,
        CAST({case('l_linestatus', {'F': 1})} AS BIGINT) AS supplier_size_id,
        {case('l_returnflag', {'A': 'complaints_received_per_100k', 'N': 'complaints_resolved_next_day_pct', 'R': 'complaints_resolved_8w_pct'})} AS metric_name,
-       {total('l_quantity')} / COUNT(*) AS value, 'rate' AS unit, 'complaints.csv' AS source_file
-FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-WHERE year(o_orderdate) < 2001 GROUP BY {_Q_ID}, l_suppkey, l_linestatus, l_returnflag
+       {summed('qty_c')} / SUM(n) AS value, 'rate' AS unit, 'complaints.csv' AS source_file
+FROM sales_quarter WHERE year < 2001 GROUP BY year, quarter, suppkey, l_linestatus, l_returnflag
 UNION ALL
-SELECT {YEAR} * 10 + 1, l_suppkey, CAST(NULL AS BIGINT),
+SELECT year * 10 + 1, suppkey, CAST(NULL AS BIGINT),
        {case('l_returnflag', {'A': 'minor_incidents_current', 'N': 'major_incidents_current', 'R': 'minor_incidents_historical'})},
-       CAST(COUNT(*) AS DOUBLE), 'count', 'incidents.csv'
-FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_linestatus = 'O' GROUP BY {YEAR}, l_suppkey, l_returnflag
+       {COUNTED}, 'count', 'incidents.csv'
+FROM sales_quarter WHERE l_linestatus = 'O' GROUP BY year, suppkey, l_returnflag
 """)
 bind("core_fact_satisfaction_scores", f"""
-SELECT {_Q_ID} AS date_id, l_suppkey AS supplier_id, CAST({case('l_linestatus', {'F': 2})} AS BIGINT) AS supplier_size_id,
+SELECT {_Q_ID} AS date_id, suppkey AS supplier_id, CAST({case('l_linestatus', {'F': 2})} AS BIGINT) AS supplier_size_id,
        {case('l_linestatus', STATUS_COMMODITY)} AS commodity, {case('l_returnflag', {'A': 'billing'})} AS aspect,
        {case('l_returnflag', {'A': 'satisfaction_pct', 'N': 'satisfaction_overall_pct', 'R': 'nps_score'})} AS metric_name,
-       {total('l_tax')} * 100 / COUNT(*) AS value, 'pct' AS unit, 'satisfaction.csv' AS source_file
-FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-WHERE year(o_orderdate) > 1995 GROUP BY {_Q_ID}, l_suppkey, l_linestatus, l_returnflag
+       {dbl('SUM(tax_c)')} / SUM(n) AS value, 'pct' AS unit, 'satisfaction.csv' AS source_file
+FROM sales_quarter WHERE year > 1995 GROUP BY year, quarter, suppkey, l_linestatus, l_returnflag
 """)
 bind("core_fact_customer_accounts_retail", f"""
-SELECT {YEAR} * 10 + 1 AS date_id, l_suppkey AS supplier_id, {case('l_linestatus', STATUS_COMMODITY)} AS commodity,
+SELECT year * 10 + 1 AS date_id, suppkey AS supplier_id, {case('l_linestatus', STATUS_COMMODITY)} AS commodity,
        'domestic' AS segment, {case('l_returnflag', {'A': 'fixed', 'N': 'variable'})} AS tariff_type,
-       CAST(COUNT(*) AS DOUBLE) AS value, 'accounts' AS unit
-FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY {YEAR}, l_suppkey, l_linestatus, l_returnflag
+       {COUNTED} AS value, 'accounts' AS unit
+FROM sales_quarter GROUP BY year, suppkey, l_linestatus, l_returnflag
 """)
 bind("core_fact_heating_systems", f"""
-SELECT {_Q_ID} AS date_id, o_orderpriority AS component, CAST(COUNT(*) AS DOUBLE) AS value, 'count' AS unit
-FROM orders GROUP BY {_Q_ID}, o_orderpriority
+SELECT {_Q_ID} AS date_id, o_orderpriority AS component, {COUNTED} AS value, 'count' AS unit
+FROM order_groups GROUP BY year, quarter, o_orderpriority
 """)
 
 # --- renewables, discount scheme, schemes, statistics ----------------------------------------------------------
@@ -338,7 +358,7 @@ SELECT CASE WHEN l_linestatus = 'F' THEN make_date({YEAR}, ({QUARTER} - 1) * 3 +
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey
 JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
 GROUP BY {YEAR}, {QUARTER}, p_type, l_returnflag, l_linestatus, s_nationkey, n_name
-""")
+""", shared=True)
 _MEAN = "SUM(value) / COUNT(*) AS value, MAX(unit) AS unit, MAX(source_file) AS source_file"
 bind("stg_renewables_capacity", f"""
 SELECT year, technology, metric_name, {_MEAN} FROM raw_renewables
@@ -360,14 +380,14 @@ WHERE quarter IS NULL AND region IS NULL AND installation_type IS NOT NULL AND m
 GROUP BY year, installation_type, technology, metric_name
 """)
 bind("raw_whd", f"""
-SELECT {YEAR} - 1994 AS scheme_year, {YEAR} AS calendar_year,
+SELECT year - 1994 AS scheme_year, year AS calendar_year,
        CASE WHEN o_orderstatus = 'P' THEN {case('c_nationkey', by_nation(['England', 'Scotland', 'Wales']))} END AS nation,
        CASE WHEN o_orderstatus <> 'P' THEN 'Supplier#' || substr('000000000' || CAST(c_nationkey AS STRING), length(CAST(c_nationkey AS STRING)) + 1, 9) END AS supplier_name,
        CASE WHEN o_orderstatus = 'O' THEN c_mktsegment END AS obligation_method,
        CASE WHEN o_orderstatus = 'P' THEN {case('c_mktsegment', {'FURNITURE': 'expenditure_pct', 'BUILDING': 'scheme_value_mgbp'}, "'other'")}
             ELSE {case('c_mktsegment', {'FURNITURE': 'obligation_amount_mgbp', 'BUILDING': 'redistributed_mgbp', 'HOUSEHOLD': 'obligation_amount_mgbp'}, "'other'")} END AS metric_name,
-       {total('o_totalprice')} / 1000 AS value, 'mgbp' AS unit, 'whd_' || c_mktsegment AS source_file
-FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY {YEAR}, o_orderstatus, c_nationkey, c_mktsegment
+       {summed('total_c')} / 1000 AS value, 'mgbp' AS unit, 'whd_' || c_mktsegment AS source_file
+FROM order_groups GROUP BY year, o_orderstatus, c_nationkey, c_mktsegment
 """)
 bind("stg_whd_scheme_year", f"""
 SELECT scheme_year, calendar_year, nation, metric_name, {_MEAN} FROM raw_whd
@@ -407,7 +427,7 @@ FROM events
 """)
 bind("core_fact_scheme_metric", """
 SELECT period_date, period_label, year AS calendar_year, month AS calendar_month, quarter, scheme_key, entity, metric_name,
-       CAST(SUM(CAST(value AS DECIMAL(12,2))) AS DOUBLE) / COUNT(*) AS value, MIN(unit) AS unit, MIN(source_file) AS source_file
+       SUM(value) / COUNT(*) AS value, MIN(unit) AS unit, MIN(source_file) AS source_file
 FROM raw_scheme_metric GROUP BY period_date, period_label, year, month, quarter, scheme_key, entity, metric_name
 """)
 bind("stg_digest", f"""

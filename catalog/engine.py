@@ -8,23 +8,34 @@ library on them; its check SQL states the expected result over the same bound ta
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from metricmart.session import shared_dir
+from metricmart.sources.sinks import Stage
+
 DRIVER_TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
     "pages", "benchmark", "labels", "conversations",
 ]
 
 BOUND: dict[str, str] = {}
+SHARED: set[str] = set()
+
 
+def bind(name: str, sql: str, shared: bool = False) -> None:
+    """Register a bound table.
 
-def bind(name: str, sql: str) -> None:
-    """Register a bound table."""
+    A ``shared`` one feeds several tables of the same query. It reduces a large join to few rows, so each query stores
+    it once in the cluster's shared folder instead of running the join once per reader.
+    """
     BOUND[name] = sql
+    if shared:
+        SHARED.add(name)
 
 
 def _mentions(sql: str) -> list[str]:
@@ -40,6 +51,7 @@ class Tables(Mapping[str, DataFrame]):
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
         self._built: dict[str, DataFrame] = {}
+        self._run = f"query-{uuid.uuid4().hex}"
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._built:
@@ -49,8 +61,13 @@ class Tables(Mapping[str, DataFrame]):
     def _build(self, name: str) -> DataFrame:
         if name in DRIVER_TABLES:
             return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
-        sql = BOUND[name]
-        return self.sql(sql)
+        df = self.sql(BOUND[name])
+        return self.store(name, df) if name in SHARED else df
+
+    def store(self, name: str, df: DataFrame) -> DataFrame:
+        """Write a table to the shared folder and read it back, with exact statistics and no lineage."""
+        base = shared_dir(self.spark, fallback="/tmp/metricmart-shared")
+        return Stage(self.spark, f"{base}/metricmart", self._run).write(name, df)
 
     def sql(self, text: str) -> DataFrame:
         """A SQL text over driver and bound tables."""
@@ -134,17 +151,17 @@ def case(column: str, mapping: Mapping[object, object], other: str = "NULL") ->
     return f"CASE {column} {arms} ELSE {other} END"
 
 
-def exact(column: str) -> str:
-    """A money or quantity column as an exact decimal."""
-    return f"CAST({column} AS DECIMAL(12,2))"
+def cents(column: str) -> str:
+    """A money or quantity column as whole hundredths. Integer sums are exact in any order, and far cheaper than
+    decimal sums."""
+    return f"CAST(FLOOR({column} * 100 + 0.5) AS BIGINT)"
 
 
 def total(column: str, where: str | None = None) -> str:
     """Exact sum as a double."""
-    value = exact(column) if where is None else f"CASE WHEN {where} THEN {exact(column)} ELSE 0 END"
-    return f"CAST(SUM({value}) AS DOUBLE)"
+    value = cents(column) if where is None else f"CASE WHEN {where} THEN {cents(column)} ELSE 0 END"
+    return f"CAST(SUM({value}) AS DOUBLE) / 100"
 
 
-REVENUE = f"{exact('l_extendedprice')} * (1 - CAST(l_discount AS DECIMAL(4,2)))"
 YEAR = "CAST(year(o_orderdate) AS INT)"
 QUARTER = "CAST(quarter(o_orderdate) AS INT)"

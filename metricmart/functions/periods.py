@@ -26,15 +26,8 @@ def _int(text: Column) -> Column:
     return text.try_cast("int")
 
 
-def _quarter_of_month(month: Column) -> Column:
-    return F.floor((month - 1) / 3).cast("int") + 1
-
-
 def _year_quarter(year: Column, quarter: Column) -> Column:
-    known = year.isNotNull() & quarter.isNotNull()
-    return F.when(known, F.struct(year.cast("int").alias("year"), quarter.cast("int").alias("quarter"))).cast(
-        YEAR_QUARTER_TYPE
-    )
+    return F.struct(year.cast("int").alias("year"), quarter.cast("int").alias("quarter"))
 
 
 def _month_number(text: Column) -> Column:
@@ -44,29 +37,27 @@ def _month_number(text: Column) -> Column:
 
 
 def _end_year(first: Column, second: Column) -> Column:
-    """End year of a span like 2013-14, 1999-00 or 2013-2014."""
-    century = (F.floor(first / 100) * 100).cast("int")
-    short = century + _int(second)
-    rolled = F.when(short < first, short + 100).otherwise(short)
-    return F.when(F.length(second) == 2, rolled).otherwise(_int(second))
+    """End year of a span like 2013-14, 1999-00 or 2013-2014: the next year with these last two digits."""
+    return first + F.pmod(second - first, F.lit(100))
 
 
 def label_year(col: Column) -> Column:
     """Calendar year of a label: the end year of a span, else the first four-digit number."""
     text = F.trim(col.cast("string"))
     span = r"(\d{4})\s*[-/\s]\s*(\d{2,4})"
-    return F.coalesce(_end_year(_int(_part(text, span, 1)), _part(text, span, 2)), _int(_part(text, r"(\d{4})", 1)))
+    end = _end_year(_int(_part(text, span, 1)), _int(_part(text, span, 2)))
+    return F.coalesce(end, _int(_part(text, r"(\d{4})", 1)))
 
 
 def year_quarter(col: Column) -> Column:
-    """(year, quarter) of ``Q1 2013``, ``2013 Q1`` or ``Quarter 1 2013``; NULL otherwise."""
+    """(year, quarter) of ``Q1 2013``, ``2013 Q1`` or ``Quarter 1 2013``; NULL fields otherwise.
+
+    The token is first brought into the form ``2013 Q1``; the pattern that accepts it also checks the ranges.
+    """
     text = F.trim(col.cast("string"))
-    lead = r"(?i)^(?:Q|Quarter\s+)(\d)\s+(\d{4})$"
-    trail = r"(?i)^(\d{4})\s+Q(\d)$"
-    quarter = _int(F.coalesce(_part(text, lead, 1), _part(text, trail, 2)))
-    year = _int(F.coalesce(_part(text, lead, 2), _part(text, trail, 1)))
-    valid = quarter.between(1, 4) & year.between(1900, 2100)
-    return _year_quarter(F.when(valid, year), F.when(valid, quarter))
+    turned = F.regexp_replace(text, r"(?i)^(?:Q|Quarter\s+)(\d)\s+(\d{4})$", "$2 Q$1")
+    pattern = r"(?i)^(19\d\d|20\d\d|2100)\s+Q([1-4])$"
+    return _year_quarter(_int(_part(turned, pattern, 1)), _int(_part(turned, pattern, 2)))
 
 
 def date_quarter(col: Column) -> Column:
@@ -79,12 +70,10 @@ def half_year(col: Column) -> Column:
     text = F.trim(col.cast("string"))
     winter = r"(?i)^(\d{4})\s*/\s*(\d{2,4})\s+winter\s*\*?$"
     summer = r"(?i)^(\d{4})\s+summer\s*\*?$"
-    winter_year = _end_year(_int(_part(text, winter, 1)), _part(text, winter, 2))
-    summer_year = _int(_part(text, summer, 1))
-    return _year_quarter(
-        F.coalesce(winter_year, summer_year),
-        F.when(winter_year.isNotNull(), F.lit(1)).when(summer_year.isNotNull(), F.lit(3)),
+    year = F.coalesce(
+        _end_year(_int(_part(text, winter, 1)), _int(_part(text, winter, 2))), _int(_part(text, summer, 1))
     )
+    return _year_quarter(year, F.when(text.rlike(winter), F.lit(1)).when(text.rlike(summer), F.lit(3)))
 
 
 def bracket_quarter(col: Column) -> Column:
@@ -104,11 +93,8 @@ def _first_of_quarter(yq: Column) -> Column:
 
 def _short_month_date(text: Column, pivot: int) -> Column:
     """First day of the month of ``Apr-15``; two-digit years from ``pivot`` on belong to the 1900s."""
-    pattern = r"^([A-Za-z]{3})-(\d{2})$"
-    month = _month_number(_part(text, pattern, 1))
-    yy = _int(_part(text, pattern, 2))
-    year = F.when(yy < pivot, yy + 2000).otherwise(yy + 1900)
-    return F.when(month.isNotNull() & yy.isNotNull(), F.make_date(year, month, F.lit(1)))
+    date = _date(F.initcap(text), "MMM-yy")  # reads 00..99 as 2000..2099
+    return F.when(F.year(date) >= 2000 + pivot, F.add_months(date, -1200)).otherwise(date)
 
 
 # Date patterns tried in order for each format hint.
@@ -190,7 +176,8 @@ def month_of_obligation(month: Column, obligation: Column) -> Column:
     """(calendar year, quarter) of a month within an April-to-March obligation period."""
     start = obligation_start_year(obligation)
     number = _month_number(month)
-    return _year_quarter(F.when(number >= 4, start).otherwise(start + 1), _quarter_of_month(number))
+    year = start + (number < 4).cast("int")
+    return _year_quarter(year, F.when(start.isNotNull(), F.ceil(number / 3)))
 
 
 def short_month_quarter(col: Column) -> Column:

@@ -82,6 +82,13 @@ def exact_quantiles(
     return picked.select(*keys, *[interpolated(n, p) for n, p in quantiles.items()])
 
 
+def column_quantiles(df: DataFrame, columns: Sequence[str], quantiles: Mapping[str, float]) -> DataFrame:
+    """Exact percentiles of several columns, one row per column: the columns become groups of one long table."""
+    values = [F.col(f"`{c}`").cast("double").alias(c) for c in columns]
+    long = df.select(*values).unpivot([], list(columns), "column_name", "value")
+    return exact_quantiles(long, ["column_name"], "value", quantiles)
+
+
 def _join_on(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     renamed = right.withColumnsRenamed({k: f"_g_{k}" for k in keys})
     condition = reduce(lambda a, b: a & b, [left[k].eqNullSafe(renamed[f"_g_{k}"]) for k in keys])

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from metricmart.operators.quantiles import exact_quantiles
+from metricmart.operators.quantiles import column_quantiles
 
 
 def top_n(df: DataFrame, by: str, n: int, ties: Sequence[str] = ()) -> DataFrame:
@@ -29,33 +29,44 @@ def leaderboard(df: DataFrame, label: str, value: str, n: int = 20) -> DataFrame
     return best.withColumn("rank", F.row_number().over(order))
 
 
-def z_score(df: DataFrame, column: str) -> Column:
-    """Standard score with the population deviation; 0 when the column has fewer than two distinct values."""
+def z_scores(df: DataFrame, columns: Sequence[str]) -> dict[str, Column]:
+    """Standard scores with the population deviation; 0 for a column with fewer than two distinct values.
+
+    The statistics of all columns come from one aggregation, as a scalar subquery.
+    """
     facts = df.agg(
         F.struct(
-            F.avg(column).alias("mean"),
-            F.stddev_pop(column).alias("sd"),
-            (F.min(column) < F.max(column)).alias("varies"),
+            *[
+                F.struct(
+                    F.avg(c).alias("mean"), F.stddev_pop(c).alias("sd"), (F.min(c) < F.max(c)).alias("varies")
+                ).alias(c)
+                for c in columns
+            ]
         )
     ).scalar()
-    score = F.try_divide(F.col(column) - facts.getField("mean"), facts.getField("sd"))
-    return F.when(F.coalesce(facts.getField("varies"), F.lit(False)), score).otherwise(F.lit(0.0))
+    scores = {}
+    for c in columns:
+        fact = facts.getField(c)
+        score = F.try_divide(F.col(c) - fact.getField("mean"), fact.getField("sd"))
+        scores[c] = F.when(F.coalesce(fact.getField("varies"), F.lit(False)), score).otherwise(F.lit(0.0))
+    return scores
 
 
 def composite_score(df: DataFrame, weights: Mapping[str, float], name: str = "score") -> DataFrame:
     """Add the weighted sum of standard scores."""
+    scores = z_scores(df, list(weights))
     total = F.lit(0.0)
     for column, weight in weights.items():
-        total = total + z_score(df, column) * F.lit(float(weight))
+        total = total + scores[column] * F.lit(float(weight))
     return df.withColumn(name, total)
 
 
 def median_filled(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Fill gaps of each column with its exact median."""
-    for column in columns:
-        median = exact_quantiles(df, [], column, {"m": 0.5}).select("m").scalar()
-        df = df.withColumn(column, F.coalesce(F.col(column).cast("double"), median))
-    return df
+    medians = column_quantiles(df, columns, {"m": 0.5})
+    picked = [F.max(F.when(F.col("column_name") == c, F.col("m"))).alias(c) for c in columns]
+    facts = medians.agg(F.struct(*picked)).scalar()
+    return df.withColumns({c: F.coalesce(F.col(c).cast("double"), facts.getField(c)) for c in columns})
 
 
 def sorted_by_case(df: DataFrame, column: str, order: Sequence[str], *then: str) -> DataFrame:

@@ -8,7 +8,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from metricmart.operators.quantiles import exact_quantiles
+from metricmart.operators.quantiles import column_quantiles
 
 
 def simple_fit(df: DataFrame, x: str, y: str, keys: Sequence[str] = ()) -> DataFrame:
@@ -117,17 +117,13 @@ def missing_counts(df: DataFrame) -> DataFrame:
 
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Count, mean, sample deviation, range and quartiles of each column, one row per column."""
-    rows = None
-    for c in columns:
-        quartiles = exact_quantiles(df, [], c, {"q25": 0.25, "q50": 0.5, "q75": 0.75}).select(
-            F.struct("q25", "q50", "q75")
-        ).scalar()
-        one = df.agg(
-            F.lit(c).alias("column_name"), F.count(c).alias("n"), F.avg(c).alias("mean"), F.stddev(c).alias("sd"),
-            F.min(c).cast("double").alias("low"), F.max(c).cast("double").alias("high"),
-        ).withColumns({q: quartiles.getField(q) for q in ("q25", "q50", "q75")})
-        rows = one if rows is None else rows.unionByName(one)
-    return rows
+    values = [F.col(f"`{c}`").cast("double").alias(c) for c in columns]
+    long = df.select(*values).unpivot([], list(columns), "column_name", "value")
+    moments = long.groupBy("column_name").agg(
+        F.count("value").alias("n"), F.avg("value").alias("mean"), F.stddev("value").alias("sd"),
+        F.min("value").alias("low"), F.max("value").alias("high"),
+    )
+    return moments.join(column_quantiles(df, columns, {"q25": 0.25, "q50": 0.5, "q75": 0.75}), "column_name", "left")
 
 
 def histogram(df: DataFrame, column: str, bins: int = 15) -> DataFrame:
@@ -148,20 +144,16 @@ def histogram(df: DataFrame, column: str, bins: int = 15) -> DataFrame:
 
 def box_plot(df: DataFrame, columns: Sequence[str], whisker: float = 1.5) -> DataFrame:
     """Quartiles, fences and the number of values outside the fences, one row per column."""
-    rows = None
-    for c in columns:
-        quartiles = exact_quantiles(df, [], c, {"q1": 0.25, "median": 0.5, "q3": 0.75}).select(
-            F.struct("q1", "median", "q3").alias("q")
-        ).scalar()
-        q1, q3 = quartiles.getField("q1"), quartiles.getField("q3")
-        low, high = q1 - whisker * (q3 - q1), q3 + whisker * (q3 - q1)
-        outside = df.agg(F.count_if((F.col(c) < low) | (F.col(c) > high)).alias("outliers"))
-        one = outside.select(
-            F.lit(c).alias("column_name"), q1.alias("q1"), quartiles.getField("median").alias("median"),
-            q3.alias("q3"), low.alias("low_fence"), high.alias("high_fence"), "outliers",
-        )
-        rows = one if rows is None else rows.unionByName(one)
-    return rows
+    boxes = column_quantiles(df, columns, {"q1": 0.25, "median": 0.5, "q3": 0.75})
+    spread = F.col("q3") - F.col("q1")
+    boxes = boxes.withColumns(
+        {"low_fence": F.col("q1") - whisker * spread, "high_fence": F.col("q3") + whisker * spread}
+    )
+    values = [F.col(f"`{c}`").cast("double").alias(c) for c in columns]
+    long = df.select(*values).unpivot([], list(columns), "column_name", "value")
+    outside = (F.col("value") < F.col("low_fence")) | (F.col("value") > F.col("high_fence"))
+    counts = long.join(boxes, "column_name").groupBy("column_name").agg(F.count_if(outside).alias("outliers"))
+    return boxes.join(counts, "column_name")
 
 
 def correlation_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:

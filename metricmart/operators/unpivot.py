@@ -19,7 +19,7 @@ from metricmart.functions import periods as P
 from metricmart.functions.numeric import bracket_number, lenient_number, marked_number, ratio
 from metricmart.operators.conform import last_per_key
 from metricmart.operators.filters import conform
-from metricmart.operators.quantiles import exact_quantiles
+from metricmart.operators.quantiles import column_quantiles
 from metricmart.plans import shapes
 from metricmart.sources.literals import literal_table
 
@@ -651,13 +651,13 @@ def _find_column(columns: Sequence[str], tokens: Sequence[str]) -> str | None:
     return next((c for c in columns if any(t in c.lower() for t in tokens)), None)
 
 
-def _as_fractions(df: DataFrame, columns: Sequence[str], threshold: float = 1.5) -> DataFrame:
+def as_fractions(df: DataFrame, columns: Sequence[str], threshold: float = 1.5) -> DataFrame:
     """Percent columns as fractions: a column whose 95th percentile exceeds 1.5 is divided by 100."""
-    for column in columns:
-        p95 = exact_quantiles(df, [], column, {"p": 0.95}).select("p").scalar()
-        scale = F.when(F.coalesce(p95, F.lit(0.0)) > threshold, F.lit(100.0)).otherwise(F.lit(1.0))
-        df = df.withColumn(column, F.col(column) / scale)
-    return df
+    tops = column_quantiles(df, columns, {"p95": 0.95})
+    picked = [F.max(F.when(F.col("column_name") == c, F.col("p95"))).alias(c) for c in columns]
+    facts = tops.agg(F.struct(*picked)).scalar()
+    scale = {c: F.when(facts.getField(c) > threshold, F.lit(100.0)).otherwise(F.lit(1.0)) for c in columns}
+    return df.withColumns({c: F.col(c) / scale[c] for c in columns})
 
 
 def _section_codes(df: DataFrame, column: str, sections: DataFrame) -> DataFrame:
@@ -693,7 +693,7 @@ def fuel_use(df: DataFrame, sections: DataFrame, order: str | None = None) -> Da
                 lenient_number(F.col(electric_pct)).alias("electricity_pct"),
                 lenient_number(F.col(gas_pct)).alias("gas_pct"), *keep,
             )
-            rows = _as_fractions(rows, ["electricity_pct", "gas_pct"])
+            rows = as_fractions(rows, ["electricity_pct", "gas_pct"])
         else:
             total = _find_column(columns, ["total_energy", "total"])
             e, g = lenient_number(F.col(electric)), lenient_number(F.col(gas))
