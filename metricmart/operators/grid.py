@@ -1,6 +1,7 @@
 """Sheet readers over a cell grid ``cells(source_file, sheet, row, col, text)``.
 
-A sheet's meaning depends on row order, so every reader carries (source_file, sheet, row, col) explicitly. Rows find
+Readers with sections run a job of their own: their row tables (one row per sheet row) are stored before the cells are
+joined to them. A sheet's meaning depends on row order, so every reader carries (source_file, sheet, row, col) explicitly. Rows find
 their header row with ``carry_forward`` (cut into blocks, so a huge sheet is not one task) and cells find their header
 cell with an equi-join on (source_file, sheet, header row, col). Nothing walks a sheet row by row.
 """
@@ -19,6 +20,7 @@ from metricmart.operators.conform import first_per_key
 from metricmart.operators.filters import conform
 from metricmart.operators.windows import carry_forward
 from metricmart.plans import shapes
+from metricmart.session import stored
 
 SHEET = ["source_file", "sheet"]
 LINE = [*SHEET, "row"]
@@ -164,7 +166,7 @@ def section_years(
             ),
         )
         carry.append("column_label")
-    lines = lines.withColumn("_is_header", is_header)
+    lines = stored(lines.withColumn("_is_header", is_header))
     placed = carry_forward(lines, SHEET, "row", carry)
     data = placed.filter(~F.col("_is_header") & (F.col("metric_name") != "") & (F.col("row_label") != ""))
     if markers:
@@ -209,7 +211,7 @@ def titled_year_sections(
             "_candidate": ~is_title & (F.col("_years") >= min_years),
         }
     )
-    placed = carry_forward(lines, SHEET, "row", ["section", "_segment"]).fillna(-1, ["_segment"])
+    placed = stored(carry_forward(stored(lines), SHEET, "row", ["section", "_segment"]).fillna(-1, ["_segment"]))
     opening = placed.filter("_candidate").groupBy(*SHEET, "_segment").agg(
         F.min_by("_first", "row").alias("first_col")
     )
@@ -223,7 +225,11 @@ def titled_year_sections(
         }
     )
     active = carry_forward(placed, SHEET, "row", ["header_row"])
-    data = active.filter(~F.col("_is_title") & ~F.col("_is_header") & (F.col("header_row") >= 0))
+    data = stored(
+        active.filter(~F.col("_is_title") & ~F.col("_is_header") & (F.col("header_row") >= 0)).select(
+            *LINE, "first_col", "header_row", "section"
+        )
+    )
     parts = marked.select(*LINE, "col", "_text").join(data.select(*LINE, "first_col"), LINE)
     names = parts.filter((F.col("col") < F.col("first_col")) & (F.col("_text") != "")).groupBy(*LINE).agg(
         F.concat_ws(" | ", F.transform(F.sort_array(F.collect_list(F.struct("col", "_text"))), lambda s: s["_text"]))
@@ -567,7 +573,7 @@ def trade_blocks(cells: DataFrame, *, table: str, low: int = 1990, high: int = 2
             "header_row": F.when(opens.isNotNull(), F.col("row")),
         }
     )
-    placed = carry_forward(lines, SHEET, "row", ["block", "header_row"])
+    placed = stored(carry_forward(lines, SHEET, "row", ["block", "header_row"]))
     notes = placed.filter((F.col("block") == "exports") & F.col("_opens").isNull() & ends)
     cut = notes.groupBy(*SHEET, "header_row").agg(F.min("row").alias("_cut"))
     placed = placed.join(cut, [*SHEET, "header_row"], "left")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Adaptive execution sizes shuffle partitions, turns small join sides into broadcasts at run time and splits skewed
 # join partitions, also where that costs an extra shuffle: one hot key must not become one slow task.
@@ -45,3 +45,15 @@ def shared_dir(spark: SparkSession, fallback: str | None = None) -> str:
         raise ValueError("spark.checkpoint.dir is not set; pass a fallback folder every executor can reach")
     spark.sparkContext.setCheckpointDir(fallback)
     return fallback
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """A reduced intermediate result, stored reliably in the checkpoint folder. Runs one job.
+
+    For results that several later steps of one job read: without it every reader would run the whole job above it
+    again. Survives the loss of executors, unlike a cache or a local checkpoint.
+    """
+    spark = df.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_dir(spark))
+    return df.checkpoint()
