@@ -505,7 +505,7 @@ def forecast_input(t):
 
 
 @query(
-    "read_cross_layer", "Q33", f"SELECT * FROM ({M.SUPPLIER_QUALITY}) WHERE year {_BETWEEN} AND supplier_id IN (3, 4, 5)", d9=M._QUALITY,
+    "read_cross_layer", "Q33", f"SELECT * FROM ({M.SUPPLIER_QUALITY}) WHERE year {_BETWEEN} AND supplier_id IN (3, 4, 5)", d11=M._QUALITY,
 )
 def cross_layer(t):
     return reads.cross_layer(marts.supplier_quality(t), FIRST, LAST, [3, 4, 5])
@@ -557,7 +557,7 @@ def official_series(t):
 
 
 @query(
-    "read_supplier_health", "Q36 Q40", f"SELECT *, 'fallback' AS source FROM ({M.SUPPLIER_HEALTH}) WHERE year {_BETWEEN} AND supplier_id IN (7, 8)", d6=M._HEALTH, d9=["profit_million_gbp"],
+    "read_supplier_health", "Q36 Q40", f"SELECT *, 'fallback' AS source FROM ({M.SUPPLIER_HEALTH}) WHERE year {_BETWEEN} AND supplier_id IN (7, 8)", d11=M._HEALTH, d9=["profit_million_gbp"],
 )
 def supplier_health(t):
     empty = marts.supplier_health(t).filter("year < 0")

@@ -160,7 +160,7 @@ def industry_documents(t):
 @query(
     "staging_market_prices", "G08 A01", """
 SELECT year, commodity, instrument, metric_name, AVG(value) AS avg_value, MIN(value) AS min_value, MAX(value) AS max_value, COUNT(*) AS obs_count, 'gbp' AS unit FROM price_points GROUP BY 1, 2, 3, 4
-""", d7=["avg_value"],
+""", d11=["avg_value"],
 )
 def market_prices(t):
     return staging.market_prices(t["price_points"].withColumn("unit", F.lit("gbp")))

@@ -124,17 +124,16 @@ def first_nonempty(
 ) -> DataFrame:
     """Rows of the first candidate that has enough rows (with a non-NULL ``value``, when given).
 
-    The choice is a scalar subquery inside the plan: one count per candidate, no emptiness test on the driver and no
-    window over the whole union.
+    The choice is part of the plan: one scalar subquery per candidate counts up to the rows needed and stops there. No
+    emptiness test on the driver, and no window over the whole union.
     """
     needed = [min_rows] * len(candidates) if isinstance(min_rows, int) else list(min_rows)
+    best = F.lit(None).cast("int")
+    for i, (df, n) in reversed(list(enumerate(zip(candidates, needed, strict=True), start=1))):
+        rows = df if value is None else df.filter(F.col(value).isNotNull())
+        found = rows.select(F.lit(1).alias("_one")).limit(n).agg(F.count("*")).scalar()
+        best = F.when(found >= n, F.lit(i)).otherwise(best)
     union = tagged_union(candidates, "_prio")
-    countable = union if value is None else union.filter(F.col(value).isNotNull())
-    counts = countable.groupBy("_prio").agg(F.count("*").alias("n"))
-    enough = F.lit(False)
-    for i, n in enumerate(needed, start=1):
-        enough = enough | ((F.col("_prio") == i) & (F.col("n") >= n))
-    best = counts.filter(enough).agg(F.min("_prio")).scalar()
     chosen = union.filter(F.col("_prio") == best)
     return chosen.withColumnRenamed("_prio", tag) if tag else chosen.drop("_prio")
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -68,10 +69,8 @@ def _student_two_sided(t: float, dof: int) -> float:
 
 def with_p_values(df: DataFrame, n: str = "n", t: str = "t_stat") -> DataFrame:
     """Add the p-value to fitted rows: one row per fit, a vectorised step at the very end of a job."""
-    from pyspark.sql.functions import pandas_udf
-    import pandas as pd
 
-    @pandas_udf("double")
+    @F.pandas_udf("double")
     def p_value(t_stat: pd.Series, count: pd.Series) -> pd.Series:
         return pd.Series(
             [

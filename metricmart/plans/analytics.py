@@ -18,6 +18,7 @@ from metricmart.operators.pivot import entity_or_mean_series, pivot_dynamic, top
 from metricmart.operators.quality import alerts
 from metricmart.operators.ranking import composite_score, median_filled, top_n
 from metricmart.operators.stats import pearson, shock, simple_fit, trend_forecast
+from metricmart.session import stored
 
 
 def threshold_alerts(availability: DataFrame, losses: DataFrame) -> DataFrame:
@@ -56,7 +57,8 @@ def underperformers(regulatory: DataFrame, return_loss: DataFrame, n: int = 3) -
     means = regulatory.groupBy("company_name").agg(
         F.avg("rore_pct").alias("rore"), F.avg("satisfaction_score").alias("sat")
     )
-    rows = median_filled(means.join(losses, "company_name", "left"), ["rore", "ens", "sat"])
+    # One row per company, read by the medians, the scores and the result.
+    rows = median_filled(stored(means.join(losses, "company_name", "left")), ["rore", "ens", "sat"])
     scored = composite_score(rows, {"rore": 1.0, "ens": 1.0, "sat": -1.0}, "bad")
     return top_n(scored.select("company_name", "rore", "ens", "sat", "bad"), "bad", n, ["company_name"])
 

@@ -23,7 +23,6 @@ from metricmart.operators.windows import (
     with_lags,
     with_running_totals,
 )
-from metricmart.plans.core import lookup
 
 Tables = Mapping[str, DataFrame]
 
