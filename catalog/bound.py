@@ -36,10 +36,14 @@ _MEASURES = f"""COUNT(*) AS n, SUM({cents('l_quantity')}) AS qty_c, SUM({cents('
        SUM({cents('l_extendedprice')} * {cents('l_discount')}) AS rebate_c, SUM({cents('l_tax')}) AS tax_c,
        SUM({cents('l_discount')}) AS discount_c"""
 
-bind("sales_year", f"""
-SELECT {YEAR} AS year, l_suppkey AS suppkey, p_type, l_returnflag, l_linestatus, {_MEASURES}
-FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey
-GROUP BY {YEAR}, l_suppkey, p_type, l_returnflag, l_linestatus
+bind("supplier_sales", f"""
+SELECT {YEAR} AS year, l_suppkey AS suppkey, l_returnflag, {_MEASURES}
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY {YEAR}, l_suppkey, l_returnflag
+""", shared=True)
+bind("type_sales", f"""
+SELECT {YEAR} AS year, p_type, s_nationkey, l_returnflag, l_linestatus, {_MEASURES}
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey
+GROUP BY {YEAR}, p_type, s_nationkey, l_returnflag, l_linestatus
 """, shared=True)
 bind("sales_quarter", f"""
 SELECT {YEAR} AS year, {QUARTER} AS quarter, l_suppkey AS suppkey, l_returnflag, l_linestatus, {_MEASURES}
@@ -76,7 +80,7 @@ SELECT y.year, y.suppkey, s.s_name AS company_name, s.s_acctbal, n.n_name, n.n_n
 FROM (SELECT year, suppkey, {summed('qty_c')} AS qty, {summed('price_c')} AS price, {NET} AS revenue,
              {summed('tax_c')} AS tax, {summed('qty_c', "l_returnflag = 'R'")} AS returned, SUM(n) AS n_lines,
              SUM(CASE WHEN l_returnflag = 'R' THEN n ELSE 0 END) AS n_returned
-      FROM sales_year GROUP BY year, suppkey) y
+      FROM supplier_sales GROUP BY year, suppkey) y
 JOIN supplier s ON s.s_suppkey = y.suppkey JOIN nation n ON n.n_nationkey = s.s_nationkey
 """)
 
@@ -165,12 +169,12 @@ bind("core_fact_regional_gva", f"""
 SELECT year * 10 + 1 AS date_id, CAST(s_nationkey + 1 AS BIGINT) AS geography_id,
        CAST({case('p_type', {k: i for i, k in enumerate(TYPE_CODES, 1)})} AS BIGINT) AS industry_id,
        {summed('price_c')} / 1000 AS gva_million_gbp
-FROM sales_year JOIN supplier ON suppkey = s_suppkey GROUP BY year, s_nationkey, p_type
+FROM type_sales GROUP BY year, s_nationkey, p_type
 """)
 bind("type_year", f"""
 SELECT year, p_type, l_returnflag, {summed('qty_c')} AS qty, {summed('price_c')} AS price, {summed('discount_c')} AS discount,
        {summed('qty_c', "l_linestatus = 'F'")} AS filled, {dbl('SUM(n)')} AS n
-FROM sales_year GROUP BY year, p_type, l_returnflag
+FROM type_sales GROUP BY year, p_type, l_returnflag
 """)
 _INDUSTRY = f"CAST({case('p_type', {k: i for i, k in enumerate(TYPE_CODES, 1)})} AS BIGINT)"
 bind("core_fact_energy_intensity", f"""

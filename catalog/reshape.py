@@ -6,6 +6,7 @@ aggregates back.
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -409,9 +410,10 @@ def registry_union(t):
 
 # --- cell grids --------------------------------------------------------------------------------------------------
 
-bind("sheet_values", """
-SELECT year, s_name AS sheet, p_type, SUM(qty_c) / 100 AS qty, SUM(n) AS n FROM sales_year JOIN supplier ON suppkey = s_suppkey GROUP BY 1, 2, 3
-""")
+bind("sheet_values", f"""
+SELECT {YEAR} AS year, s_name AS sheet, p_type, {total('l_quantity')} AS qty, COUNT(*) AS n FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1, 2, 3
+""", shared=True)
 
 
 def place(values: list, column: str) -> Column:
@@ -420,10 +422,10 @@ def place(values: list, column: str) -> Column:
 
 
 class Sheets:
-    """Renders long rows into cells, one sheet per supplier."""
+    """Renders long rows into cells, one sheet per supplier; the cell table is stored, as a landing table would be."""
 
-    def __init__(self, rows: DataFrame, file: str = "f"):
-        self.rows, self.file = rows, file
+    def __init__(self, tables, rows: DataFrame, file: str = "f"):
+        self.tables, self.rows, self.file = tables, rows, file
         self.names = rows.select("sheet").distinct()
         self.parts: list[DataFrame] = []
 
@@ -448,7 +450,7 @@ class Sheets:
         return self.add(self.rows, row0 + place(TYPES, "p_type") - 1, F.col("year") - 1995 + first_col, text(F.col(value)))
 
     def cells(self) -> DataFrame:
-        return reduce(lambda a, b: a.unionByName(b), self.parts)
+        return self.tables.store(f"cells_{uuid.uuid4().hex}", reduce(lambda a, b: a.unionByName(b), self.parts))
 
 
 def digest_sql(table: str, value: str, metric: str, unit: str, **columns: str) -> str:
@@ -462,7 +464,7 @@ def digest_sql(table: str, value: str, metric: str, unit: str, **columns: str) -
     "grid_sections", "R14 W13 C16 C06", digest_sql("6.2", "qty", "installed_capacity_mw", "MW") + " UNION ALL " + digest_sql("6.2", "n", "generation_gwh", "GWh"),
 )
 def grid_sections(t):
-    s = Sheets(t["sheet_values"]).constant(0, 0, "This worksheet holds one table")
+    s = Sheets(t, t["sheet_values"]).constant(0, 0, "This worksheet holds one table")
     s.constant(1, 0, "Installed capacity (MW) [note 1]").years(1).labels(2).values(2, "qty")
     s.constant(10, 0, "Something else").years(10).labels(11).values(11, "qty")
     s.constant(20, 0, "Generation (GWh)").years(20).labels(21).values(21, "n")
@@ -473,7 +475,7 @@ def grid_sections(t):
     "grid_section_markers", "R14 W13", digest_sql("6.4", "qty", "renewable_use_ktoe", "ktoe", column_label="CASE WHEN p_type IN ('STANDARD', 'PROMO', 'SMALL') THEN 'heat' ELSE 'transport' END", row_label="CASE p_type WHEN 'LARGE' THEN 'Renewable sources used as transport fuels' ELSE p_type || ' x' END"),
 )
 def grid_section_markers(t):
-    s = Sheets(t["sheet_values"]).constant(3, 0, "Used to generate heat").years(3).values(4, "qty")
+    s = Sheets(t, t["sheet_values"]).constant(3, 0, "Used to generate heat").years(3).values(4, "qty")
     heads = s.names.withColumn("p", F.explode(F.array(*[F.lit(p) for p in TYPES])))
     label = F.when(F.col("p") == "LARGE", "Renewable sources used as transport fuels").otherwise(F.concat("p", F.lit(" x")))
     s.add(heads, 3 + place(TYPES, "p"), F.lit(0), label)
@@ -487,7 +489,7 @@ def grid_section_markers(t):
     + digest_sql("5.1", "n", "m", "u", period_label="'Table 5.2 second'", column_label="'Table 5.2 second'", row_label="p_type || ' x'"),
 )
 def grid_carry_forward(t):
-    s = Sheets(t["sheet_values"]).constant(0, 0, "Table 5.1 first").constant(2, 0, "Category").years(2, 2).labels(3).values(3, "qty", 2)
+    s = Sheets(t, t["sheet_values"]).constant(0, 0, "Table 5.1 first").constant(2, 0, "Category").years(2, 2).labels(3).values(3, "qty", 2)
     for r in range(3, 9):
         s.constant(r, 1, "all")
     s.constant(12, 0, "Table 5.2 second").years(14).labels(15).values(15, "n")
@@ -495,13 +497,13 @@ def grid_carry_forward(t):
 
 
 bind("type_nation_year", """
-SELECT year, p_type, n_name AS fuel, SUM(qty_c) / 100 AS qty FROM sales_year JOIN supplier ON suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey GROUP BY 1, 2, 3
+SELECT year, p_type, n_name AS fuel, SUM(qty_c) / 100 AS qty FROM type_sales JOIN nation ON s_nationkey = n_nationkey GROUP BY 1, 2, 3
 """)
 
 
 def year_sheet_cells(t, file: str = "f") -> DataFrame:
     rows = t["type_nation_year"].withColumns({"sheet": F.col("year").cast("string")})
-    s = Sheets(rows, file)
+    s = Sheets(t, rows, file)
     heads = s.names.withColumn("fuel", F.explode(F.array(*[F.lit(n) for n in NATIONS])))
     s.add(heads, F.lit(2), place(NATIONS, "fuel"), F.col("fuel")).labels(4)
     s.add(rows, 3 + place(TYPES, "p_type"), place(NATIONS, "fuel"), text(F.col("qty")))
@@ -538,12 +540,12 @@ def grid_side_by_side(t):
     "grid_years_across", "R18", digest_sql("1.3", "qty", "stock", "n", column_label="replace(sheet, '.', '_')"),
 )
 def grid_years_across(t):
-    s = Sheets(t["sheet_values"]).years(3, suffix=".0").labels(5).values(5, "qty").constant(4, 0, "Column1").constant(4, 1, "7")
+    s = Sheets(t, t["sheet_values"]).years(3, suffix=".0").labels(5).values(5, "qty").constant(4, 0, "Column1").constant(4, 1, "7")
     return grid.years_across(s.cells(), table="1.3", header_row=3, data_start=4, metric_name="stock", unit="n")
 
 
 def year_rows_cells(t, header, first: str = "f") -> Sheets:
-    s = Sheets(t["sheet_values"], first)
+    s = Sheets(t, t["sheet_values"], first)
     heads = s.names.withColumn("y", F.explode(F.array(*[F.lit(y) for y in YEARS])))
     s.add(heads, F.col("y") - 1990, F.lit(0), F.col("y"))
     s.add(s.rows, F.col("year") - 1990, place(TYPES, "p_type"), F.format_number("qty", 0))
@@ -575,7 +577,7 @@ UNION ALL SELECT year, 'primary', 'a', qty, qty * 11.63::DOUBLE FROM sheet_value
 """,
 )
 def grid_typed_tables(t):
-    across = Sheets(t["sheet_values"]).years(3).labels(5).values(5, "qty").cells()
+    across = Sheets(t, t["sheet_values"]).years(3).labels(5).values(5, "qty").cells()
     fuels = grid.primary_fuels(across, header_row=3, data_start=4)
     down = year_rows_cells(t, F.col("p")).cells()
     one_sheet = down.withColumn("source_file", F.concat_ws(":", "source_file", "sheet")).withColumn("sheet", F.lit("1.1.5"))
@@ -596,7 +598,7 @@ def grid_typed_tables(t):
     "grid_embedded_years", "R20 C40", digest_sql("5.2", "qty", "supply", "GWh", column_label="'Public system'"),
 )
 def grid_embedded_years(t):
-    s = Sheets(t["sheet_values"]).labels(5).values(5, "qty").constant(4, 0, "Table 5.2 again").constant(4, 1, "3")
+    s = Sheets(t, t["sheet_values"]).labels(5).values(5, "qty").constant(4, 0, "Table 5.2 again").constant(4, 1, "3")
     heads = s.names.withColumn("y", F.explode(F.array(*[F.lit(y) for y in YEARS])))
     s.add(heads, F.lit(2), F.col("y") - 1994, F.concat(F.lit("Public system ("), F.col("y"), F.lit(")")))
     return grid.embedded_years(s.cells(), table="5.2", header_row=2, data_start=3, metric_name="supply", unit="GWh")
@@ -613,7 +615,7 @@ def grid_register(t):
     rows = t["supplier"].join(t["nation"], F.col("s_nationkey") == F.col("n_nationkey")).withColumns(
         {"sheet": F.lit("stations"), "r": F.col("s_suppkey") + 5}
     )
-    s = Sheets(rows).constant(3, 2, "Capacity").constant(3, 3, "Country")
+    s = Sheets(t, rows).constant(3, 2, "Capacity").constant(3, 3, "Country")
     s.add(rows, F.col("r"), F.lit(0), F.col("s_name")).add(rows, F.col("r"), F.lit(1), F.col("s_suppkey"))
     s.add(rows, F.col("r"), F.lit(2), F.col("s_nationkey")).add(rows, F.col("r"), F.lit(3), F.col("n_name"))
     return grid.register_listing(
@@ -626,7 +628,7 @@ def grid_register(t):
     + digest_sql("F.2", "SUM(n)", "wells_cumulative_series", "n", period_year="CAST(NULL AS INT)", period_label="'To 1994'", column_label="'To 1994'") + " GROUP BY sheet, p_type",
 )
 def grid_totals_then_years(t):
-    s = Sheets(t["sheet_values"]).constant(2, 1, "To 1994").years(2, 2).labels(3).values(3, "n", 2)
+    s = Sheets(t, t["sheet_values"]).constant(2, 1, "To 1994").years(2, 2).labels(3).values(3, "n", 2)
     sums = s.rows.groupBy("sheet", "p_type").agg(F.sum("n").alias("n"))
     s.add(sums, 2 + place(TYPES, "p_type"), F.lit(1), text(F.col("n")))
     return grid.totals_then_years(s.cells(), table="F.2", header_row=2, data_start=3, metric_name="wells", unit="n")
@@ -636,7 +638,7 @@ def grid_totals_then_years(t):
     "grid_trade_blocks", "R23", digest_sql("6.6", "qty", "trade_tonnes", "tonnes", column_label="sheet || '|imports'") + " UNION ALL " + digest_sql("6.6", "n", "trade_tonnes", "tonnes", column_label="sheet || '|exports'"),
 )
 def grid_trade_blocks(t):
-    s = Sheets(t["sheet_values"]).constant(1, 0, "Imports (tonnes)").years(1).labels(2).values(2, "qty")
+    s = Sheets(t, t["sheet_values"]).constant(1, 0, "Imports (tonnes)").years(1).labels(2).values(2, "qty")
     s.constant(10, 0, "Exports (tonnes)").years(10).labels(11).values(11, "n").constant(18, 0, "Source: customs").constant(18, 1, "5")
     return grid.trade_blocks(s.cells(), table="6.6")
 
@@ -648,14 +650,14 @@ SELECT '6.7' AS dukes_table, 2024 AS period_year, NULL AS period_label, p_type |
 """,
 )
 def grid_snapshot_counts(t):
-    s = Sheets(t["sheet_values"]).labels(3).values(3, "n")
+    s = Sheets(t, t["sheet_values"]).labels(3).values(3, "n")
     heads = s.names.withColumn("y", F.explode(F.array(*[F.lit(y) for y in YEARS if y != 1997])))
     s.add(heads, F.lit(2), F.col("y") - 1994, F.concat(F.lit("Band "), F.col("y")))
     return grid.snapshot_counts(s.cells(), table="6.7", header_row=2, data_start=3, snapshot_year=2024)
 
 
 def flow_cells(t) -> DataFrame:
-    s = Sheets(t["sheet_values"]).constant(0, 0, "Physical flows 2021")
+    s = Sheets(t, t["sheet_values"]).constant(0, 0, "Physical flows 2021")
     heads = s.names.withColumn("y", F.explode(F.array(*[F.lit(y) for y in YEARS])))
     s.add(heads, F.lit(3), 4 + (F.col("y") - 1995) * 2, F.concat(F.lit("I"), F.col("y")))
     s.add(heads, F.lit(3), 5 + (F.col("y") - 1995) * 2, F.lit("flag"))
@@ -689,7 +691,7 @@ SELECT 2021 AS reference_year, left(p_type, 2) AS bridge_code, p_type AS bridge_
 """,
 )
 def grid_flow_bridge(t):
-    s = Sheets(t["sheet_values"]).constant(0, 0, "Bridge 2021")
+    s = Sheets(t, t["sheet_values"]).constant(0, 0, "Bridge 2021")
     sums = s.rows.groupBy("sheet", "p_type").agg(F.sum("n").alias("n"))
     at = 5 + place(TYPES, "p_type")
     s.add(sums, at, F.lit(0), F.when(F.col("p_type") == "MEDIUM", "Notes").otherwise(F.left("p_type", F.lit(2))))
@@ -705,7 +707,7 @@ FROM type_nation_year
 )
 def matrix_share_of_total(t):
     rows = t["type_nation_year"].withColumn("sheet", F.concat(F.lit("Table 2 - Int Con "), F.col("year")))
-    s = Sheets(rows)
+    s = Sheets(t, rows)
     heads = s.names.withColumn("fuel", F.explode(F.array(*[F.lit(n) for n in NATIONS])))
     col = place(NATIONS, "fuel") + 1
     s.add(heads, F.lit(3), col, F.col("fuel")).add(heads, F.lit(4), col, F.concat(F.lit("Industry "), F.col("fuel")))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 
 from pyspark.sql import Column
@@ -84,7 +85,12 @@ def bracket_quarter(col: Column) -> Column:
 
 
 def _date(text: Column, pattern: str) -> Column:
-    return F.try_to_timestamp(text, F.lit(pattern)).cast("date")
+    """Parse a date. The shape is checked first: a failed parse is an exception inside Spark, and dear per row."""
+    shape = pattern
+    for letters, digits in (("yyyy", r"\d{4}"), ("yy", r"\d{2}"), ("MMM", "[A-Za-z]{3}")):
+        shape = shape.replace(letters, digits)
+    shape = re.sub(r"(?<![\\A-Za-z])[dMHms](?![A-Za-z])", lambda _: r"\d{1,2}", shape)
+    return F.when(text.rlike(f"^{shape}$"), F.try_to_timestamp(text, F.lit(pattern)).cast("date"))
 
 
 def _first_of_quarter(yq: Column) -> Column:
