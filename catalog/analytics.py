@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog import marts as M
-from catalog.engine import YEAR, query, total
+from catalog.engine import query
 from catalog.reads import FIRST, LAST, _BETWEEN
 from metricmart.operators import model, quality, stats
 from metricmart.operators.conform import union_all
-from metricmart.operators.filters import conform
 from metricmart.plans import analytics, marts, reads
 
 _FIT = """COUNT(*) AS n, regr_slope({y}, {x}) AS slope, regr_intercept({y}, {x}) AS intercept, corr({y}, {x}) AS r, corr({y}, {x}) * corr({y}, {x}) AS r2,
@@ -57,7 +56,7 @@ def corr_pairs(t):
     "trend_forecast", "P07", """
 WITH f AS (SELECT nation, regr_slope(COALESCE(spend, 0), year) AS slope, regr_intercept(COALESCE(spend, 0), year) AS intercept FROM order_year GROUP BY 1 HAVING COUNT(*) >= 3)
 SELECT nation, CAST(y.year AS INT) AS year, slope, intercept, intercept + slope * y.year AS forecast FROM f, (VALUES (2002), (2003), (2004)) y(year)
-""", d4=["slope", "forecast"], d1=["intercept"],
+""", d4=["slope"], d2=["forecast"], d0=["intercept"],
 )
 def trend_forecast(t):
     return stats.trend_forecast(t["order_year"], ["nation"], "year", "spend", 2001)
@@ -174,12 +173,15 @@ def connection_spend_pairs(t):
 
 @query(
     "risk_against_loss", "P11 J22 P03", """
-WITH r AS (SELECT company_name, AVG(value) AS risk_metric FROM raw_fuel_poor WHERE year = 1995 GROUP BY 1)
-SELECT r.company_name, 2001 AS year, r.risk_metric, m.gas_lost_volume FROM r JOIN stg_minutes m ON m.company_name = r.company_name AND m.year = 2001
-""",
+WITH r AS (SELECT company_name, AVG(v) AS risk_metric FROM (SELECT company_name, year, AVG(value) AS v FROM raw_connections GROUP BY 1, 2) GROUP BY 1)
+SELECT r.company_name, m.year, r.risk_metric, m.gas_lost_volume FROM r JOIN stg_minutes m ON m.company_name = r.company_name
+QUALIFY row_number() OVER (PARTITION BY m.company_name ORDER BY m.year DESC) = 1
+""", d8=["risk_metric"],
 )
 def risk_against_loss(t):
-    return analytics.risk_against_loss(t["raw_fuel_poor"].filter("year = 1995"), t["stg_minutes"].filter("year > 1995"))
+    # Risk years a century on meet no loss year, so every company's mean risk is paired with its latest loss.
+    risk = t["raw_connections"].withColumn("year", F.col("year") + 100)
+    return analytics.risk_against_loss(risk, t["stg_minutes"])
 
 
 @query(
@@ -347,7 +349,7 @@ def histogram(t):
         f"""SELECT '{c}' AS column_name, q1, median, q3, q1 - 1.5::DOUBLE * (q3 - q1) AS low_fence, q3 + 1.5::DOUBLE * (q3 - q1) AS high_fence,
  (SELECT COUNT(*) FROM lineitem WHERE {c} < q1 - 1.5::DOUBLE * (q3 - q1) OR {c} > q3 + 1.5::DOUBLE * (q3 - q1)) AS outliers
  FROM (SELECT quantile_cont({c}, 0.25) AS q1, quantile_cont({c}, 0.5) AS median, quantile_cont({c}, 0.75) AS q3 FROM lineitem)""" for c in ("l_extendedprice", "l_tax")),
-    d4=["q1", "median", "q3", "low_fence", "high_fence"],
+    d6=["q1", "median", "q3", "low_fence", "high_fence"],
 )
 def boxplot_stats(t):
     return stats.box_plot(t["lineitem"], ["l_extendedprice", "l_tax"])

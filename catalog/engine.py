@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from metricmart.session import shared_dir
+from metricmart.session import apply_settings, shared_dir
 from metricmart.sources.sinks import Stage
 
 DRIVER_TABLES = [
@@ -49,7 +49,7 @@ class Tables(Mapping[str, DataFrame]):
     """Driver and bound tables by name, built when asked for."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
+        self.spark, self.sf_dir = apply_settings(spark), sf_dir
         self._built: dict[str, DataFrame] = {}
         self._run = f"query-{uuid.uuid4().hex}"
 
@@ -66,8 +66,7 @@ class Tables(Mapping[str, DataFrame]):
 
     def store(self, name: str, df: DataFrame) -> DataFrame:
         """Write a table to the shared folder and read it back, with exact statistics and no lineage."""
-        base = shared_dir(self.spark, fallback="/tmp/metricmart-shared")
-        return Stage(self.spark, f"{base}/metricmart", self._run).write(name, df)
+        return Stage(self.spark, f"{shared_dir(self.spark)}/metricmart", self._run).write(name, df)
 
     def sql(self, text: str) -> DataFrame:
         """A SQL text over driver and bound tables."""

@@ -60,12 +60,11 @@ def companies_and_years(t):
 
 @query(
     "read_loss_and_spend", "Q04 F04", f"""
-SELECT year, SUM(ens_mwh) AS ens_mwh, SUM(actual_totex_million_gbp) AS totex_million_gbp FROM ({M.COST_RELIABILITY}) WHERE year {_BETWEEN} AND company_name IN ('Supplier#000000001', 'Supplier#000000002', 'Supplier#000000005') GROUP BY 1
+SELECT year, SUM(ens_mwh) AS ens_mwh, SUM(actual_totex_million_gbp) AS totex_million_gbp FROM ({M.COST_RELIABILITY}) WHERE year {_BETWEEN} GROUP BY 1
 """, d6=["totex_million_gbp"],
 )
 def loss_and_spend(t):
-    names = ["Supplier#000000001", "Supplier#000000002", "Supplier#000000005"]
-    return reads.loss_and_spend(marts.cost_reliability(M.with_schemes(t)), FIRST, LAST, names)
+    return reads.loss_and_spend(marts.cost_reliability(M.with_schemes(t)), FIRST, LAST)
 
 
 bind("raw_fuel_poor", f"""
@@ -158,14 +157,14 @@ _CANON = """canon AS (SELECT k, arg_min(company_name, (s, company_name)) AS c FR
     "read_vulnerable_operators", "Q09 J21 W12 J25 T02", f"""
 WITH {_CANON.format(s='GD')},
  p AS (SELECT COALESCE(c.c, f.company_name) AS k, AVG(f.value) AS fuel_poor_avg FROM raw_fuel_poor f LEFT JOIN canon c ON c.k = lower(f.company_name) WHERE f.metric_name = 'fuel_poor_connections_actual' GROUP BY 1),
- l AS (SELECT COALESCE(c.c, f.company_name) AS k, AVG(f.minutes_lost) AS minutes_lost_avg, AVG(f.gas_lost_volume) AS gas_lost_avg FROM stg_minutes f LEFT JOIN canon c ON c.k = lower(f.company_name) WHERE f.year = 1999 GROUP BY 1),
+ l AS (SELECT COALESCE(c.c, f.company_name) AS k, AVG(f.minutes_lost) AS minutes_lost_avg, AVG(f.gas_lost_volume) AS gas_lost_avg FROM stg_minutes f LEFT JOIN canon c ON c.k = lower(f.company_name) GROUP BY 1),
  j AS (SELECT COALESCE(p.k, l.k) AS operator_key, fuel_poor_avg, minutes_lost_avg, gas_lost_avg, COALESCE(fuel_poor_avg, 0) AS a, COALESCE(minutes_lost_avg, 0) AS b FROM p FULL JOIN l ON l.k = p.k)
 SELECT operator_key, fuel_poor_avg, minutes_lost_avg, gas_lost_avg, (a - (SELECT AVG(a) FROM j)) / (SELECT STDDEV_POP(a) FROM j) + (b - (SELECT AVG(b) FROM j)) / (SELECT STDDEV_POP(b) FROM j) AS score
 FROM j ORDER BY score DESC, operator_key LIMIT 10
 """, d6=["fuel_poor_avg", "minutes_lost_avg", "gas_lost_avg", "score"],
 )
 def vulnerable_operators(t):
-    return reads.vulnerable_operators(t["raw_fuel_poor"], t["stg_minutes"].filter("year = 1999"), t["alias_rows"])
+    return reads.vulnerable_operators(t["raw_fuel_poor"], t["stg_minutes"], t["alias_rows"])
 
 
 bind("raw_market", f"""
@@ -443,12 +442,12 @@ def transmission(t):
     "read_return_and_loss", "Q27 J01", f"""
 SELECT 'r' AS source, d.year, c.company_name, f.rore_pct, r.ens_mwh FROM core_fact_financial_performance f JOIN core_fact_network_reliability r ON r.date_id = f.date_id AND r.company_id = f.company_id AND r.network_sector_id = f.network_sector_id
 JOIN core_dim_date d ON d.date_id = f.date_id JOIN core_dim_company c ON c.company_id = f.company_id WHERE f.network_sector_id = 1 AND d.year {_BETWEEN}
-UNION ALL SELECT 'm', year, company_name, rore_pct, NULL FROM ({M.REGULATORY}) WHERE year {_BETWEEN} AND company_name = 'Supplier#000000003'
+UNION ALL SELECT 'm', year, company_name, rore_pct, NULL FROM ({M.REGULATORY}) WHERE year {_BETWEEN}
 """,
 )
 def return_and_loss(t):
     shape = [("source", "string"), ("year", "int"), ("company_name", "string"), ("rore_pct", "double"), ("ens_mwh", "double")]
-    slice_ = reads.regulatory(marts.regulatory_performance(t), FIRST, LAST, ["Supplier#000000003"])
+    slice_ = reads.regulatory(marts.regulatory_performance(t), FIRST, LAST)
     return union_all([conform(reads.return_and_loss(t, FIRST, LAST), shape, source="r"), conform(slice_, shape, source="m")])
 
 
@@ -466,14 +465,14 @@ def efficiency_rank(t):
 @query(
     "read_impact", "Q30 J16 T02", f"""
 WITH i AS ({M.ECONOMIC_IMPACT})
-SELECT 'region' AS source, year, geography_code AS code, SUM(output_at_risk_gbp) AS value FROM i WHERE year {_BETWEEN} AND geography_code IN ('N1', 'N2', 'N3') GROUP BY 2, 3
+SELECT 'region' AS source, year, geography_code AS code, SUM(output_at_risk_gbp) AS value FROM i WHERE year {_BETWEEN} AND geography_code <> 'GB' GROUP BY 2, 3
 UNION ALL (SELECT 'industry', NULL, industry_name, SUM(output_at_risk_gbp) FROM i WHERE year {_BETWEEN} GROUP BY 3 ORDER BY 4 DESC LIMIT 3)
 """, d0=["value"],
 )
 def impact(t):
     mart = marts.economic_impact(t)
     shape = [("source", "string"), ("year", "int"), ("code", "string"), ("value", "double")]
-    region = reads.impact_by_region(mart, t["core_dim_geography"], FIRST, LAST, [2, 3, 4])
+    region = reads.impact_by_region(mart, t["core_dim_geography"], FIRST, LAST, list(range(1, 26)))
     top = reads.top_industries(mart, FIRST, LAST, 3)
     return union_all([
         conform(region.withColumnsRenamed({"geography_code": "code", "output_at_risk_gbp": "value"}), shape, source="region"),
@@ -484,11 +483,11 @@ def impact(t):
 @query(
     "read_cross_commodity", "Q31", f"""
 SELECT d.year, g.geography_name, n.commodity, n.sector_name, SUM(COALESCE(r.ens_mwh, 0)) AS ens_mwh FROM core_fact_network_reliability r JOIN core_dim_date d ON d.date_id = r.date_id JOIN core_dim_geography g ON g.geography_id = r.geography_id
-JOIN core_dim_network_sector n ON n.network_sector_id = r.network_sector_id WHERE d.year {_BETWEEN} AND g.geography_name IN ('NATION_4', 'NATION_9') GROUP BY 1, 2, 3, 4
+JOIN core_dim_network_sector n ON n.network_sector_id = r.network_sector_id WHERE d.year {_BETWEEN} GROUP BY 1, 2, 3, 4
 """,
 )
 def cross_commodity(t):
-    rows = reads.cross_commodity(marts.cross_commodity_risk(t), FIRST, LAST, ["NATION_4", "NATION_9"])
+    rows = reads.cross_commodity(marts.cross_commodity_risk(t), FIRST, LAST)
     return rows.select("year", "geography_name", "commodity", "sector_name", "ens_mwh")
 
 
@@ -505,10 +504,10 @@ def forecast_input(t):
 
 
 @query(
-    "read_cross_layer", "Q33", f"SELECT * FROM ({M.SUPPLIER_QUALITY}) WHERE year {_BETWEEN} AND supplier_id IN (3, 4, 5)", d11=M._QUALITY,
+    "read_cross_layer", "Q33", f"SELECT * FROM ({M.SUPPLIER_QUALITY}) WHERE year {_BETWEEN}", d11=M._QUALITY,
 )
 def cross_layer(t):
-    return reads.cross_layer(marts.supplier_quality(t), FIRST, LAST, [3, 4, 5])
+    return reads.cross_layer(marts.supplier_quality(t), FIRST, LAST)
 
 
 @query(
@@ -557,14 +556,14 @@ def official_series(t):
 
 
 @query(
-    "read_supplier_health", "Q36 Q40", f"SELECT *, 'fallback' AS source FROM ({M.SUPPLIER_HEALTH}) WHERE year {_BETWEEN} AND supplier_id IN (7, 8)", d11=M._HEALTH, d9=["profit_million_gbp"],
+    "read_supplier_health", "Q36 Q40", f"SELECT *, 'fallback' AS source FROM ({M.SUPPLIER_HEALTH}) WHERE year {_BETWEEN}", d11=M._HEALTH, d9=["profit_million_gbp"],
 )
 def supplier_health(t):
     empty = marts.supplier_health(t).filter("year < 0")
-    return reads.supplier_health(empty, t, FIRST, LAST, [7, 8])
+    return reads.supplier_health(empty, t, FIRST, LAST)
 
 
-@query("read_vulnerability", "Q37 F05", f"SELECT * FROM ({M.VULNERABILITY}) WHERE year {_BETWEEN} AND commodity = 'gas' AND payment_method = 'prepayment'", d9=[*M._DEBT, *M._AGED, *M._CREDIT, "arrears_rate"])
+@query("read_vulnerability", "Q37 F05", f"SELECT * FROM ({M.VULNERABILITY}) WHERE year {_BETWEEN} AND commodity = 'gas' AND payment_method = 'prepayment'", d11=[*M._DEBT, *M._AGED, *M._CREDIT, "arrears_rate"])
 def vulnerability(t):
     return reads.vulnerability(marts.consumer_vulnerability(t), FIRST, LAST, "gas", "prepayment")
 
@@ -608,31 +607,31 @@ def competition(t):
     return reads.competition(marts.competition(t), FIRST, LAST, "electricity")
 
 
-@query("read_affordability", "Q39 F08", f"SELECT * FROM ({M.AFFORDABILITY}) WHERE year {_BETWEEN} AND (payment_method = 'direct_debit' OR payment_method IS NULL)", d9=["value"])
+@query("read_affordability", "Q39 F08", f"SELECT * FROM ({M.AFFORDABILITY}) WHERE year {_BETWEEN} AND (payment_method = 'direct_debit' OR payment_method IS NULL)", d11=["value"])
 def affordability(t):
     return reads.affordability(marts.affordability(t), FIRST, LAST, "direct_debit")
 
 
 @query(
     "read_incidents", "Q39 R30", f"""
-SELECT year, supplier_id, supplier_name, supplier_group, supplier_size, {M.picks('MAX', reads.INCIDENT_METRICS)} FROM ({M.COMPLAINTS}) WHERE year {_BETWEEN} AND metric_name LIKE '%incidents%' AND supplier_id IN (1, 2, 9) GROUP BY 1, 2, 3, 4, 5
+SELECT year, supplier_id, supplier_name, supplier_group, supplier_size, {M.picks('MAX', reads.INCIDENT_METRICS)} FROM ({M.COMPLAINTS}) WHERE year {_BETWEEN} AND metric_name LIKE '%incidents%' AND supplier_id IS NOT NULL GROUP BY 1, 2, 3, 4, 5
 """,
 )
 def incidents(t):
-    return reads.incidents(marts.complaints(t), FIRST, LAST, [1, 2, 9])
+    return reads.incidents(marts.complaints(t), FIRST, LAST)
 
 
 @query(
     "read_complaints_satisfaction", "Q39", f"""
-SELECT 'c' AS source, year, quarter, supplier_name, metric_name, value FROM ({M.COMPLAINTS}) WHERE year {_BETWEEN} AND supplier_id IN (1, 2) UNION ALL
-SELECT 's', year, quarter, supplier_name, metric_name, value FROM ({M.SATISFACTION}) WHERE year {_BETWEEN} AND supplier_id IN (1, 2)
+SELECT 'c' AS source, year, quarter, supplier_name, metric_name, value FROM ({M.COMPLAINTS}) WHERE year {_BETWEEN} UNION ALL
+SELECT 's', year, quarter, supplier_name, metric_name, value FROM ({M.SATISFACTION}) WHERE year {_BETWEEN}
 """,
 )
 def complaints_satisfaction(t):
     shape = [("source", "string"), ("year", "int"), ("quarter", "int"), ("supplier_name", "string"), ("metric_name", "string"), ("value", "double")]
     return union_all([
-        conform(reads.complaints(marts.complaints(t), FIRST, LAST, [1, 2]), shape, source="c"),
-        conform(reads.satisfaction(marts.satisfaction(t), FIRST, LAST, [1, 2]), shape, source="s"),
+        conform(reads.complaints(marts.complaints(t), FIRST, LAST), shape, source="c"),
+        conform(reads.satisfaction(marts.satisfaction(t), FIRST, LAST), shape, source="s"),
     ])
 
 

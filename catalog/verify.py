@@ -40,6 +40,30 @@ def rows_of(columns: list[str], rows: list[tuple]) -> list[tuple]:
     return sorted((tuple(_plain(r[i]) for i in order) for r in rows), key=_key)
 
 
+def _kind(name: str) -> str:
+    """Class of a type name of either engine."""
+    name = name.lower()
+    if name.startswith(("hugeint", "decimal", "uhugeint")):
+        return name.split("(")[0]
+    for kind, starts in (
+        ("int", ("tinyint", "smallint", "int", "bigint", "number")), ("float", ("double", "float")),
+        ("text", ("string", "varchar")), ("bool", ("bool",)), ("date", ("date",)), ("time", ("timestamp",)),
+    ):
+        if name.startswith(starts):
+            return kind
+    return name
+
+
+def type_differences(df, connection: duckdb.DuckDBPyConnection, check: str) -> list[str]:
+    """Columns whose types differ in kind between a query and its check SQL."""
+    described = {r[0]: r[1] for r in connection.execute(f"DESCRIBE {check}").fetchall()}
+    ours = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    return [
+        f"{c}: {ours[c]} / {described[c]}" for c in sorted(ours)
+        if c in described and _kind(ours[c]) != _kind(described[c]) and described[c] != '"NULL"'
+    ]
+
+
 def compare(tables: Tables, connection: duckdb.DuckDBPyConnection, name: str) -> tuple[str, int, float]:
     """Status, number of rows and seconds of one query."""
     q = QUERIES[name]
@@ -60,7 +84,8 @@ def compare(tables: Tables, connection: duckdb.DuckDBPyConnection, name: str) ->
     names = sorted(columns)
     bad = [(x, y) for x, y in zip(a, b, strict=True) if x != y]
     if not bad:
-        return "ok", len(got), seconds
+        types = type_differences(df, connection, q.check)
+        return (f"TYPES {types}" if types else "ok"), len(got), seconds
     x, y = bad[0]
     cells = [(n, p, q_) for n, p, q_ in zip(names, x, y, strict=True) if p != q_]
     return f"VALUES {len(bad)} rows, e.g. {cells[:4]}", len(got), seconds

@@ -144,9 +144,11 @@ def resolve_period(col: Column, kind: str = "auto") -> Column:
         order = ["quarterly", "month_year_short", "us_dayfirst", "dayfirst", "half_year"]
         date = F.coalesce(*[parse_date(text, hint) for hint in order])
         year, quarter = F.coalesce(F.year(date), label_year(text)), F.quarter(date)
+    # Typed field by field: a cast of the whole struct would keep Spark from computing only the fields in use.
     return F.struct(
-        date.alias("period_date"), text.alias("period_label"), year.alias("year"), quarter.alias("quarter")
-    ).cast(PERIOD_TYPE)
+        date.cast("date").alias("period_date"), text.alias("period_label"), year.cast("int").alias("year"),
+        quarter.cast("int").alias("quarter"),
+    )
 
 
 def regulatory_year(

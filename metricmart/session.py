@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 
 # Adaptive execution sizes shuffle partitions, turns small join sides into broadcasts at run time and splits skewed
 # join partitions, also where that costs an extra shuffle: one hot key must not become one slow task.
-WAREHOUSE_SETTINGS = {
+ADAPTIVE_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    "spark.sql.session.timeZone": "UTC",
 }
+WAREHOUSE_SETTINGS = {**ADAPTIVE_SETTINGS, "spark.sql.session.timeZone": "UTC"}
 
 
 def get_spark(app_name: str = "metricmart", master: str | None = None, **settings: str) -> SparkSession:
@@ -26,25 +28,26 @@ def get_spark(app_name: str = "metricmart", master: str | None = None, **setting
 
 
 def apply_settings(spark: SparkSession) -> SparkSession:
-    """Set the warehouse settings on a session that somebody else created."""
-    for key, value in WAREHOUSE_SETTINGS.items():
+    """Set the adaptive settings on a session that somebody else created."""
+    for key, value in ADAPTIVE_SETTINGS.items():
         spark.conf.set(key, value)
     return spark
 
 
-def shared_dir(spark: SparkSession, fallback: str | None = None) -> str:
+def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder for checkpoints and stage snapshots.
 
-    Comes from ``spark.checkpoint.dir``. ``fallback`` is used (and set) only where the session names none, which is
-    the case in tests; there is no silent default, because a machine-local folder is wrong on a cluster.
+    Comes from ``spark.checkpoint.dir``, or from the checkpoint folder already set on the context. Only a local session
+    (tests, a laptop) gets a temporary one; on a cluster an unset folder is an error, as executors could not reach it.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None)
+    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if path:
         return path
-    if fallback is None:
-        raise ValueError("spark.checkpoint.dir is not set; pass a fallback folder every executor can reach")
-    spark.sparkContext.setCheckpointDir(fallback)
-    return fallback
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir is not set: name a folder that every executor can reach")
+    path = tempfile.mkdtemp(prefix="metricmart-")
+    spark.sparkContext.setCheckpointDir(path)
+    return path
 
 
 def stored(df: DataFrame) -> DataFrame:

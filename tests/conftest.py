@@ -5,7 +5,7 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
-from metricmart.session import get_spark, shared_dir  # noqa: E402
+from metricmart.session import get_spark  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -16,7 +16,6 @@ def spark(tmp_path_factory):
            "spark.driver.memory": "4g", "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse"))},
     )
     session.sparkContext.setLogLevel("ERROR")
-    shared_dir(session, fallback=str(tmp_path_factory.mktemp("shared")))
     yield session
 
 

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from metricmart.operators.registry import run_registry
-from metricmart.plans import marts, pipeline, reads, shapes
+from metricmart.plans import marts, reads, refresh, shapes
 from metricmart.sources.landing import as_documents
 from metricmart.sources.sinks import Stage
 
@@ -125,8 +125,8 @@ def landing(spark):
 @pytest.fixture(scope="module")
 def runs(spark, tmp_path_factory):
     raw, base = landing(spark), str(tmp_path_factory.mktemp("stages"))
-    first = pipeline.full_refresh(spark, raw, Stage(spark, base, "run1"))
-    second = pipeline.full_refresh(spark, raw, Stage(spark, base, "run2", previous="run1"))
+    first = refresh.full_refresh(spark, raw, Stage(spark, base, "run1"))
+    second = refresh.full_refresh(spark, raw, Stage(spark, base, "run2", previous="run1"))
     return first, second
 
 
@@ -202,9 +202,9 @@ def test_other_marts(runs):
 
 def test_checks_and_status(spark, runs):
     tables, _ = runs
-    report = {r.check_name: r.status for r in pipeline.core_checks(tables).collect()}
+    report = {r.check_name: r.status for r in refresh.core_checks(tables).collect()}
     assert report == {"negative_losses": "ok", "negative_spend": "ok", "duplicate_reliability_keys": "ok", "missing_demand": "ok", "unmatched_companies": "ok"}
     bad = {**tables, "core_fact_network_reliability": tables["core_fact_network_reliability"].withColumn("ens_mwh", F.lit(-1.0))}
-    assert pipeline.core_checks(bad).filter("status = 'fail'").first().check_name == "negative_losses"
+    assert refresh.core_checks(bad).filter("status = 'fail'").first().check_name == "negative_losses"
     window = marts.trend_in_window(tables["mart_cost_reliability"], "Electricity Transmission", 2013, 2021)
     assert [r.year for r in window.collect()] == [2020, 2021]
