@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 # Adaptive execution sizes shuffle partitions, turns small join sides into broadcasts at run time and splits skewed
@@ -37,17 +35,11 @@ def apply_settings(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder for checkpoints and stage snapshots.
 
-    Comes from ``spark.checkpoint.dir``, or from the checkpoint folder already set on the context. Only a local session
-    (tests, a laptop) gets a temporary one; on a cluster an unset folder is an error, as executors could not reach it.
+    Comes from ``spark.checkpoint.dir``, or from the checkpoint folder already set on the context. Where neither is set
+    (tests, a laptop) it lies in the warehouse folder, which executors share as well.
     """
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if path:
-        return path
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("spark.checkpoint.dir is not set: name a folder that every executor can reach")
-    path = tempfile.mkdtemp(prefix="metricmart-")
-    spark.sparkContext.setCheckpointDir(path)
-    return path
+    return path or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared"
 
 
 def stored(df: DataFrame) -> DataFrame:
