@@ -6,22 +6,35 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from metricmart.llm import exact_dedup, mixing
+from metricmart.llm import decontaminate, exact_dedup, language, mixing
 from metricmart.llm.common import Scratch
 
 
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language can be told stay. The network learns from the labelled documents themselves."""
+    Scratch(spark)
+    return language.keep_identified(docs, language.learn(docs))
+
+
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of identical texts stays: the one with the largest doc_id."""
     return exact_dedup.drop_exact(docs, Scratch(spark))
 
 
+def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a test item, exactly or nearly, go."""
+    return decontaminate.drop_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), Scratch(spark))
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it."""
     return mixing.mix(docs, Scratch(spark))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("language_id", identify_language),
     ("exact_dedup", deduplicate),
+    ("decontamination", decontaminate_benchmark),
     ("source_mix", mix_sources),
 ]
 

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from metricmart.llm import exact_dedup, mixing
-from metricmart.llm.common import Scratch, body
+from metricmart.llm import decontaminate, exact_dedup, language, mixing
+from metricmart.llm.common import Scratch, body, col, id_remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -28,6 +28,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@_register()
+def op1_pigeonhole_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every benchmark item that is in a document, exactly or with few edits."""
+    return decontaminate.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), Scratch(spark))
+
+
 @_register()
 def op2_pivotal_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words taken of each document when all documents are mixed to the weights 5, 2, 1."""
@@ -49,3 +55,12 @@ def op4_refined_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").withColumn("text_sha256", F.sha2(body("text"), 256))
     groups = exact_dedup.exact_groups(docs, Scratch(spark), digest_col="text_sha256")
     return groups.select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
+
+
+@_register()
+def op7_byte_cnn_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from those that are not held out."""
+    docs = _table(Scratch(spark).spark, sf_dir, "documents")
+    held_out = F.coalesce(id_remainder("doc_id", 4) == 2, F.lit(False))
+    net = language.learn(docs.filter(~held_out))
+    return docs.withColumn("guess", language.predicted(net, col("text"))).select("doc_id", held_out.alias("held_out"), "guess.*")
