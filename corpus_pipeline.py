@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from metricmart.llm import decontaminate, exact_dedup, language, mixing
+from metricmart.llm import decontaminate, exact_dedup, language, mixing, ngram_join
 from metricmart.llm.common import Scratch
 
 
@@ -21,6 +21,11 @@ def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.drop_exact(docs, Scratch(spark))
 
 
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates, the document with the smallest doc_id stays."""
+    return ngram_join.keep_one(docs, Scratch(spark))
+
+
 def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a test item, exactly or nearly, go."""
     return decontaminate.drop_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), Scratch(spark))
@@ -34,6 +39,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("language_id", identify_language),
     ("exact_dedup", deduplicate),
+    ("near_duplicates", drop_near_duplicates),
     ("decontamination", decontaminate_benchmark),
     ("source_mix", mix_sources),
 ]

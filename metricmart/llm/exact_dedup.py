@@ -1,7 +1,7 @@
 """Exact deduplication by progressive refinement: length, then a hash of the beginning, then the hash of the whole text.
 
-A step only looks at rows whose group of the step before has at least two. The first scan reads the length and the
-beginning of each text into a narrow table; the second hashes whole texts, only of rows that share both.
+A step only looks at rows whose group of the step before has at least two. The first scan counts lengths and beginnings
+of texts in a narrow table; the second hashes whole texts, only of rows that share both.
 """
 
 from __future__ import annotations
@@ -14,10 +14,10 @@ from metricmart.llm.common import Scratch, body, col, fresh
 
 def _shared_heads(rows: DataFrame, length: str, head: str, scratch: Scratch) -> DataFrame:
     """(length, head hash) pairs that at least two rows have."""
-    narrow = scratch.store(rows.select(length, head), "heads")
-    lengths = narrow.groupBy(length).count().filter("count > 1").select(length)
-    pairs = narrow.join(lengths, length, "left_semi").groupBy(length, head).count()
-    return scratch.store(pairs.filter("count > 1").select(length, head, F.lit(True).alias("survives")), "survivors")
+    counts = scratch.store(rows.groupBy(length, head).count(), "heads")
+    lengths = counts.groupBy(length).agg(F.sum("count").alias("rows")).filter("rows > 1").select(length)
+    pairs = counts.join(lengths, length, "left_semi").filter("count > 1")
+    return scratch.store(pairs.select(length, head, F.lit(True).alias("survives")), "survivors")
 
 
 def exact_groups(

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from metricmart.llm import decontaminate, exact_dedup, language, mixing
+from metricmart.llm import decontaminate, exact_dedup, language, mixing, ngram_join
 from metricmart.llm.common import Scratch, body, col, id_remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -64,3 +64,9 @@ def op7_byte_cnn_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.coalesce(id_remainder("doc_id", 4) == 2, F.lit(False))
     net = language.learn(docs.filter(~held_out))
     return docs.withColumn("guess", language.predicted(net, col("text"))).select("doc_id", held_out.alias("held_out"), "guess.*")
+
+
+@_register()
+def op9_prefix_tree_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Size of every document's set of 5-word shingles, and its component of near duplicates."""
+    return ngram_join.near_duplicates(_table(spark, sf_dir, "documents"), Scratch(spark))
