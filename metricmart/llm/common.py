@@ -48,13 +48,16 @@ class Scratch:
         writer.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def remove(self, path: str) -> None:
+        """Delete a file or folder of this run."""
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+
     def close(self) -> None:
         """Remove the folder."""
         atexit.unregister(self.close)
         try:
-            jvm = self.spark._jvm
-            folder = jvm.org.apache.hadoop.fs.Path(self.path)
-            folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+            self.remove(self.path)
         except Exception:  # noqa: BLE001 - the session has ended; its cluster's folder is cleaned with it
             pass
 

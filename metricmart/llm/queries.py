@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from metricmart.llm import decontaminate, exact_dedup, language, mixing, ngram_join
+from metricmart.llm import decontaminate, exact_dedup, language, line_dedup, mixing, ngram_join, warc
 from metricmart.llm.common import Scratch, body, col, id_remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,3 +70,28 @@ def op7_byte_cnn_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_prefix_tree_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Size of every document's set of 5-word shingles, and its component of near duplicates."""
     return ngram_join.near_duplicates(_table(spark, sf_dir, "documents"), Scratch(spark))
+
+
+@_register(f"""
+WITH texts AS (SELECT doc_id, row_number() OVER () AS row_id, coalesce(text, '') AS body FROM documents),
+split AS (SELECT doc_id, row_id, unnest(string_split(body, chr(10))) AS line, generate_subscripts(string_split(body, chr(10)), 1) AS place FROM texts),
+keyed AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '{line_dedup.UPPER}', '{line_dedup.LOWER}') AS key FROM split),
+common AS (SELECT key, max(doc_id) AS top FROM keyed WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
+judged AS (SELECT k.*, c.key IS NOT NULL AND k.doc_id IS DISTINCT FROM c.top AS gone FROM keyed k LEFT JOIN common c ON k.key = c.key)
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY row_id
+""")
+def op5_levelled_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of every document, and what is left without those that five documents or more share."""
+    kept = line_dedup.dedupe_lines(_table(spark, sf_dir, "documents"), Scratch(spark))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@_register()
+def op10_warc_reassembly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page, written to WARC archives and read back."""
+    scratch = Scratch(spark)
+    warc.write_archive(_table(spark, sf_dir, "pages"), f"{scratch.path}/archive")
+    found = warc.read_archive(spark, f"{scratch.path}/archive", scratch, with_payload=False)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact")
