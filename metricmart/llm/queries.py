@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from metricmart.llm import decontaminate, exact_dedup, language, line_dedup, mixing, ngram_join, warc
+from metricmart.llm import chat, decontaminate, exact_dedup, language, line_dedup, mixing, ngram_join, pii, toxicity, warc
 from metricmart.llm.common import Scratch, body, col, id_remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,3 +95,37 @@ def op10_warc_reassembly(spark: SparkSession, sf_dir: str) -> DataFrame:
     warc.write_archive(_table(spark, sf_dir, "pages"), f"{scratch.path}/archive")
     found = warc.read_archive(spark, f"{scratch.path}/archive", scratch, with_payload=False)
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact")
+
+
+@_register("""
+WITH numbered AS (SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS n FROM conversations),
+whole AS (SELECT conv_id, count(*) AS n_turns, list({'r': role, 't': text} ORDER BY n) AS turns,
+                 string_agg('<|im_start|>' || replace(coalesce(role, ''), '<|', '< |') || chr(10) || replace(coalesce(text, ''), '<|', '< |') || '<|im_end|>' || chr(10), '' ORDER BY n) AS rendered
+          FROM numbered GROUP BY conv_id),
+inner_turns AS (SELECT DISTINCT w.turns[1:k] AS turns FROM (SELECT turns, unnest(range(1, n_turns)) AS k FROM whole) w),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY turns ORDER BY conv_id NULLS LAST) AS place FROM whole)
+SELECT conv_id, n_turns, rendered FROM ranked r WHERE place = 1 AND NOT EXISTS (SELECT 1 FROM inner_turns i WHERE i.turns = r.turns)
+""")
+def op6_snapshot_collapse_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every maximal conversation as chat text."""
+    return chat.chat_documents(_table(spark, sf_dir, "conversations"), Scratch(spark))
+
+
+@_register()
+def op3_factorization_machine_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from the labelled ones that are not held out."""
+    docs = _table(Scratch(spark).spark, sf_dir, "documents")
+    held_out = F.coalesce(id_remainder("doc_id", 3) == 1, F.lit(False))
+    labels = _table(spark, sf_dir, "labels").select(F.col("doc_id").alias("of"), "toxic")
+    labelled = docs.filter(~held_out).join(labels, F.col("doc_id") == F.col("of")).select("doc_id", "text", "toxic")
+    score = toxicity.scored(toxicity.learn(labelled), col("text"))
+    return docs.select("doc_id", held_out.alias("held_out"), score.alias("score")).withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+
+
+@_register()
+def op8_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: the four fixed forms and what their contexts discover."""
+    found = pii.find_pii(_table(spark, sf_dir, "documents"), Scratch(spark))
+    counts = [pii.count_of(kind, F.col("spans")).alias(f"n_{kind}") for kind in pii.KINDS]
+    base = pii.joined_spans(F.filter("spans", lambda s: s["kind"] != "learned"))
+    return found.select("doc_id", *counts, F.sha2(base, 256).alias("base_sha256"), pii.joined_spans(F.col("spans")).alias("spans"))
