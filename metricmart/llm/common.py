@@ -5,7 +5,7 @@ from __future__ import annotations
 import atexit
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from metricmart.session import apply_settings, shared_dir
@@ -98,3 +98,15 @@ def id_remainder(id_col: str, modulus: int) -> Column:
 def word_count(text_col: str) -> Column:
     """Number of words of a text; null has none."""
     return F.coalesce(F.regexp_count(col(text_col), F.lit(WORD)), F.lit(0)).cast("long")
+
+
+def smallest_draws(rows: DataFrame, label: str, draw: str, limit: int, tie: str) -> DataFrame:
+    """Of each label the ``limit`` rows with the smallest draw, a 64-bit hash; ties in the order of ``tie``.
+
+    A label's count first tells how small a draw has to be, so that only about three times as many rows are ranked.
+    """
+    counts = rows.groupBy(F.col(label).alias("_of")).agg(F.count(F.lit(1)).alias("_rows"))
+    share = F.least(F.lit(1.0), F.lit(3.0 * limit + 50) / F.col("_rows"))
+    near = rows.join(counts, F.col(label) == F.col("_of")).filter(F.pmod(F.col(draw), F.lit(1 << 20)) < share * (1 << 20))
+    order = Window.partitionBy(label).orderBy(F.pmod(F.col(draw), F.lit(1 << 20)), draw, tie)
+    return near.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= limit).drop("_of", "_rows", "_rank")

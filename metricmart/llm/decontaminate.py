@@ -129,8 +129,9 @@ def _blocks(spark: SparkSession, benchmark: DataFrame, scratch: Scratch, item_co
     size = items.agg(F.sum(F.octet_length("norm"))).first()[0] or 0
     count = -(-size // block_bytes)
     for block in range(count):
-        some = items.filter(F.pmod(F.xxhash64("norm"), F.lit(count)) == block)
-        yield [(r["item"], r["norm"]) for r in some.collect()]
+        some = items.filter(F.pmod(F.xxhash64("norm"), F.lit(count)) == block).collect()
+        if some:
+            yield [(r["item"], r["norm"]) for r in some]
 
 
 def find_leaks(

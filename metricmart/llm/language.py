@@ -13,11 +13,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from metricmart.llm.common import col
+from metricmart.llm.common import col, smallest_draws
 
 HAS_LETTER = r"\p{L}"
 UNDETERMINED = "und"
@@ -159,11 +159,9 @@ def training_windows(
         )
         for k in range(pieces)
     ]
-    order = Window.partitionBy("lang").orderBy("draw", "pieces")
+    drawn = usable.select(col(lang_col).alias("lang"), F.xxhash64(F.lit(3), col(id_col)).alias("draw"), F.array(*spots).alias("pieces"))
     rows = (
-        usable.select(col(lang_col).alias("lang"), F.xxhash64(F.lit(3), col(id_col)).alias("draw"), F.array(*spots).alias("pieces"))
-        .withColumn("rank", F.row_number().over(order))
-        .filter(F.col("rank") <= max(1, most // (pieces * count)))
+        smallest_draws(drawn, "lang", "draw", max(1, most // (pieces * count)), "pieces")
         .select("lang", F.explode(F.array_distinct("pieces")).alias("piece"))
         .filter(F.col("piece").rlike(HAS_LETTER))
         .orderBy("lang", "piece")

@@ -15,11 +15,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from metricmart.llm.common import col
+from metricmart.llm.common import col, smallest_draws
 
 TERM = re.compile(r"\w+")
 BUCKETS = 1 << 24
@@ -111,12 +111,10 @@ def training_texts(labelled: DataFrame, id_col: str, text_col: str, label_col: s
 
     Those with the smallest hash of their id; each whole text is hashed in Spark's tasks.
     """
-    order = Window.partitionBy("label").orderBy("draw", "content")
-    sample = (
-        labelled.select(col(label_col).cast("int").alias("label"), F.xxhash64(F.lit(3), col(id_col)).alias("draw"), col(text_col).alias("content"))
-        .filter("label IN (0, 1) AND content IS NOT NULL")
-        .withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= most // 2)
-    )
+    usable = labelled.select(
+        col(label_col).cast("int").alias("label"), F.xxhash64(F.lit(3), col(id_col)).alias("draw"), col(text_col).alias("content")
+    ).filter("label IN (0, 1) AND content IS NOT NULL")
+    sample = smallest_draws(usable, "label", "draw", most // 2, "content")
 
     @pandas_udf("array<int>")
     def hashed(texts: pd.Series) -> pd.Series:
