@@ -12,8 +12,8 @@ from metricmart.session import apply_settings, shared_dir
 
 # Arrow batches are bounded in bytes as well as rows: one batch of very long texts must fit beside the others.
 ARROW_SETTINGS = {
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
-    "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20),
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
 }
 WORD = r"[^\x20\x09-\x0D]+"
 

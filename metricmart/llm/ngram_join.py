@@ -9,13 +9,14 @@ most prefix shingles with among the first of each shingle; that joins whole clus
 Then only sets that meet although they are in different components yet are paired, and only if the shingles left after
 those they share could still make up the required overlap.
 
-Comparisons run over prefix trees: the sets to compare with one hub are stored in the global order, frequent shingles
+Pairs whose hash histograms already rule the overlap out are dropped. Comparisons run over prefix trees: the sets to compare with one hub are stored in the global order, frequent shingles
 first, as a sorted list whose neighbours share their common beginnings; the overlap of a shared beginning is computed
 once, and a branch is left as soon as what remains of it cannot reach the required overlap.
 """
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -33,25 +34,92 @@ from metricmart.llm.components import components
 SKETCH_BITS = 22  # counters of the shingle sketch; its size bounds what is broadcast (one byte a counter)
 HUB_ROWS = 4096  # sets that share one hub at most
 TREE_ROWS = 256  # sets in one prefix tree
-
-
-def shingles(text: bytes | None, size: int = 5) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the shingles; fewer words than ``size`` give one, no words none.
+CELLS, FULL = 256, 65535  # histogram of a set's hashes: cells, and the count that stands for all larger ones
+
+
+WHITE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+LOWERED = np.where((np.arange(256) >= 65) & (np.arange(256) <= 90), np.arange(256) + 32, np.arange(256))
+LONG_WORD = 64
+_random = np.random.default_rng(20)
+BYTES = _random.integers(1, 2**63, 256, dtype=np.uint64)[LOWERED]
+PLACES = _random.integers(1, 2**63, LONG_WORD, dtype=np.uint64) | np.uint64(1)
+
+
+def _mixed(h: np.ndarray) -> np.ndarray:
+    """A bijection of 64-bit numbers that spreads every bit."""
+    h = (h ^ (h >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
+    h = (h ^ (h >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
+    return h ^ (h >> np.uint64(33))
+
+
+def _words(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Start and hash of every word of a piece of text; A-Z count as lower case."""
+    raw = np.frombuffer(data, np.uint8)
+    inside = ~WHITE[raw]
+    edges = np.flatnonzero(np.diff(inside.view(np.int8), prepend=0, append=0))
+    starts, lengths = edges[::2], edges[1::2] - edges[::2]
+    if not len(starts):
+        return starts, np.empty(0, np.uint64)
+    first = np.cumsum(lengths) - lengths
+    place = np.arange(first[-1] + lengths[-1]) - np.repeat(first, lengths)
+    hashes = np.add.reduceat(BYTES[raw[inside]] * PLACES[place & (LONG_WORD - 1)], first) + lengths.astype(np.uint64)
+    for i in np.flatnonzero(lengths > LONG_WORD):
+        hashes[i] = xxhash.xxh3_64_intdigest(data[starts[i] : starts[i] + lengths[i]].lower())
+    return starts, _mixed(hashes)
+
+
+def _pieces(texts: list[bytes], most: int = 1 << 20) -> Iterator[tuple[int, list[bytes]]]:
+    """Texts grouped to pieces of about ``most`` bytes, as (first text, parts); a longer text is cut at white space."""
+    group, size, first = [], 0, 0
+    for n, text in enumerate(texts):
+        if group and size + len(text) > most:
+            yield first, group
+            group, size = [], 0
+        if not group:
+            first = n
+        at = 0
+        while len(text) - at > 2 * most:
+            gap = re.compile(rb"[\x20\x09-\x0D]").search(text, at + most)
+            if gap is None:
+                break
+            yield n, [text[at : gap.start()]]
+            at = gap.start()
+        group.append(text[at:])
+        size += len(text) - at
+    if group:
+        yield first, group
+
+
+def shingle_sets(texts: list[bytes | None], size: int = 5) -> list[np.ndarray]:
+    """Sorted distinct 64-bit hashes of each text's shingles; fewer words than ``size`` give one, no words none.
 
     Words are runs of other characters than ASCII white space, A-Z in lower case.
     """
-    words = (text or b"").lower().split()
-    if not words:
-        return np.empty(0, np.uint64)
-    line = b" ".join(words)
-    if len(words) <= size:
-        return np.array([xxhash.xxh3_64_intdigest(line)], np.uint64)
-    lengths = np.fromiter(map(len, words), np.int64, len(words))
-    ends = np.cumsum(lengths + 1) - 1
-    starts = ends - lengths
-    digest = xxhash.xxh3_64_intdigest
-    spans = zip(starts[: len(words) - size + 1].tolist(), ends[size - 1 :].tolist())
-    return np.unique(np.fromiter((digest(line[a:b]) for a, b in spans), np.uint64, len(words) - size + 1))
+    hashes, owners = [], []
+    for first, parts in _pieces([t or b"" for t in texts]):
+        starts, words = _words(b" ".join(parts))
+        begins = np.cumsum([0] + [len(p) + 1 for p in parts[:-1]])
+        hashes.append(words)
+        owners.append(first + np.searchsorted(begins, starts, side="right") - 1)
+    words, owner = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (hashes, owners))
+    bounds = np.searchsorted(owner, np.arange(len(texts) + 1))
+    counts = np.diff(bounds)
+    rolled = np.full(max(len(words) - size + 1, 0), size, np.uint64)
+    for k in range(size):
+        rolled = _mixed(rolled + words[k : k + len(rolled)])
+    out = []
+    for start, count in zip(bounds.tolist(), counts.tolist()):
+        if count >= size:
+            one = np.sort(rolled[start : start + count - size + 1])
+            out.append(one[np.concatenate(([True], one[1:] != one[:-1]))])
+        elif count:
+            whole = np.full(1, count, np.uint64)
+            for k in range(count):
+                whole = _mixed(whole + words[start + k])
+            out.append(whole)
+        else:
+            out.append(np.empty(0, np.uint64))
+    return out
 
 
 def required(n: int, m: int, percent: int) -> int:
@@ -77,65 +145,110 @@ def heat_classes(counts: np.ndarray) -> np.ndarray:
     return np.where(hot, np.ceil(np.log2(np.maximum(counts, 1))), 0).astype(np.uint8)
 
 
+def _low(tokens: np.ndarray, size: int) -> np.ndarray:
+    return (tokens & np.uint64(size - 1)).astype(np.int64)
+
+
 def _measured(docs: DataFrame, size: int, scratch: Scratch) -> tuple[DataFrame, np.ndarray]:
-    """(id, n, key) of every row, key the 128-bit hash of the set; and the frequency classes of all shingles."""
+    """(id, n, key, cells) of every row, and the frequency classes of all shingles.
+
+    ``key`` is the 128-bit hash of the set, ``cells`` a histogram of its hashes.
+    """
+    names = ["id", "n", "key", "cells", "sketch"]
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, kind = np.zeros(1 << SKETCH_BITS, np.uint32), None
-        names = ["id", "n", "key", "sketch"]
+        counts, waiting, kind = np.zeros(1 << SKETCH_BITS, np.uint32), [], None
+
+        def count() -> None:
+            if waiting:
+                counts[:] += np.bincount(np.concatenate(waiting), minlength=len(counts)).astype(np.uint32)
+                waiting.clear()
+
         for batch in batches:
             kind = batch.column(0).type
-            sets = [shingles(t.as_py(), size) for t in batch.column(1)]
-            if sets:
-                low = (np.concatenate(sets) & np.uint64(len(counts) - 1)).astype(np.int64)
-                counts += np.bincount(low, minlength=len(counts)).astype(np.uint32)
+            sets = shingle_sets(batch.column(1).to_pylist(), size)
+            waiting.extend(_low(s, len(counts)) for s in sets)
+            if sum(map(len, waiting)) > 1 << 20:
+                count()
             keys = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
+            cells = [np.minimum(np.bincount(_low(s, CELLS), minlength=CELLS), FULL).astype(np.uint16).tobytes() for s in sets]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.binary()), pa.nulls(len(sets), pa.binary())], names=names
+                [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.binary()), pa.array(cells, pa.binary()), pa.nulls(len(sets), pa.binary())],
+                names=names,
             )
         if kind is not None:
-            yield pa.RecordBatch.from_arrays(
-                [pa.nulls(1, kind), pa.array([-1], pa.int64()), pa.nulls(1, pa.binary()), pa.array([zlib.compress(counts.tobytes(), 1)], pa.binary())], names=names
-            )
+            count()
+            sketch = pa.array([zlib.compress(counts.tobytes(), 1)], pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.nulls(1, kind), pa.array([-1], pa.int64()), pa.nulls(1, pa.binary()), pa.nulls(1, pa.binary()), sketch], names=names)
 
     kind = docs.schema["id"].dataType.simpleString()
-    measured = scratch.store(docs.mapInArrow(measure, f"id {kind}, n long, key binary, sketch binary"), "measured")
+    measured = scratch.store(docs.mapInArrow(measure, f"id {kind}, n long, key binary, cells binary, sketch binary"), "measured")
     sketches = measured.filter("n < 0").select("sketch").rdd.map(lambda r: np.frombuffer(zlib.decompress(r[0]), np.uint32))
     zero = np.zeros(1 << SKETCH_BITS, np.uint32)
     counts = zero if sketches.isEmpty() else sketches.treeReduce(np.add)
-    return measured.filter("n >= 0").select("id", "n", "key"), heat_classes(counts)
+    return measured.filter("n >= 0").drop("sketch"), heat_classes(counts)
+
+
+def _named(docs: DataFrame, ids: DataFrame, bits: int = 23) -> Column:
+    """Whether a row's id is among ``ids``, by a bitmap of hashed ids: never false for one of them, rarely true for others.
+
+    The bitmap has a fixed size whatever the number of ids.
+    """
+    spark = docs.sparkSession
+    mask = (1 << bits) - 1
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bitmap = np.zeros(1 << bits, bool)
+        for batch in batches:
+            bitmap[batch.column(0).to_numpy() & mask] = True
+        yield pa.RecordBatch.from_arrays([pa.array([np.packbits(bitmap).tobytes()], pa.binary())], names=["bitmap"])
+
+    marks = ids.select(F.xxhash64("id").alias("h")).mapInArrow(mark, "bitmap binary").rdd.map(lambda r: np.frombuffer(r[0], np.uint8))
+    wanted = spark.sparkContext.broadcast(np.zeros((1 << bits) // 8, np.uint8) if marks.isEmpty() else marks.treeReduce(np.bitwise_or))
+
+    @pandas_udf("boolean")
+    def asked(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for hashes in batches:
+            at = hashes.to_numpy() & mask
+            yield pd.Series((wanted.value[at >> 3] >> (7 - (at & 7))) & 1 == 1)
+
+    return asked(F.xxhash64("id"))
 
 
 def _prefixes(docs: DataFrame, size: int, percent: int, heat) -> DataFrame:
-    """Prefix of every set with at least four shingles (smaller ones can only equal each other): id, n, key, tokens, salts."""
+    """Prefix of every set with at least four shingles (smaller ones can only equal each other): id, key, tokens, places.
+
+    A token is 48 bits of a shingle's hash: enough to meet, as whole hashes are compared later. A place packs the set's
+    size, the position in it and the number of parts (a power of two) that the shingle's rows are dealt to.
+    """
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes = heat.value
+        spare = HUB_ROWS.bit_length() - 1
         for batch in batches:
-            rows, sizes, keys, tokens, salts = [], [], [], [], []
-            for i, text in enumerate(batch.column(1)):
-                found = shingles(text.as_py(), size)
-                if len(found) < 4:
+            rows, keys, tokens, places = [], [], [], []
+            for i, found in enumerate(shingle_sets(batch.column(1).to_pylist(), size)):
+                n = len(found)
+                if n < 4:
                     continue
-                some = ordered(found, classes)[: prefix_length(len(found), percent)]
-                warm = classes[(some & np.uint64(len(classes) - 1)).astype(np.int64)].astype(np.int64)
+                some = ordered(found, classes)[: prefix_length(n, percent)]
+                parts = np.maximum(classes[_low(some, len(classes))].astype(np.int64) - spare, 0)
                 rows.append(i)
-                sizes.append(len(found))
                 keys.append(xxhash.xxh3_128_digest(found.tobytes()))
-                tokens.append(some.view(np.int64))
-                salts.append(np.maximum((1 << warm) // HUB_ROWS, 1))
+                tokens.append((some >> np.uint64(16)).astype(np.int64))
+                places.append((n << 33) | (np.arange(len(some), dtype=np.int64) << 5) | parts)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(rows, pa.int64())), pa.array(sizes, pa.int32()), pa.array(keys, pa.binary()),
-                 pa.array(tokens, pa.list_(pa.int64())), pa.array(salts, pa.list_(pa.int64()))],
-                names=["id", "n", "key", "tokens", "salts"],
+                [batch.column(0).take(pa.array(rows, pa.int64())), pa.array(keys, pa.binary()),
+                 pa.array(tokens, pa.list_(pa.int64())), pa.array(places, pa.list_(pa.int64()))],
+                names=["id", "key", "tokens", "places"],
             )
 
     kind = docs.schema["id"].dataType.simpleString()
-    return docs.mapInArrow(first, f"id {kind}, n int, key binary, tokens array<long>, salts array<long>")
+    return docs.mapInArrow(first, f"id {kind}, key binary, tokens array<long>, places array<long>")
 
 
-def _meeting(rows: DataFrame, by: list[str]) -> DataFrame:
-    """Rows of groups with at least two, and all ``salted`` ones, with id, n and pos of their group's first row (the hub).
+def _meeting(rows: DataFrame, by_part: bool) -> DataFrame:
+    """(token, id, place) → rows of groups with at least two, and all ``salted`` ones, with id, n and pos of their group's first row (the hub).
 
     One streaming pass over sorted partitions: of a group, no more than its first row is held.
     """
@@ -146,7 +259,7 @@ def _meeting(rows: DataFrame, by: list[str]) -> DataFrame:
             table = pa.Table.from_batches([batch] if held is None else [held, batch]).combine_chunks()
             if not table.num_rows:
                 continue
-            keys = [table.column(c).to_numpy() for c in by]
+            keys = [table.column(c).to_numpy() for c in ("token", "part")]
             starts = np.ones(table.num_rows, bool)
             starts[1:] = np.logical_or.reduce([k[1:] != k[:-1] for k in keys])
             first = np.flatnonzero(starts)
@@ -165,10 +278,14 @@ def _meeting(rows: DataFrame, by: list[str]) -> DataFrame:
             emitted = (goes_on and emitted) or bool(sizes[-1] > 1) or bool(salted[first[-1]])
             held = table.select(batch.schema.names).slice(first[-1], 1).combine_chunks().to_batches()[0]
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
+    kind = rows.schema["id"].dataType.simpleString()
+    n, pos, bits = F.shiftright("place", 33), F.shiftright("place", 5).bitwiseAND(F.lit((1 << 28) - 1)), F.col("place").bitwiseAND(F.lit(31))
+    parts = F.pmod(F.xxhash64("id"), F.pow(F.lit(2), bits).cast("long"))
+    part = parts if by_part else F.lit(0).cast("long")
     return (
-        rows.repartition(*by).sortWithinPartitions(*by, F.xxhash64("id"), "id")
-        .mapInArrow(meet, f"{schema}, hub_id {rows.schema['id'].dataType.simpleString()}, hub_n int, hub_pos int")
+        rows.repartition("token", part).sortWithinPartitions("token", part, F.xxhash64("id"), "id")
+        .select("token", part.alias("part"), "id", n.cast("int").alias("n"), pos.cast("int").alias("pos"), (bits > 0).alias("salted"), "place")
+        .mapInArrow(meet, f"token long, part long, id {kind}, n int, pos int, salted boolean, place long, hub_id {kind}, hub_n int, hub_pos int")
     )
 
 
@@ -207,67 +324,56 @@ def tree_links(hub: np.ndarray, others: list[tuple[object, np.ndarray]], percent
     return found
 
 
-def _sets(docs: DataFrame, ids: DataFrame, size: int, heat, bits: int = 23) -> DataFrame:
-    """(id, n, tokens) of the documents named: their texts are found with a bitmap of hashed ids, then hashed again.
+def _plausible(pairs: DataFrame, measured: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) that the histograms of their hashes allow: the overlap is at most the sum of the smaller counts."""
+    sides = measured.filter("id IS NOT NULL AND n > 0").select("id", "n", "cells")
+    left = sides.select(F.col("id").alias("a_id"), F.col("n").alias("a_n"), F.col("cells").alias("a_cells"))
+    both = pairs.join(left, F.col("a") == F.col("a_id")).join(sides, F.col("b") == F.col("id")).select("a", "b", "a_n", "n", "a_cells", "cells")
 
-    The bitmap has a fixed size; a false hit costs a set that no pair asks for.
-    """
-    spark = docs.sparkSession
-    mask = (1 << bits) - 1
-
-    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bitmap = np.zeros(1 << bits, bool)
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            bitmap[batch.column(0).to_numpy() & mask] = True
-        yield pa.RecordBatch.from_arrays([pa.array([np.packbits(bitmap).tobytes()], pa.binary())], names=["bitmap"])
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, CELLS) for c in ("a_cells", "cells"))
+            n, m = (batch.column(c).to_numpy() for c in ("a_n", "n"))
+            least = np.minimum(x, y)
+            most = np.where((least == FULL).any(axis=1), np.minimum(n, m), least.sum(axis=1, dtype=np.int64))
+            yield batch.select(["a", "b"]).filter(pa.array(100 * most >= percent * (n + m - most)))
 
-    marks = ids.select(F.xxhash64("id").alias("h")).mapInArrow(mark, "bitmap binary").rdd.map(lambda r: np.frombuffer(r[0], np.uint8))
-    wanted = spark.sparkContext.broadcast(np.zeros((1 << bits) // 8, np.uint8) if marks.isEmpty() else marks.treeReduce(np.bitwise_or))
+    kind = pairs.schema["a"].dataType.simpleString()
+    return both.mapInArrow(judge, f"a {kind}, b {kind}").distinct()
 
-    @pandas_udf("boolean")
-    def asked(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        bitmap = np.unpackbits(wanted.value).astype(bool)
-        for hashes in batches:
-            yield pd.Series(bitmap[hashes.to_numpy() & mask])
 
-    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [np.ascontiguousarray(ordered(shingles(t.as_py(), size), heat.value)[::-1]) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], names=["id", "tokens"]
-            )
+def _linked(pairs: DataFrame, measured: DataFrame, docs: DataFrame, size: int, percent: int, heat, scratch: Scratch) -> DataFrame:
+    """Those of the pairs (a, b) whose sets are similar enough; one prefix tree for each a and up to some 256 b.
 
+    Only texts of documents that are left in a pair are shuffled; their sets are made where they are compared.
+    """
     kind = docs.schema["id"].dataType.simpleString()
-    return docs.filter(asked(F.xxhash64("id"))).mapInArrow(build, f"id {kind}, tokens array<long>")
-
-
-def _linked(pairs: DataFrame, docs: DataFrame, size: int, percent: int, heat, scratch: Scratch) -> DataFrame:
-    """Those of the pairs (a, b) whose sets are similar enough; one prefix tree for each a and up to some 256 b."""
-    pairs = scratch.store(pairs, "pairs")
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    sets = scratch.store(_sets(docs, ids, size, heat), "sets")
+    pairs = scratch.store(_plausible(pairs, measured, percent), "pairs")
+    if pairs.isEmpty():
+        return pairs
+    texts = docs.filter(_named(docs, pairs.select(F.col("a").alias("id")).union(pairs.select("b")))).withColumnRenamed("id", "own")
     degree = pairs.groupBy(F.col("a").alias("of")).agg(F.ceil(F.count(F.lit(1)) / TREE_ROWS).alias("trees"))
     dealt = pairs.join(degree, F.col("a") == F.col("of")).select("a", "b", F.pmod(F.xxhash64("b"), "trees").alias("tree"))
-    branches = dealt.join(sets, F.col("b") == F.col("id")).select("a", "tree", F.lit(1).alias("role"), "id", "tokens")
-    hubs = dealt.select("a", "tree").distinct().join(sets, F.col("a") == F.col("id")).select("a", "tree", F.lit(0).alias("role"), "id", "tokens")
+    seats = dealt.select("a", "tree", F.lit(1).alias("role"), F.col("b").alias("id")).unionAll(
+        dealt.select("a", "tree", F.lit(0).alias("role"), F.col("a").alias("id")).distinct()
+    )
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, roots, others = None, [], []
 
         def found() -> pa.RecordBatch:
             keys = sorted({k for root in roots for k in tree_links(root, others, percent)})
-            return pa.RecordBatch.from_arrays([pa.array([group[0]] * len(keys), kind), pa.array(keys, kind)], names=["a", "b"])
+            return pa.RecordBatch.from_arrays([pa.array([group[0]] * len(keys), arrow), pa.array(keys, arrow)], names=["a", "b"])
 
         for batch in batches:
-            kind = batch.schema.field("id").type
-            offsets = batch.column("tokens").offsets.to_numpy()
-            values = batch.column("tokens").values.to_numpy().view(np.uint64)
-            for i, (a, tree, role, key) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("a", "tree", "role", "id")))):
+            arrow = batch.schema.field("id").type
+            sets = shingle_sets(batch.column("content").to_pylist(), size)
+            for a, tree, role, key, tokens in zip(*(batch.column(c).to_pylist() for c in ("a", "tree", "role", "id")), sets):
                 if (a, tree) != group:
                     if others:
                         yield found()
                     group, roots, others = (a, tree), [], []
-                tokens = values[offsets[i] : offsets[i + 1]].copy()
+                tokens = ordered(tokens, heat.value)[::-1]
                 if role:
                     others.append((key, tokens))
                 else:
@@ -275,10 +381,9 @@ def _linked(pairs: DataFrame, docs: DataFrame, size: int, percent: int, heat, sc
         if others:
             yield found()
 
-    kind = docs.schema["id"].dataType.simpleString()
     return scratch.store(
-        branches.unionAll(hubs).repartition("a", "tree").sortWithinPartitions("a", "tree", "role", "id")
-        .mapInArrow(compare, f"a {kind}, b {kind}"),
+        seats.join(texts, F.col("id") == F.col("own")).select("a", "tree", "role", "id", "content")
+        .repartition("a", "tree").sortWithinPartitions("a", "tree", "role", "id").mapInArrow(compare, f"a {kind}, b {kind}"),
         "links",
     )
 
@@ -303,15 +408,16 @@ def near_duplicates(
         .filter("rows > 1").select(F.col("key").alias("twin"), "first"),
         "twins",
     )
-    copies = measured.join(twins, F.col("key") == F.col("twin")).filter("id <> first").select("id", "key").distinct()
-    prefixes = _prefixes(known, size, percent, heat).join(copies, ["id", "key"], "left_anti")
-    places = prefixes.select("id", "n", F.posexplode(F.arrays_zip("tokens", "salts")).alias("pos", "at")).select(
-        F.col("at.tokens").alias("token"), F.pmod(F.xxhash64("id"), "at.salts").alias("salt"), "id", "n", "pos",
-        (F.col("at.salts") > 1).alias("salted"),
+    # equal sets are searched for once: all but one row of each is left out, by a bitmap first
+    copies = scratch.store(measured.join(twins, F.col("key") == F.col("twin")).filter("id <> first").select("id", "key").distinct(), "copies")
+    copied = _named(known, copies)
+    prefixes = _prefixes(known.filter(~copied), size, percent, heat).unionByName(
+        _prefixes(known.filter(copied), size, percent, heat).join(copies, ["id", "key"], "left_anti")
     )
-    met = scratch.store(_meeting(places, ["token", "salt"]), "met")
+    places = prefixes.select("id", F.explode(F.arrays_zip("tokens", "places")).alias("at")).select(F.col("at.tokens").alias("token"), "id", F.col("at.places").alias("place"))
+    met = scratch.store(_meeting(places, True).drop("part"), "met")
     # hubs of the parts of one very frequent shingle meet in turn
-    over = _meeting(met.filter("salted AND id = hub_id").select("token", "id", "n", "pos", "salted"), ["token"])
+    over = _meeting(met.filter("salted AND id = hub_id").select("token", "id", "place"), False)
     seats = ["id", "n", "pos", "hub_id", "hub_n", "hub_pos"]
     # one hub for each set: that with which it shares most prefix shingles
     tried = (
@@ -323,7 +429,7 @@ def near_duplicates(
         .groupBy("id").agg(F.max(F.struct("shared", "hub_id")).alias("best"))
         .select(F.col("best.hub_id").alias("a"), F.col("id").alias("b"))
     )
-    links = _linked(tried, known, size, percent, heat, scratch)
+    links = _linked(tried, measured, known, size, percent, heat, scratch)
     joined = components(links, scratch)
 
     # sets that meet in different components: all but those of a shingle's largest component meet all others
@@ -354,7 +460,7 @@ def near_duplicates(
         .groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"), F.max("pa").alias("la"), F.max("pb").alias("lb"), F.max("na").alias("na"), F.max("nb").alias("nb"))
         .filter(_could_link(percent)).select("a", "b")
     )
-    more = _linked(later, known, size, percent, heat, scratch)
+    more = _linked(later, measured, known, size, percent, heat, scratch)
     final = components(links.unionAll(more), scratch) if not more.isEmpty() else joined
     nodes = measured.join(twins, F.col("key") == F.col("twin"), "left").select("id", "n", F.when(F.col("id").isNotNull(), F.coalesce("first", "id")).alias("at"))
     return nodes.join(final, F.col("at") == F.col("node"), "left").select(
