@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -110,3 +111,37 @@ def smallest_draws(rows: DataFrame, label: str, draw: str, limit: int, tie: str)
     near = rows.join(counts, F.col(label) == F.col("_of")).filter(F.pmod(F.col(draw), F.lit(1 << 20)) < share * (1 << 20))
     order = Window.partitionBy(label).orderBy(F.pmod(F.col(draw), F.lit(1 << 20)), draw, tie)
     return near.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= limit).drop("_of", "_rows", "_rank")
+
+
+def membership(keys: DataFrame, scratch: Scratch, bits: int = 25) -> Callable[..., Column]:
+    """A test whether columns hash like a row of ``keys``: never false for one of them, seldom true for others.
+
+    A bitmap of hashes, of fixed size (4 MB) whatever the number of keys, so it may go to every task. Used before joins:
+    rows that it rules out need no shuffle. The more keys, the more rows it lets through to the join, which decides.
+    """
+    chunk = 15  # Spark's bitmaps have 2 ** 15 bits
+    place = lambda *columns: F.pmod(F.xxhash64(F.lit(bits), *columns), F.lit(1 << bits))
+    marks = keys.select(place(*[col(c) for c in keys.columns]).alias("place"))
+    parts = marks.groupBy(F.shiftright("place", chunk).alias("part")).agg(
+        F.bitmap_construct_agg(F.col("place").bitwiseAND(F.lit((1 << chunk) - 1))).alias("bitmap")
+    )
+    every = keys.sparkSession.range(1 << (bits - chunk)).join(parts, F.col("id") == F.col("part"), "left")
+    whole = scratch.store(every.agg(F.transform(F.sort_array(F.collect_list(F.struct("id", F.coalesce("bitmap", F.lit(b"")).alias("bitmap")))), lambda x: x["bitmap"]).alias("parts")), "bitmap")
+
+    def test(*columns: Column) -> Column:
+        at = place(*columns)
+        part = F.element_at(whole.scalar(), (F.shiftright(at, chunk) + 1).cast("int"))
+        byte = F.substring(part, (F.shiftright(at, 3).bitwiseAND(F.lit((1 << (chunk - 3)) - 1)) + 1).cast("int"), F.lit(1))
+        value = F.coalesce(F.conv(F.hex(byte), 16, 10).cast("int"), F.lit(0))
+        return F.getbit(value, at.bitwiseAND(F.lit(7)).cast("int")) == 1
+
+    return test
+
+
+def without(docs: DataFrame, id_col: str, gone: DataFrame, scratch: Scratch) -> DataFrame:
+    """``docs`` without the rows whose id is in ``gone`` (one column); only rows that a bitmap lets through are shuffled."""
+    (name,) = fresh(docs, "gone")
+    ids = scratch.store(gone.toDF(name).distinct(), "gone")
+    maybe = membership(ids, scratch)(col(id_col))
+    rest = docs.filter(maybe).join(ids.hint("merge"), col(id_col).eqNullSafe(F.col(name)), "left_anti")
+    return docs.filter(~maybe).unionAll(rest)

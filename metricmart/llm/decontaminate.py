@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from metricmart.llm.common import Scratch, col, fresh
+from metricmart.llm.common import Scratch, col, without
 
 WORDS = re.compile(r"\w+")
 
@@ -177,7 +177,5 @@ def drop_leaks(
     docs: DataFrame, benchmark: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text", **options
 ) -> DataFrame:
     """``docs`` without those that hold a benchmark item; columns stay as they are. Rows that share an id share its fate."""
-    (leaked,) = fresh(docs, "leaked")
     leaks = find_leaks(docs, benchmark, scratch, id_col, text_col, **options)
-    ids = scratch.store(leaks.select(col(id_col).alias(leaked)).distinct(), "leaked")
-    return docs.join(ids, col(id_col).eqNullSafe(F.col(leaked)), "left_anti")
+    return without(docs, id_col, leaks.select(col(id_col)), scratch)

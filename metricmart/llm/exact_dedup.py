@@ -1,7 +1,8 @@
 """Exact deduplication by progressive refinement: length, then a hash of the beginning, then the hash of the whole text.
 
 A step only looks at rows whose group of the step before has at least two. The first scan counts lengths and beginnings
-of texts in a narrow table; the second hashes whole texts, only of rows that share both.
+of texts in a narrow table; the second hashes whole texts, only of rows that share both (by a bitmap of the shared
+beginnings, so no text is shuffled to find that out).
 """
 
 from __future__ import annotations
@@ -9,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from metricmart.llm.common import Scratch, body, col, fresh
+from metricmart.llm.common import Scratch, body, col, fresh, membership
 
 
 def _shared_heads(rows: DataFrame, length: str, head: str, scratch: Scratch) -> DataFrame:
@@ -37,7 +38,7 @@ def exact_groups(
     Texts are equal when identical; null counts as empty. Of equal texts the row with the largest id stays. A null id
     is smaller than any other. Of repeated rows (same id and text) exactly one stays. An empty table gives no rows.
     Other columns of ``docs`` play no part, whatever their names. Groups of any size are counted with partial
-    aggregation; only hashes are shuffled, never texts, if ``digest_col`` is given or the survivors' list is small.
+    aggregation; only hashes are shuffled, never texts.
     """
     source = docs.select(
         col(id_col).alias("id"), body(text_col).alias("content"),
@@ -47,16 +48,14 @@ def exact_groups(
         "length": F.octet_length("content").cast("long"), "head": F.xxhash64(F.substring("content", 1, head_chars)),
     })
     heads = _shared_heads(rows, "length", "head", scratch)
-    digest = F.col("given") if digest_col else F.when(F.col("survives"), F.sha2("content", 256))
-    if digest_col:
-        rows = rows.withColumn("mark", F.xxhash64("content")).drop("content")
-        mark = F.when(F.col("survives"), F.col("mark"))
-    else:
-        mark = F.when(F.col("survives"), F.xxhash64("content"))
+    shared = membership(heads.select("length", "head"), scratch)(F.col("length"), F.col("head"))
+    hashed = rows.select(
+        "id", "length", "head", F.when(shared, F.xxhash64("content")).alias("mark"),
+        (F.col("given") if digest_col else F.when(shared, F.sha2("content", 256))).alias("digest"),
+    )
     marked = scratch.store(
-        rows.join(heads, ["length", "head"], "left").select(
-            "id", "length", "head", mark.alias("mark"), digest.alias("digest"), F.col("survives").isNotNull().alias("survives")
-        ),
+        scratch.store(hashed, "hashed").join(heads, ["length", "head"], "left")
+        .withColumns({"survives": F.col("survives").isNotNull(), "mark": F.when(F.col("survives").isNotNull(), F.col("mark"))}),
         "digests",
     )
     alone = marked.filter(~F.col("survives")).select(
@@ -82,7 +81,7 @@ def drop_exact(
 ) -> DataFrame:
     """``docs`` with one row of each group of equal texts, all columns as they are.
 
-    Which row stays is as in :func:`exact_groups`; of repeated rows with one id and text, the first in the order of
+    Only texts of rows that may go are shuffled. Which row stays is as in :func:`exact_groups`; of repeated rows with one id and text, the first in the order of
     their other columns.
     """
     length, mark, verdict, vid, vlength, vmark = fresh(docs, "length", "mark", "verdict", "judged_id", "judged_length", "judged_mark")
@@ -95,14 +94,15 @@ def drop_exact(
                 F.when(F.col("stays"), "one").otherwise("none").alias(verdict)),
         "verdicts",
     )
-    marked = docs.withColumns({length: F.octet_length(body(text_col)).cast("long"), mark: F.xxhash64(body(text_col))})
+    maybe = membership(verdicts.select(vid), scratch)(col(id_col))
+    marked = docs.filter(maybe).withColumns({length: F.octet_length(body(text_col)).cast("long"), mark: F.xxhash64(body(text_col))})
     judged = marked.join(
-        verdicts,
+        verdicts.hint("merge"),
         col(id_col).eqNullSafe(F.col(vid)) & (F.col(length) == F.col(vlength)) & (F.col(mark) == F.col(vmark)),
         "left",
     )
     names = [col(c) for c in docs.columns]
-    out = judged.filter(F.col(verdict).isNull()).select(*names)
+    out = docs.filter(~maybe).unionAll(judged.filter(F.col(verdict).isNull()).select(*names))
     if verdicts.filter(F.col(verdict) == "one").isEmpty():
         return out
     order = [col(c).cast("string") for c in docs.columns]

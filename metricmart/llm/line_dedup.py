@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from metricmart.llm.common import Scratch, body, col, fresh
+from metricmart.llm.common import Scratch, body, col, fresh, membership
 
 BLANKS = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -121,7 +121,8 @@ def dedupe_lines(
     columns of these names. Null and empty texts are one empty line. Rows that share an id are one document; rows without
     an id are together one document that is smaller than any other. An empty table gives no rows.
 
-    Documents come in ``batches`` by a hash of their id, as they would over time; the result does not depend on it.
+    Documents come in ``batches`` by a hash of their id, as they would over time; the result does not depend on it. Only
+    texts that may lose lines are shuffled.
     """
     part = F.pmod(F.xxhash64(F.lit(11), "id"), F.lit(batches)).cast("int").alias("batch")
     keys = scratch.store(line_keys(docs, id_col, text_col, min_chars).select("*", part), "lines", partition_by="batch")
@@ -136,12 +137,16 @@ def dedupe_lines(
     )
     lines = F.split(body(text_col), "\n")
     stays = lambda line: (F.char_length(line_key(line)) < min_chars) | ~F.array_contains(F.col(gone), key_hash(line_key(line)))
-    joined = docs.join(drops, col(id_col).eqNullSafe(F.col(of)), "left")
-    kept = F.when(F.col(gone).isNotNull(), F.filter(lines, stays))
-    (rest,) = fresh(joined, "rest")
+    kept, own = "kept_text", ["n_lines", "n_dropped", "kept_text"]
     n_lines = (F.char_length(body(text_col)) - F.char_length(F.replace(body(text_col), F.lit("\n"), F.lit(""))) + 1).cast("long")
-    return joined.withColumn(rest, kept).withColumns({
+    maybe = membership(drops.select(of), scratch)(col(id_col))
+    whole = docs.filter(~maybe).withColumns({"n_lines": n_lines, "n_dropped": F.lit(0).cast("long"), kept: body(text_col)})
+    joined = docs.filter(maybe).join(drops.hint("merge"), col(id_col).eqNullSafe(F.col(of)), "left")
+    (rest,) = fresh(joined, "rest")
+    cut = joined.withColumn(rest, F.when(F.col(gone).isNotNull(), F.filter(lines, stays))).withColumns({
         "n_lines": n_lines,
         "n_dropped": F.when(F.col(gone).isNull(), F.lit(0)).otherwise(n_lines - F.size(F.col(rest))).cast("long"),
-        "kept_text": F.when(F.col(gone).isNull(), body(text_col)).otherwise(F.array_join(F.col(rest), "\n")),
-    }).drop(of, gone, rest)
+        kept: F.when(F.col(gone).isNull(), body(text_col)).otherwise(F.array_join(F.col(rest), "\n")),
+    })
+    columns = [*[c for c in docs.columns if c not in own], *own]
+    return whole.select(*map(col, columns)).unionAll(cut.select(*map(col, columns)))

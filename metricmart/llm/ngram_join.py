@@ -21,14 +21,12 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
 
-from metricmart.llm.common import Scratch, col
+from metricmart.llm.common import Scratch, col, membership, without
 from metricmart.llm.components import components
 
 SKETCH_BITS = 22  # counters of the shingle sketch; its size bounds what is broadcast (one byte a counter)
@@ -189,32 +187,6 @@ def _measured(docs: DataFrame, size: int, scratch: Scratch) -> tuple[DataFrame,
     return measured.filter("n >= 0").drop("sketch"), heat_classes(counts)
 
 
-def _named(docs: DataFrame, ids: DataFrame, bits: int = 23) -> Column:
-    """Whether a row's id is among ``ids``, by a bitmap of hashed ids: never false for one of them, rarely true for others.
-
-    The bitmap has a fixed size whatever the number of ids.
-    """
-    spark = docs.sparkSession
-    mask = (1 << bits) - 1
-
-    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bitmap = np.zeros(1 << bits, bool)
-        for batch in batches:
-            bitmap[batch.column(0).to_numpy() & mask] = True
-        yield pa.RecordBatch.from_arrays([pa.array([np.packbits(bitmap).tobytes()], pa.binary())], names=["bitmap"])
-
-    marks = ids.select(F.xxhash64("id").alias("h")).mapInArrow(mark, "bitmap binary").rdd.map(lambda r: np.frombuffer(r[0], np.uint8))
-    wanted = spark.sparkContext.broadcast(np.zeros((1 << bits) // 8, np.uint8) if marks.isEmpty() else marks.treeReduce(np.bitwise_or))
-
-    @pandas_udf("boolean")
-    def asked(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for hashes in batches:
-            at = hashes.to_numpy() & mask
-            yield pd.Series((wanted.value[at >> 3] >> (7 - (at & 7))) & 1 == 1)
-
-    return asked(F.xxhash64("id"))
-
-
 def _prefixes(docs: DataFrame, size: int, percent: int, heat) -> DataFrame:
     """Prefix of every set with at least four shingles (smaller ones can only equal each other): id, key, tokens, places.
 
@@ -324,9 +296,15 @@ def tree_links(hub: np.ndarray, others: list[tuple[object, np.ndarray]], percent
     return found
 
 
-def _plausible(pairs: DataFrame, measured: DataFrame, percent: int) -> DataFrame:
+def _ends(pairs: DataFrame, scratch: Scratch):
+    """A test for the ids in pairs (a, b)."""
+    return membership(pairs.select(F.col("a").alias("id")).union(pairs.select("b")), scratch)
+
+
+def _plausible(pairs: DataFrame, measured: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     """Pairs (a, b) that the histograms of their hashes allow: the overlap is at most the sum of the smaller counts."""
-    sides = measured.filter("id IS NOT NULL AND n > 0").select("id", "n", "cells")
+    pairs = scratch.store(pairs, "meetings")
+    sides = measured.filter("id IS NOT NULL AND n > 0").filter(_ends(pairs, scratch)(F.col("id"))).select("id", "n", "cells")
     left = sides.select(F.col("id").alias("a_id"), F.col("n").alias("a_n"), F.col("cells").alias("a_cells"))
     both = pairs.join(left, F.col("a") == F.col("a_id")).join(sides, F.col("b") == F.col("id")).select("a", "b", "a_n", "n", "a_cells", "cells")
 
@@ -348,10 +326,10 @@ def _linked(pairs: DataFrame, measured: DataFrame, docs: DataFrame, size: int, p
     Only texts of documents that are left in a pair are shuffled; their sets are made where they are compared.
     """
     kind = docs.schema["id"].dataType.simpleString()
-    pairs = scratch.store(_plausible(pairs, measured, percent), "pairs")
+    pairs = scratch.store(_plausible(pairs, measured, percent, scratch), "pairs")
     if pairs.isEmpty():
         return pairs
-    texts = docs.filter(_named(docs, pairs.select(F.col("a").alias("id")).union(pairs.select("b")))).withColumnRenamed("id", "own")
+    texts = docs.filter(_ends(pairs, scratch)(F.col("id"))).withColumnRenamed("id", "own")
     degree = pairs.groupBy(F.col("a").alias("of")).agg(F.ceil(F.count(F.lit(1)) / TREE_ROWS).alias("trees"))
     dealt = pairs.join(degree, F.col("a") == F.col("of")).select("a", "b", F.pmod(F.xxhash64("b"), "trees").alias("tree"))
     seats = dealt.select("a", "tree", F.lit(1).alias("role"), F.col("b").alias("id")).unionAll(
@@ -410,7 +388,7 @@ def near_duplicates(
     )
     # equal sets are searched for once: all but one row of each is left out, by a bitmap first
     copies = scratch.store(measured.join(twins, F.col("key") == F.col("twin")).filter("id <> first").select("id", "key").distinct(), "copies")
-    copied = _named(known, copies)
+    copied = membership(copies.select("id"), scratch)(F.col("id"))
     prefixes = _prefixes(known.filter(~copied), size, percent, heat).unionByName(
         _prefixes(known.filter(copied), size, percent, heat).join(copies, ["id", "key"], "left_anti")
     )
@@ -471,9 +449,4 @@ def near_duplicates(
 def keep_one(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` with one document of each component: that with the smallest id. Rows without an id stay."""
     groups = near_duplicates(docs, scratch, id_col, text_col, **options)
-    gone = scratch.store(groups.filter(col(id_col) != F.col("component_id")).select(col(id_col).alias("gone")).distinct(), "gone")
-    key = "gone"
-    while key in docs.columns:
-        key += "_"
-    gone = gone.withColumnRenamed("gone", key)
-    return docs.join(gone, col(id_col) == F.col(key), "left_anti")
+    return without(docs, id_col, groups.filter(col(id_col) != F.col("component_id")).select(col(id_col)), scratch)
