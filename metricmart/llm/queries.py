@@ -116,9 +116,8 @@ def op3_factorization_machine_toxicity(spark: SparkSession, sf_dir: str) -> Data
     """Toxicity of every document, learned from the labelled ones that are not held out."""
     docs = _table(Scratch(spark).spark, sf_dir, "documents")
     held_out = F.coalesce(id_remainder("doc_id", 3) == 1, F.lit(False))
-    labels = _table(spark, sf_dir, "labels").select(F.col("doc_id").alias("of"), "toxic")
-    labelled = docs.filter(~held_out).join(labels, F.col("doc_id") == F.col("of")).select("doc_id", "text", "toxic")
-    score = toxicity.scored(toxicity.learn(labelled), col("text"))
+    labels = _table(spark, sf_dir, "labels").filter(~held_out)
+    score = toxicity.scored(toxicity.learn(docs, labels), col("text"))
     return docs.select("doc_id", held_out.alias("held_out"), score.alias("score")).withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
 
 

@@ -106,15 +106,18 @@ def train(
     return FactorizationMachine(known, float(bias), linear, factors)
 
 
-def training_texts(labelled: DataFrame, id_col: str, text_col: str, label_col: str, most: int = 12000) -> tuple[list[np.ndarray], np.ndarray]:
-    """A bounded sample, brought to the driver as buckets: of each label (0 and 1) at most ``most`` // 2 texts.
+def training_texts(
+    docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, most: int = 12000
+) -> tuple[list[np.ndarray], np.ndarray]:
+    """A bounded sample, brought to the driver as buckets: of each label (0 and 1) at most ``most`` // 2 labelled ids.
 
-    Those with the smallest hash of their id; each whole text is hashed in Spark's tasks.
+    Those with the smallest hash of their id, chosen before any text is read; as there are at most ``most`` of them they
+    are broadcast to the scan of the texts. Each whole text is hashed in Spark's tasks.
     """
-    usable = labelled.select(
-        col(label_col).cast("int").alias("label"), F.xxhash64(F.lit(3), col(id_col)).alias("draw"), col(text_col).alias("content")
-    ).filter("label IN (0, 1) AND content IS NOT NULL")
-    sample = smallest_draws(usable, "label", "draw", most // 2, "content")
+    drawn = labels.select(col(label_col).cast("int").alias("label"), col(id_col).alias("of")).filter("label IN (0, 1) AND of IS NOT NULL").distinct()
+    chosen = smallest_draws(drawn.withColumn("draw", F.xxhash64(F.lit(3), "of")), "label", "draw", most // 2, "of")
+    texts = docs.select(col(id_col).alias("id"), col(text_col).alias("content")).filter("content IS NOT NULL")
+    sample = texts.join(F.broadcast(chosen), F.col("id") == F.col("of"))
 
     @pandas_udf("array<int>")
     def hashed(texts: pd.Series) -> pd.Series:
@@ -124,10 +127,12 @@ def training_texts(labelled: DataFrame, id_col: str, text_col: str, label_col: s
     return [np.asarray(b, np.int64) for b in rows["buckets"]], rows["label"].to_numpy(float)
 
 
-def learn(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", **options) -> FactorizationMachine | None:
-    """Train on a bounded sample of ``labelled``; None where no row has a label and a text."""
-    sets, labels = training_texts(labelled, id_col, text_col, label_col)
-    return train(sets, labels, **options) if sets else None
+def learn(
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", **options
+) -> FactorizationMachine | None:
+    """Train on a bounded sample of the documents that ``labels`` (id, label) labels; None where there are none."""
+    sets, targets = training_texts(docs, labels, id_col, text_col, label_col)
+    return train(sets, targets, **options) if sets else None
 
 
 def scored(machine: FactorizationMachine | None, text: Column) -> Column:

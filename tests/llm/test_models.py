@@ -72,7 +72,7 @@ def test_machine_learns_pairs(docs, spark):
     rng = random.Random(5)
     rows = [(i, spoken(rng, i % 3 == 0), None, str(int(i % 3 == 0))) for i in range(1200)]
     df = docs(rows).withColumn("toxic", F.col("source").cast("int"))
-    machine = toxicity.learn(df.filter("doc_id < 900"))
+    machine = toxicity.learn(df, df.filter("doc_id < 900").select("doc_id", "toxic"))
     got = df.filter("doc_id >= 900").select("toxic", toxicity.scored(machine, col("text")).alias("score")).collect()
     assert all((r["score"] >= 0.7) == bool(r["toxic"]) for r in got)
     linear = toxicity.FactorizationMachine(machine.known, machine.bias, machine.linear, machine.factors * 0)
@@ -83,9 +83,9 @@ def test_machine_learns_pairs(docs, spark):
 
 def test_toxicity_edges(docs):
     df = docs([(1, None), (2, ""), (None, "bad"), (4, "bad " * 50000), (4, "bad " * 50000)], extra="score").withColumn("toxic", F.lit(1))
-    machine = toxicity.learn(df)  # one class only
+    machine = toxicity.learn(df, df)  # one class only
     got = [r[0] for r in df.select(toxicity.scored(machine, col("text"))).collect()]
     assert len(got) == 5 and all(0 <= s <= 1 for s in got) and len(set(got)) == 1
-    assert toxicity.learn(df.filter("false")) is None
-    assert toxicity.learn(df.withColumn("toxic", F.lit(None).cast("int"))) is None
+    assert toxicity.learn(df.filter("false"), df) is None
+    assert toxicity.learn(df, df.withColumn("toxic", F.lit(None).cast("int"))) is None
     assert [r[0] for r in df.select(toxicity.scored(None, col("text"))).collect()] == [0.0] * 5
