@@ -25,7 +25,26 @@ def ols_fit(t):
     return stats.simple_fit(t["lineitem"], "l_quantity", "l_extendedprice", ["l_returnflag"])
 
 
-@query("ols_p_values", "P02 P03")
+# Two-sided tail of Student's t as a regularised incomplete beta function, by its continued fraction; one recursion step
+# is one pair of its terms. LGAMMA is the engine's own.
+@query(
+    "ols_p_values", "P02 P03", """
+WITH RECURSIVE fits AS (
+ SELECT l_returnflag, COUNT(*) AS n, regr_slope(l_tax, l_discount) AS slope, regr_intercept(l_tax, l_discount) AS intercept, corr(l_tax, l_discount) AS r FROM lineitem GROUP BY 1),
+tested AS (SELECT *, r * r AS r2, r * sqrt((n - 2) / (1 - r * r)) AS t_stat FROM fits),
+shaped AS (SELECT *, (n - 2) / 2.0::DOUBLE AS nu, (n - 2) / (n - 2 + t_stat * t_stat) AS x FROM tested),
+sided AS (SELECT *, x < (nu + 1) / (nu + 2.5) AS direct, CASE WHEN x < (nu + 1) / (nu + 2.5) THEN nu ELSE 0.5 END AS a,
+ CASE WHEN x < (nu + 1) / (nu + 2.5) THEN 0.5 ELSE nu END AS b, CASE WHEN x < (nu + 1) / (nu + 2.5) THEN x ELSE 1 - x END AS y FROM shaped),
+steps AS (
+ SELECT l_returnflag, a, b, y, 0 AS m, 1.0::DOUBLE AS c, 1 / (1 - (a + b) * y / (a + 1)) AS d, 1 / (1 - (a + b) * y / (a + 1)) AS h FROM sided
+ UNION ALL
+ SELECT l_returnflag, a, b, y, m, 1 + odd / c1, 1 / (1 + odd * d1), h * d1 * c1 * (1 / (1 + odd * d1)) * (1 + odd / c1) FROM (
+  SELECT *, 1 / (1 + even * d) AS d1, 1 + even / c AS c1, -(a + m) * (a + b + m) * y / ((a + 2 * m) * (a + 2 * m + 1)) AS odd FROM (
+   SELECT l_returnflag, a, b, y, m + 1 AS m, c, d, h, (m + 1) * (b - (m + 1)) * y / ((a + 2 * (m + 1) - 1) * (a + 2 * (m + 1))) AS even FROM steps WHERE m < 100))),
+tails AS (SELECT s.*, exp(lgamma(nu + 0.5) - lgamma(nu) - lgamma(0.5) + nu * ln(x) + 0.5 * ln(1 - x)) * h / s.a AS part FROM sided s JOIN steps USING (l_returnflag) WHERE m = 100)
+SELECT l_returnflag, n, slope, intercept, r, r2, t_stat, CASE WHEN direct THEN part ELSE 1 - part END AS p_value FROM tails
+""", d6=["slope", "intercept", "r", "r2", "t_stat", "p_value"],
+)
 def ols_p_values(t):
     return stats.with_p_values(stats.simple_fit(t["lineitem"], "l_discount", "l_tax", ["l_returnflag"]))
 
@@ -238,7 +257,7 @@ def operator_means(t):
 
 @query(
     "strongest_series", "P09 T03 C36 R30", """
-WITH d AS (SELECT period_year, left(trim(row_label) || ' | ' || column_label, 220) AS series, value FROM stg_digest WHERE period_year IS NOT NULL AND dukes_table = '6.2'), top AS (SELECT series FROM d GROUP BY 1 ORDER BY AVG(abs(value)) DESC, 1 LIMIT 3)
+WITH d AS (SELECT period_year, trim(row_label) || ' | ' || column_label AS series, value FROM stg_digest WHERE period_year IS NOT NULL AND dukes_table = '6.2'), top AS (SELECT series FROM d GROUP BY 1 ORDER BY AVG(abs(value)) DESC, 1 LIMIT 3)
 SELECT period_year, MAX(CASE WHEN r = 1 THEN v END) AS a, MAX(CASE WHEN r = 2 THEN v END) AS b, MAX(CASE WHEN r = 3 THEN v END) AS c FROM (
  SELECT period_year, series, MIN(value) AS v, dense_rank() OVER (ORDER BY series) AS r FROM d WHERE series IN (SELECT series FROM top) GROUP BY 1, 2) GROUP BY 1
 """,
@@ -248,6 +267,20 @@ def strongest_series(t):
     return wide.toDF("period_year", "a", "b", "c")
 
 
+@query(
+    "strongest_series_long_labels", "P09 C36", """
+WITH d AS (SELECT period_year, repeat('long label ', 30) || row_label AS series, value FROM stg_digest WHERE period_year IS NOT NULL AND dukes_table = '6.2'), top AS (SELECT series FROM d GROUP BY 1 ORDER BY AVG(abs(value)) DESC, 1 LIMIT 3)
+SELECT period_year, MAX(CASE WHEN r = 1 THEN v END) AS a, MAX(CASE WHEN r = 2 THEN v END) AS b, MAX(CASE WHEN r = 3 THEN v END) AS c FROM (
+ SELECT period_year, series, MIN(value) AS v, dense_rank() OVER (ORDER BY series) AS r FROM d WHERE series IN (SELECT series FROM top) GROUP BY 1, 2) GROUP BY 1
+""",
+)
+def strongest_series_long_labels(t):
+    """Labels that only differ beyond 300 characters stay series of their own."""
+    digest = t["stg_digest"].filter("dukes_table = '6.2'")
+    labelled = digest.withColumns({"row_label": F.concat(F.repeat(F.lit("long label "), 30), "row_label"), "column_label": F.lit(None).cast("string")})
+    return analytics.strongest_series(labelled, 3).toDF("period_year", "a", "b", "c")
+
+
 @query(
     "scheme_series", "P17 R30", """
 SELECT calendar_year, entity, MIN(value) AS value FROM core_fact_scheme_metric WHERE calendar_year IS NOT NULL AND scheme_key = 'eco' AND entity IS NOT NULL GROUP BY 1, 2
@@ -287,7 +320,7 @@ def obligation_matrix(t):
 
 @query(
     "indicators_of_year", "P20 C36 J19", """
-SELECT reference_year, row_no, row_code, energy_tj, row_code || ' — ' || left(row_label, 48) AS label FROM flow_rows WHERE table_id = 'D' AND industry_code = 'A_U' AND reference_year = (SELECT MAX(reference_year) FROM flow_rows WHERE table_id = 'D')
+SELECT reference_year, row_no, row_code, energy_tj, row_code || ' — ' || row_label AS label FROM flow_rows WHERE table_id = 'D' AND industry_code = 'A_U' AND reference_year = (SELECT MAX(reference_year) FROM flow_rows WHERE table_id = 'D')
 """,
 )
 def indicators_of_year(t):

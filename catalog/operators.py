@@ -903,11 +903,12 @@ def zero_filled_area(t):
 @query(
     "topn_series_pivot", "P09 T03 R30", """
 WITH top AS (SELECT nation FROM order_year GROUP BY 1 ORDER BY AVG(abs(spend)) DESC, 1 LIMIT 4)
-SELECT * FROM (PIVOT (SELECT year, nation, spend FROM order_year WHERE nation IN (SELECT nation FROM top)) ON nation USING MIN(spend) GROUP BY year)
+SELECT year, MIN(spend) FILTER (WHERE place = 1) AS a, MIN(spend) FILTER (WHERE place = 2) AS b, MIN(spend) FILTER (WHERE place = 3) AS c, MIN(spend) FILTER (WHERE place = 4) AS d
+FROM order_year JOIN (SELECT nation, row_number() OVER (ORDER BY nation) AS place FROM top) USING (nation) GROUP BY year
 """,
 )
 def topn_series_pivot(t):
-    return pivot.top_series_pivot(t["order_year"], "year", "nation", "spend", 4)
+    return pivot.top_series_pivot(t["order_year"], "year", "nation", "spend", 4).toDF("year", "a", "b", "c", "d")
 
 
 @query(
@@ -973,7 +974,7 @@ def optional_choices(t):
     rows = t["order_year"].select("nation", "year", "n")
     rows = filters.chosen(rows, "year", None)
     return filters.commodity(
-        filters.chosen(rows, "nation", ["NATION_1", "NATION_2", "NATION_7"], max_inline=2), "nation_7", "nation"
+        filters.chosen(rows, "nation", ["NATION_1", "NATION_2", "NATION_7"]), "nation_7", "nation"
     )
 
 

@@ -658,6 +658,15 @@ def scheme_rows(t):
     return reads.scheme_rows(marts.scheme_metric(t), 2024, 2024, "eco", "purchase", 500)
 
 
+@query(
+    "read_scheme_rows_all", "Q41", """
+SELECT * FROM core_fact_scheme_metric WHERE calendar_year IS NULL OR calendar_year BETWEEN 2023 AND 2024
+""",
+)
+def scheme_rows_all(t):
+    return reads.scheme_rows(marts.scheme_metric(t), 2023, 2024)
+
+
 @query(
     "read_discount", "Q42 Q40", f"""
 WITH d AS ({M.DISCOUNT}) SELECT grain, scheme_year, calendar_year, nation, supplier_name, expenditure_pct, obligation_amount_mgbp FROM d WHERE grain = 'national' OR calendar_year {_BETWEEN}

@@ -79,11 +79,9 @@ def like_any(col: Column, patterns: Sequence[str]) -> Column:
     return test
 
 
-def composite_label(parts: Sequence[Column], separator: str = " | ", width: int | None = None) -> Column:
-    """Join the non-empty parts of a label, cut to ``width`` characters."""
-    texts = [F.nullif(F.trim(p.cast("string")), F.lit("")) for p in parts]
-    label = F.concat_ws(separator, *texts)
-    return F.left(label, F.lit(width)) if width else label
+def composite_label(parts: Sequence[Column], separator: str = " | ") -> Column:
+    """Join the non-empty parts of a label, whole: a cut label would merge series."""
+    return F.concat_ws(separator, *[F.nullif(F.trim(p.cast("string")), F.lit("")) for p in parts])
 
 
 def obligation_period(metric: Column, period_label: Column) -> Column:

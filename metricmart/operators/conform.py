@@ -124,18 +124,20 @@ def first_nonempty(
 ) -> DataFrame:
     """Rows of the first candidate that has enough rows (with a non-NULL ``value``, when given).
 
-    The choice is part of the plan: one scalar subquery per candidate counts up to the rows needed and stops there. No
-    emptiness test on the driver, and no window over the whole union.
+    The choice is made at once: candidates are probed in order, each until it has given the rows needed, and the plan
+    holds the chosen one only. The columns are those of all candidates; with ``tag`` the position chosen is a column.
     """
     needed = [min_rows] * len(candidates) if isinstance(min_rows, int) else list(min_rows)
-    best = F.lit(None).cast("int")
-    for i, (df, n) in reversed(list(enumerate(zip(candidates, needed, strict=True), start=1))):
+    for i, (df, n) in enumerate(zip(candidates, needed, strict=True), start=1):
         rows = df if value is None else df.filter(F.col(value).isNotNull())
-        found = rows.select(F.lit(1).alias("_one")).limit(n).agg(F.count("*")).scalar()
-        best = F.when(found >= n, F.lit(i)).otherwise(best)
-    union = tagged_union(candidates, "_prio")
-    chosen = union.filter(F.col("_prio") == best)
-    return chosen.withColumnRenamed("_prio", tag) if tag else chosen.drop("_prio")
+        if rows.limit(n).count() >= n:
+            break
+    else:
+        i, df = 0, candidates[0].filter(F.lit(False))
+    shape = union_all([c.limit(0) for c in candidates]).schema
+    have = set(df.columns)
+    chosen = df.select(*[(F.col(f"`{f.name}`") if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in shape.fields])
+    return chosen.withColumn(tag, F.lit(i)) if tag else chosen
 
 
 def in_range_else_latest(df: DataFrame, first: int, last: int, column: str = "year") -> DataFrame:

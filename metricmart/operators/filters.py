@@ -21,12 +21,10 @@ def years(df: DataFrame, first: int, last: int, column: str = "year", keep_null:
     return df.filter(F.col(column).isNull() | test if keep_null else test)
 
 
-def chosen(df: DataFrame, column: str, values: Sequence[object] | None, max_inline: int = 200) -> DataFrame:
-    """Rows of the chosen values; no choice keeps everything. Long choices become a semi-join."""
+def chosen(df: DataFrame, column: str, values: Sequence[object] | None) -> DataFrame:
+    """Rows of the chosen values, by a semi-join with the list; no choice keeps everything."""
     if not values:
         return df
-    if len(values) <= max_inline:
-        return df.filter(F.col(column).isin(list(values)))
     kind = df.schema[column].dataType.simpleString()
     wanted = literal_table(df.sparkSession, [(v,) for v in values], f"`{column}` {kind}")
     return df.join(wanted, column, "left_semi")

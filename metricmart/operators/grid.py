@@ -130,7 +130,6 @@ def section_years(
     markers: Sequence[tuple] = (),
     default_marker: str | None = None,
     min_years: int = 3,
-    header_width: int = 12,
     low: int = 1990,
     high: int = 2035,
 ) -> DataFrame:
@@ -144,7 +143,7 @@ def section_years(
     )
     lines = marked.groupBy(*LINE).agg(
         F.max("_label").alias("row_label"),
-        F.count_if(F.col("_year").isNotNull() & F.col("col").between(1, header_width - 1)).alias("_years"),
+        F.count_if(F.col("_year").isNotNull() & (F.col("col") >= 1)).alias("_years"),
     )
     is_header = F.col("_years") >= min_years
     title = F.when(is_header, F.col("row_label"))
@@ -206,7 +205,7 @@ def titled_year_sections(
     lines = lines.withColumns(
         {
             "_is_title": is_title,
-            "section": F.when(is_title, F.left("_label", F.lit(500))),
+            "section": F.when(is_title, F.col("_label")),
             "_segment": F.when(is_title, F.col("row")),
             "_candidate": ~is_title & (F.col("_years") >= min_years),
         }
@@ -245,7 +244,7 @@ def titled_year_sections(
         .join(names, LINE)
         .join(years, [*SHEET, "header_row", "col"])
     )
-    rows = rows.withColumns({"period_label": F.col("section"), "column_label": F.left("section", F.lit(400))})
+    rows = rows.withColumns({"period_label": F.col("section"), "column_label": F.col("section")})
     return _digest(rows, table, metric_name=metric_name, unit=unit)
 
 
@@ -379,7 +378,7 @@ def years_down(
     )
     if metric_prefix:
         heads = raw.filter((F.col("col") >= 1) & (F.col("header") != "unnamed"))
-        slug = F.left(L.snake_case(F.col("header")), F.lit(80))
+        slug = L.snake_case(F.col("header"))
         heads = heads.withColumns(
             {
                 "metric_name": F.concat(F.lit(f"{metric_prefix}_"), slug),

@@ -5,8 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 import numpy as np
-from pyspark.ml.feature import PCA, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
 from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame
@@ -49,16 +48,29 @@ def variance_inflation(df: DataFrame, features: Sequence[str]) -> DataFrame:
 
 
 def principal_component(df: DataFrame, columns: Sequence[str], name: str = "component") -> DataFrame:
-    """Add the first principal component of the standardised columns. Runs one job to fit.
+    """Add the first principal component of the standardised columns. Runs two aggregates; the driver sees k × k numbers.
 
-    The sign is fixed so that the first column has a positive weight.
+    A NULL or a constant column counts as the mean. The sign is fixed so that the first column has a positive weight.
     """
-    standard = standardise(df, columns, "_pc_in")
-    vector = _assembled(standard, [f"{c}_pc_in" for c in columns])
-    fitted = PCA(k=1, inputCol="features", outputCol="_pc").fit(vector)
-    sign = 1.0 if fitted.pc.toArray()[0][0] >= 0 else -1.0
-    scored = fitted.transform(vector).withColumn(name, vector_to_array("_pc")[0] * F.lit(sign))
-    return scored.drop("features", "_pc", *[f"{c}_pc_in" for c in columns])
+    facts = df.agg(*[F.avg(c).alias(f"m_{c}") for c in columns], *[F.stddev_pop(c).alias(f"s_{c}") for c in columns]).first()
+
+    def standard(c: str) -> Column:
+        spread = facts[f"s_{c}"]
+        if not spread:
+            return F.lit(0.0)
+        return F.coalesce((F.col(c) - F.lit(float(facts[f"m_{c}"]))) / F.lit(float(spread)), F.lit(0.0))
+
+    pairs = [(i, j) for i in range(len(columns)) for j in range(i, len(columns))]
+    sums = df.agg(*[F.sum(standard(columns[i]) * standard(columns[j])).alias(f"p{i}_{j}") for i, j in pairs]).first()
+    moments = np.zeros((len(columns), len(columns)))
+    for i, j in pairs:
+        moments[i, j] = moments[j, i] = sums[f"p{i}_{j}"] or 0.0
+    weights = np.linalg.eigh(moments)[1][:, -1]
+    weights = weights if weights[0] >= 0 else -weights
+    total = F.lit(0.0)
+    for c, weight in zip(columns, weights, strict=True):
+        total = total + standard(c) * F.lit(float(weight))
+    return df.withColumn(name, total)
 
 
 def key_hash(keys: Sequence[str]) -> Column:

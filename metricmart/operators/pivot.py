@@ -61,9 +61,9 @@ def entity_or_mean_series(df: DataFrame, period: str, entity: str, value: str) -
     """Long series per entity when any entity is named, else the mean per period under the name ``_all``."""
     rows = df.filter(F.col(period).isNotNull() & F.col(value).isNotNull())
     name = F.nullif(F.trim(F.col(entity)), F.lit(""))
-    named = rows.agg(F.count(name) > 0).scalar()
-    key = F.when(named, name).otherwise(F.lit("_all"))
-    grouped = rows.withColumn("_entity", key).filter(F.col("_entity").isNotNull())
-    summary = grouped.groupBy(period, "_entity").agg(F.avg(value).alias("_mean"), F.min(value).alias("_first"))
-    picked = F.when(F.col("_entity") == "_all", F.col("_mean")).otherwise(F.col("_first"))
-    return summary.select(period, F.col("_entity").alias(entity), picked.alias(value))
+    # the aggregate with NULL for no entity has both answers; whether any is named is read off it
+    summary = rows.groupBy(period, name.alias("_entity")).agg(F.avg(value).alias("_mean"), F.min(value).alias("_first"))
+    named = summary.agg(F.count("_entity") > 0).scalar()
+    kept = summary.filter(F.col("_entity").isNotNull() | ~named)
+    picked = F.when(F.col("_entity").isNull(), F.col("_mean")).otherwise(F.col("_first"))
+    return kept.select(period, F.coalesce("_entity", F.lit("_all")).alias(entity), picked.alias(value))

@@ -8,45 +8,35 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from metricmart.session import stored
+
 
 def exact_quantiles(
     df: DataFrame,
     keys: Sequence[str],
     value: str,
     quantiles: Mapping[str, float],
-    slack: float = 0.005,
-    accuracy: int = 2000,
+    task_rows: int = 1_000_000,
+    parts: int = 64,
 ) -> DataFrame:
-    """Interpolated percentiles per group, exact for any group size.
+    """Interpolated percentiles per group, exact for any group size. Runs a counting job, and one more per refinement.
 
-    ``percentile`` keeps every distinct value of a group in one task. Here an approximate pass only proposes cut points
-    around each wanted rank; the rows between two cuts form a region, regions are counted exactly, and only the
-    regions that hold a wanted rank (about two ``slack`` of the rows) are ordered. Bad cut points make a region
-    larger, never the result wrong.
+    ``percentile`` keeps every distinct value of a group in one task. Here a group is one region at first. While a
+    region has more than ``task_rows`` rows and more than one value, an approximate pass cuts regions into ``parts``,
+    their sizes are counted exactly, and only the parts that hold a wanted rank go on. Then each region is ordered in
+    one task. Bad cut points make a part larger, never the result wrong.
     """
     keys = list(keys)
-    rows = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v"))
-    cuts = sorted({min(1.0, max(0.0, p + d)) for p in quantiles.values() for d in (-slack, slack)})
-    stats = rows.groupBy(*keys).agg(
-        F.count("*").alias("_n"),
-        F.percentile_approx("_v", cuts, accuracy).alias("_cuts"),
-    )
+    region = [*keys, "_offset"]
+    rows = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v"), F.lit(0).cast("long").alias("_offset"))
+    totals = stored(rows.groupBy(*keys).agg(F.count("*").alias("_n"), F.count("*").alias("_size"), (F.min("_v") < F.max("_v")).alias("_varies")))
 
-    def with_group(frame: DataFrame, group: DataFrame, names: Sequence[str]) -> DataFrame:
-        if keys:
-            return _join_on(frame, group.select(*keys, *names), keys)
+    def with_group(frame: DataFrame, group: DataFrame, by: Sequence[str], names: Sequence[str]) -> DataFrame:
+        if by:
+            return _join_on(frame, group.select(*by, *names), by)
         facts = group.select(F.struct(*names).alias("_f")).scalar()
         return frame.withColumns({n: facts.getField(n) for n in names})
 
-    # Region of a row = number of cut points below it; a sum of comparisons stays in generated code.
-    region = reduce(lambda a, b: a + b, [(F.col("_v") > F.col("_cuts")[i]).cast("int") for i in range(len(cuts))])
-    placed = with_group(rows, stats, ["_cuts"]).withColumn("_region", region).drop("_cuts")
-
-    sizes = placed.groupBy(*keys, "_region").agg(F.count("*").alias("_size"))
-    before = Window.partitionBy(*keys).orderBy("_region").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.withColumn("_offset", F.coalesce(F.sum("_size").over(before), F.lit(0)))
-    offsets = with_group(offsets, stats, ["_n"])
-
     def ranks(p: float) -> tuple[Column, Column, Column]:
         position = F.lit(p) * (F.col("_n") - 1)
         return F.floor(position), F.ceil(position), position
@@ -54,14 +44,28 @@ def exact_quantiles(
     def inside(rank: Column, low: Column, size: Column) -> Column:
         return (rank >= low) & (rank < low + size)
 
-    wanted = reduce(
-        lambda a, b: a | b,
-        [inside(r, F.col("_offset"), F.col("_size")) for p in quantiles.values() for r in ranks(p)[:2]],
-    )
-    targets = offsets.filter(wanted).select(*keys, "_region", "_offset", "_n")
-    candidates = _join_on(placed, targets, [*keys, "_region"])
-    counted = candidates.groupBy(*keys, "_region", "_offset", "_n", "_v").agg(F.count("*").alias("_c"))
-    upto = Window.partitionBy(*keys, "_region").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    def largest(sizes: DataFrame) -> int:
+        return sizes.filter("_varies").agg(F.max("_size")).first()[0] or 0
+
+    candidates, sizes, by = rows, totals, keys
+    grid = [i / parts for i in range(1, parts)]
+    while largest(sizes) > task_rows:
+        cuts = candidates.groupBy(*by).agg(F.percentile_approx("_v", grid, 32 * parts).alias("_cuts"))
+        # Part of a row = number of cut points below it; a sum of comparisons stays in generated code.
+        part = reduce(lambda a, b: a + b, [(F.col("_v") > F.col("_cuts")[i]).cast("int") for i in range(len(grid))])
+        placed = with_group(candidates, cuts, by, ["_cuts"]).withColumn("_part", part).drop("_cuts")
+        counted = placed.groupBy(*region, "_part").agg(F.count("*").alias("_size"), (F.min("_v") < F.max("_v")).alias("_varies"))
+        before = Window.partitionBy(*region).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+        starts = counted.withColumn("_start", F.col("_offset") + F.coalesce(F.sum("_size").over(before), F.lit(0)))
+        wanted = reduce(
+            lambda a, b: a | b,
+            [inside(r, F.col("_start"), F.col("_size")) for p in quantiles.values() for r in ranks(p)[:2]],
+        )
+        kept = stored(with_group(starts, totals, keys, ["_n"]).filter(wanted).select(*region, "_part", "_start", "_size", "_varies"))
+        candidates = stored(_join_on(placed, kept.select(*region, "_part", "_start"), [*region, "_part"]).select(*keys, "_v", F.col("_start").alias("_offset")))
+        sizes, by = kept, region
+    counted = with_group(candidates, totals, keys, ["_n"]).groupBy(*region, "_n", "_v").agg(F.count("*").alias("_c"))
+    upto = Window.partitionBy(*region).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     ranked = counted.withColumn("_start", F.col("_offset") + F.sum("_c").over(upto) - F.col("_c"))
 
     picks = []

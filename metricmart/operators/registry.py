@@ -57,10 +57,13 @@ class RegistryRun:
     failures: list[tuple[str, str]] = field(default_factory=list)
 
 
-def run_registry(entries: Sequence[Mapping[str, object]], tables: Mapping[str, DataFrame]) -> RegistryRun:
-    """Plan every entry; a bad entry (missing table, unknown strategy, bad option) is reported and left out.
+def run_registry(
+    entries: Sequence[Mapping[str, object]], tables: Mapping[str, DataFrame], allow_failures: bool = False
+) -> RegistryRun:
+    """Plan every entry. An entry has ``source``, ``strategy``, ``target`` and ``options``.
 
-    An entry has ``source``, ``strategy``, ``target`` and ``options``.
+    A bad entry (missing table, unknown strategy, bad option) is an error that names all of them. With
+    ``allow_failures`` they are listed in the result instead, and their targets lack their rows.
     """
     run = RegistryRun()
     frames: dict[str, list[DataFrame]] = {}
@@ -72,6 +75,8 @@ def run_registry(entries: Sequence[Mapping[str, object]], tables: Mapping[str, D
             frames.setdefault(str(entry["target"]), []).append(frame)
         except Exception as error:  # noqa: BLE001 - one bad entry must not stop the others
             run.failures.append((source, f"{type(error).__name__}: {error}"))
+    if run.failures and not allow_failures:
+        raise ValueError("; ".join(f"{source}: {reason}" for source, reason in run.failures))
     run.targets = {t: reduce(lambda a, b: a.unionByName(b), fs) for t, fs in frames.items()}
     return run
 

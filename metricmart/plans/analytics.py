@@ -80,7 +80,7 @@ def risk_shock(impact: DataFrame, percent: float) -> DataFrame:
 
 def strongest_series(digest: DataFrame, n: int) -> DataFrame:
     """The n strongest series of a statistical table, one column each."""
-    label = composite_label([F.col("row_label"), F.col("column_label")], width=220)
+    label = composite_label([F.col("row_label"), F.col("column_label")])
     rows = digest.filter("period_year is not null and value is not null").withColumn(
         "series", F.coalesce(F.nullif(label, F.lit("")), F.lit("_series"))
     )
@@ -175,7 +175,7 @@ def indicators_of_year(indicators: DataFrame, year: int | None = None) -> DataFr
     rows = latest_only(indicators, "reference_year") if year is None else indicators.filter(
         F.col("reference_year") == year
     )
-    label = F.concat(F.col("row_code"), F.lit(" — "), F.left(F.coalesce("row_label", F.lit("")), F.lit(48)))
+    label = F.concat(F.col("row_code"), F.lit(" — "), F.coalesce("row_label", F.lit("")))
     return rows.withColumn("label", label).orderBy(F.col("row_no").asc_nulls_last(), "row_code")
 
 

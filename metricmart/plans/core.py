@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from metricmart.operators.aggregates import dedupe_average
+from metricmart.operators.audit import assert_unique
 from metricmart.operators.upsert import empty_like, upsert
 
 
@@ -84,8 +85,8 @@ def supplier_size(df: DataFrame, dims: Dimensions) -> DataFrame:
 def store(
     rows: DataFrame, keys: Sequence[str], columns: Sequence[str], target: DataFrame | None, only_where: Column | None = None
 ) -> DataFrame:
-    """Upsert the loaded rows into the existing fact, or start it."""
-    source = rows.select(*columns)
+    """Upsert the loaded rows into the existing fact, or start it. A key that repeats in the rows is an error."""
+    source = assert_unique(rows.select(*columns), keys, "the rows to load")
     return upsert(target if target is not None else empty_like(source), source, keys, only_where)
 
 
@@ -277,7 +278,7 @@ def heating_systems(staged: DataFrame, dims: Dimensions, target: DataFrame | Non
 def renewables_obligation(staged: DataFrame, dims: Dimensions, target: DataFrame | None = None) -> DataFrame:
     """Certificate rows; a period the date dimension lacks keeps its row without a date id."""
     keys = ["obligation_period", "period_label", "technology", "metric_name"]
-    rows = dedupe_average(dated(staged, dims, "left"), ["date_id", *keys], "value", ["unit", "source_file"])
+    rows = dedupe_average(dated(staged, dims, "left"), keys, "value", ["date_id", "unit", "source_file"])
     return store(rows, keys, ["date_id", *keys, "value", "unit", "source_file"], target)
 
 
@@ -286,5 +287,5 @@ def scheme_metric(staged: DataFrame, target: DataFrame | None = None) -> DataFra
     rows = staged.withColumnsRenamed({"year": "calendar_year", "month": "calendar_month"})
     keys = ["source_file", "period_label", "scheme_key", "entity", "metric_name"]
     rest = ["period_date", "calendar_year", "calendar_month", "quarter"]
-    loaded = dedupe_average(rows, [*rest, *keys], "value", ["unit"])
+    loaded = dedupe_average(rows, keys, "value", [*rest, "unit"])
     return store(loaded, keys, [*rest, *keys, "value", "unit"], target)

@@ -863,14 +863,15 @@ def scheme_metric_names(mart: DataFrame, first: int, last: int, scheme: str | No
 
 
 def scheme_rows(
-    mart: DataFrame, first: int, last: int, scheme: str | None = None, name: str | None = None, limit: int = 5000
+    mart: DataFrame, first: int, last: int, scheme: str | None = None, name: str | None = None, limit: int | None = None
 ) -> DataFrame:
-    """Scheme rows for a table, at most ``limit`` of them in a fixed order."""
+    """Scheme rows for a table in a fixed order: all of them, or the first ``limit``."""
     rows = filters.years(mart, first, last, "calendar_year", keep_null=True)
     rows = rows.filter(F.col("scheme_key") == scheme) if scheme else rows
     rows = rows.filter(F.col("metric_name") == name) if name else rows
     order = ["calendar_year", "scheme_key", "metric_name", "period_date", "period_label", "entity", "source_file"]
-    return rows.orderBy(*[F.col(c).asc_nulls_last() for c in order]).limit(limit)
+    rows = rows.orderBy(*[F.col(c).asc_nulls_last() for c in order])
+    return rows if limit is None else rows.limit(limit)
 
 
 def discount_national(mart: DataFrame, first: int, last: int) -> DataFrame:

@@ -126,7 +126,7 @@ def test_labels(spark):
     assert one(spark, L.obligation_period(text("rocs_monthly_millions"), text("Apr|2019-20"))) == "2019-20"
     assert one(spark, L.emission_factor(text("Offshore Wind"))) == 11.0
     assert one(spark, L.emission_factor(text("fusion"))) == 300.0
-    assert one(spark, L.composite_label([text("a"), text(""), text("b")], width=4)) == "a | "
+    assert one(spark, L.composite_label([text("a"), text(""), text("b")])) == "a | b"
     assert one(spark, L.section_letter(text(" c "))) == "C"
 
 

@@ -197,9 +197,12 @@ def test_simple_fit_and_p_value(spark):
     assert stats.simple_fit(constant, "x", "y").count() == 0
 
 
-@pytest.mark.parametrize("t, dof, expected", [(0.0, 5, 1.0), (2.570582, 5, 0.05), (12.7062, 1, 0.05), (2.228139, 10, 0.05)])
-def test_student_tail(t, dof, expected):
-    assert stats._student_two_sided(t, dof) == pytest.approx(expected, abs=1e-5)
+@pytest.mark.parametrize("t, dof, expected", [
+    (0.0, 5, 1.0), (2.570582, 5, 0.05), (12.7062, 1, 0.05), (2.228139, 10, 0.05), (-1.0, 1, 0.5), (1.959964, 10**9, 0.05), (3.0, 10**11, 0.0026998), (6.0, 30, 1.39428e-6),
+])
+def test_student_tail(spark, t, dof, expected):
+    row = spark.range(1).select(stats.student_two_sided(F.lit(t), F.lit(dof)).alias("p")).first()
+    assert row.p == pytest.approx(expected, rel=1e-3)
 
 
 def test_model_recovers_a_line(spark):
