@@ -113,10 +113,10 @@ def smallest_draws(rows: DataFrame, label: str, draw: str, limit: int, tie: str)
     return near.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= limit).drop("_of", "_rows", "_rank")
 
 
-def membership(keys: DataFrame, scratch: Scratch, bits: int = 25) -> Callable[..., Column]:
+def membership(keys: DataFrame, scratch: Scratch, bits: int = 23) -> Callable[..., Column]:
     """A test whether columns hash like a row of ``keys``: never false for one of them, seldom true for others.
 
-    A bitmap of hashes, of fixed size (4 MB) whatever the number of keys, so it may go to every task. Used before joins:
+    A bitmap of hashes, of fixed size (1 MB) whatever the number of keys, so it may go to every task. Used before joins:
     rows that it rules out need no shuffle. The more keys, the more rows it lets through to the join, which decides.
     """
     chunk = 15  # Spark's bitmaps have 2 ** 15 bits

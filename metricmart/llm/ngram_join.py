@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from metricmart.llm.common import Scratch, col, membership, without
 from metricmart.llm.components import components
 
-SKETCH_BITS = 22  # counters of the shingle sketch; its size bounds what is broadcast (one byte a counter)
+SKETCH_BITS = 21  # counters of the shingle sketch; its size bounds what is broadcast (one byte a counter)
 HUB_ROWS = 4096  # sets that share one hub at most
 TREE_ROWS = 256  # sets in one prefix tree
 CELLS, FULL = 256, 65535  # histogram of a set's hashes: cells, and the count that stands for all larger ones
@@ -139,8 +139,10 @@ def ordered(tokens: np.ndarray, heat: np.ndarray) -> np.ndarray:
 def heat_classes(counts: np.ndarray) -> np.ndarray:
     """Frequency class of each counter: 0 near the mean, else the bits of its count."""
     mean = counts.mean()
-    hot = counts > mean + 8 * np.sqrt(mean) + 48
-    return np.where(hot, np.ceil(np.log2(np.maximum(counts, 1))), 0).astype(np.uint8)
+    classes = np.zeros(len(counts), np.uint8)
+    hot = np.flatnonzero(counts > mean + 8 * np.sqrt(mean) + 48)
+    classes[hot] = np.ceil(np.log2(counts[hot]))
+    return classes
 
 
 def _low(tokens: np.ndarray, size: int) -> np.ndarray:
@@ -183,7 +185,7 @@ def _measured(docs: DataFrame, size: int, scratch: Scratch) -> tuple[DataFrame,
     measured = scratch.store(docs.mapInArrow(measure, f"id {kind}, n long, key binary, cells binary, sketch binary"), "measured")
     sketches = measured.filter("n < 0").select("sketch").rdd.map(lambda r: np.frombuffer(zlib.decompress(r[0]), np.uint32))
     zero = np.zeros(1 << SKETCH_BITS, np.uint32)
-    counts = zero if sketches.isEmpty() else sketches.treeReduce(np.add)
+    counts = zero if sketches.isEmpty() else sketches.treeReduce(np.add, depth=3)
     return measured.filter("n >= 0").drop("sketch"), heat_classes(counts)
 
 
