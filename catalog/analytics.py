@@ -330,9 +330,10 @@ def indicators_of_year(t):
 
 @query(
     "metrics_by_period", "P21 R30", f"""
-SELECT period_start_date, AVG(value) FILTER (WHERE metric_name = 'nps_score') AS nps_score, AVG(value) FILTER (WHERE metric_name = 'satisfaction_overall_pct') AS satisfaction_overall_pct, AVG(value) FILTER (WHERE metric_name = 'satisfaction_pct') AS satisfaction_pct
+SELECT period_start_date, AVG(value) FILTER (WHERE metric_name = 'nps_score') AS nps_score, AVG(value) FILTER (WHERE metric_name = 'satisfaction_overall_pct') AS satisfaction_overall_pct, AVG(value) FILTER (WHERE metric_name = 'satisfaction_pct') AS satisfaction_pct,
+ AVG(value) FILTER (WHERE metric_name = 'other_A') AS "other_A", AVG(value) FILTER (WHERE metric_name = 'other_N') AS "other_N", AVG(value) FILTER (WHERE metric_name = 'other_R') AS "other_R"
 FROM ({M.SATISFACTION}) GROUP BY 1
-""", d8=["nps_score", "satisfaction_overall_pct", "satisfaction_pct"],
+""", d8=["nps_score", "satisfaction_overall_pct", "satisfaction_pct", "other_A", "other_N", "other_R"],
 )
 def metrics_by_period(t):
     return analytics.metrics_by_period(marts.satisfaction(t))

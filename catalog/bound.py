@@ -159,15 +159,15 @@ SELECT f.year * 10 + 1 AS date_id, f.suppkey AS company_id, {_SECTOR_ID} AS netw
 FROM supplier_year f
 """)
 bind("core_fact_customer_metrics", f"""
-SELECT f.year * 10 + 1 AS date_id, CAST(f.n_nationkey + 1 AS BIGINT) AS geography_id, f.suppkey AS company_id,
+SELECT f.year * 10 + 1 AS date_id, CAST(f.n_nationkey + 1 AS BIGINT) AS geography_id, CASE WHEN f.s_acctbal > 3000 THEN f.suppkey ELSE -f.suppkey END AS company_id,
        {_SECTOR_ID} AS network_sector_id, f.price / f.n_lines AS cost_per_customer_gbp,
        f.qty / f.n_lines AS satisfaction_score
-FROM supplier_year f WHERE f.s_acctbal > 3000
+FROM supplier_year f
 """)
 bind("core_fact_emissions", f"""
-SELECT f.year * 10 + 1 AS date_id, f.suppkey AS company_id, {_SECTOR_ID} AS network_sector_id, f.tax * 10 AS sf6_kg,
+SELECT f.year * 10 + 1 AS date_id, CASE WHEN f.s_acctbal < 8000 THEN f.suppkey ELSE -f.suppkey END AS company_id, {_SECTOR_ID} AS network_sector_id, f.tax * 10 AS sf6_kg,
        f.revenue / 10 AS carbon_footprint_tco2e
-FROM supplier_year f WHERE f.s_acctbal < 8000
+FROM supplier_year f
 """)
 bind("core_fact_regional_gva", f"""
 SELECT year * 10 + 1 AS date_id, CAST(s_nationkey + 1 AS BIGINT) AS geography_id,
@@ -182,20 +182,20 @@ FROM type_sales GROUP BY year, p_type, l_returnflag
 """)
 _INDUSTRY = f"CAST({case('p_type', {k: i for i, k in enumerate(TYPE_CODES, 1)})} AS BIGINT)"
 bind("core_fact_energy_intensity", f"""
-SELECT year * 10 + 1 AS date_id, {_INDUSTRY} AS industry_id, SUM(price) / SUM(qty) AS kwh_per_gva,
+SELECT year * 10 + 1 AS date_id, CASE WHEN p_type <> 'MEDIUM' THEN {_INDUSTRY} END AS industry_id, SUM(price) / SUM(qty) AS kwh_per_gva,
        SUM(filled) / SUM(qty) AS electricity_pct_of_total_energy, 1 - SUM(filled) / SUM(qty) AS gas_pct_of_total_energy,
        SUM(qty) / SUM(n) AS energy_intensity_index
-FROM type_year WHERE p_type <> 'MEDIUM' GROUP BY year, p_type
+FROM type_year GROUP BY year, p_type
 """)
 bind("core_fact_input_output", f"""
-SELECT year * 10 + 1 AS date_id, {_INDUSTRY} AS industry_id,
+SELECT year * 10 + 1 AS date_id, CASE WHEN p_type <> 'LARGE' THEN {_INDUSTRY} END AS industry_id,
        {case('l_returnflag', {'A': 'energy', 'N': 'electricity', 'R': 'labour'})} AS commodity,
        discount / n AS intermediate_consumption_share, price / 1000 AS intermediate_consumption_value
-FROM type_year WHERE p_type <> 'LARGE'
+FROM type_year
 """)
 bind("stg_lcree", f"""
-SELECT {YEAR} AS year, {total('o_totalprice')} / 1000000 AS lcree_turnover_million_gbp FROM orders
-WHERE o_orderdate < DATE '2001-01-01' GROUP BY {YEAR}
+SELECT {YEAR} AS year, CASE WHEN {YEAR} < 2001 THEN {total('o_totalprice')} / 1000000 END AS lcree_turnover_million_gbp FROM orders
+GROUP BY {YEAR}
 """)
 
 # --- market facts ----------------------------------------------------------------------------------------------
@@ -248,9 +248,9 @@ FROM sales_quarter GROUP BY year, quarter, suppkey, l_returnflag, l_linestatus
 """)
 bind("core_fact_market_structure", f"""
 SELECT {_Q_ID} AS date_id, {case('o_orderstatus', {**STATUS_COMMODITY, 'P': 'all'})} AS commodity,
-       {case('o_orderpriority', {'1-URGENT': 'supplier_entries', '2-HIGH': 'supplier_exits', '3-MEDIUM': 'active_suppliers', '4-NOT SPECIFIED': 'continuing_active', '5-LOW': 'other'})} AS metric_name,
+       CASE WHEN o_orderstatus = 'F' AND quarter = 2 THEN 'other_' || substr(o_orderpriority, 1, 1) ELSE {case('o_orderpriority', {'1-URGENT': 'supplier_entries', '2-HIGH': 'supplier_exits', '3-MEDIUM': 'active_suppliers', '4-NOT SPECIFIED': 'continuing_active', '5-LOW': 'other'})} END AS metric_name,
        {COUNTED} AS value, 'count' AS unit, 'structure.csv' AS source_file
-FROM order_groups WHERE NOT (o_orderstatus = 'F' AND quarter = 2)
+FROM order_groups
 GROUP BY year, quarter, o_orderstatus, o_orderpriority
 """)
 bind("core_fact_market_share_retail", f"""
@@ -275,33 +275,34 @@ SELECT {_Q_ID} AS date_id, {case('o_orderstatus', STATUS_COMMODITY)} AS commodit
        CASE WHEN c_mktsegment = 'MACHINERY' THEN CAST(1 AS BIGINT) END AS supplier_id,
        CASE WHEN c_nationkey IN ({_CREDIT_NATIONS}) THEN 'credit_balance'
             ELSE {case('c_mktsegment', {'FURNITURE': 'debt', 'BUILDING': 'arrears', 'HOUSEHOLD': 'debt_plus_arrears'})} END AS component,
-       {case('c_nationkey', by_nation(DEBT_METRICS))} AS metric_name, {dbl('total_c')} / 100 / n / 1000 AS value
-FROM order_groups WHERE NOT (o_orderstatus = 'O' AND year = 1996)
+       CASE WHEN o_orderstatus = 'O' AND year = 1996 THEN 'other' ELSE {case('c_nationkey', by_nation(DEBT_METRICS))} END AS metric_name, {dbl('total_c')} / 100 / n / 1000 AS value
+FROM order_groups
 """)
 CUT_METRICS = [
     "disconnections_for_debt", "smart_ppm_self_disconnect_events", "smart_ppm_self_disconnect_customers",
     "smart_ppm_self_disconnect_customers_gt3h",
 ]
+_CUT_METRIC = f"CASE WHEN o_orderstatus = 'F' AND year = 1997 THEN 'other' ELSE {case('c_nationkey', by_nation(CUT_METRICS))} END"
 bind("core_fact_consumer_disconnections", f"""
 SELECT {_Q_ID} AS date_id, {case('o_orderstatus', STATUS_COMMODITY)} AS commodity,
        CAST({case('o_orderpriority', PRIORITY_METHOD)} AS BIGINT) AS payment_method_id, CAST(NULL AS BIGINT) AS supplier_id,
-       {case('c_nationkey', by_nation(CUT_METRICS))} AS metric_name, {COUNTED} AS value
-FROM order_groups WHERE NOT (o_orderstatus = 'F' AND year = 1997)
-GROUP BY year, quarter, o_orderstatus, o_orderpriority, {case('c_nationkey', by_nation(CUT_METRICS))}
+       {_CUT_METRIC} AS metric_name, {COUNTED} AS value
+FROM order_groups GROUP BY year, quarter, o_orderstatus, o_orderpriority, {_CUT_METRIC}
 UNION ALL
-SELECT year * 10 + 1, {case('l_linestatus', STATUS_COMMODITY)}, CAST(NULL AS BIGINT), suppkey, 'disconnections_for_debt', {COUNTED}
-FROM sales_quarter WHERE l_returnflag = 'R' GROUP BY year, l_linestatus, suppkey
+SELECT year * 10 + 1, {case('l_linestatus', STATUS_COMMODITY)}, CAST(NULL AS BIGINT), suppkey, CASE WHEN l_returnflag = 'R' THEN 'disconnections_for_debt' ELSE 'other' END, {COUNTED}
+FROM sales_quarter GROUP BY year, l_linestatus, suppkey, CASE WHEN l_returnflag = 'R' THEN 'disconnections_for_debt' ELSE 'other' END
 """)
 SWITCH_METRICS = [
     "avg_switching_time_days", "total_switches", "switches_to_other_suppliers", "net_gains_other_suppliers",
     "switching_rate_internal_total_pct", "switching_rate_external_total_pct", "switching_rate_internal_by_tariff_pct",
 ]
+_SWITCH_METRIC = f"CASE WHEN o_orderstatus = 'O' AND year = 1998 THEN 'other' ELSE {case('c_nationkey', by_nation(SWITCH_METRICS))} END"
 bind("core_fact_switching_activity", f"""
 SELECT {_Q_ID} AS date_id, {case('o_orderstatus', STATUS_COMMODITY)} AS commodity,
        CAST({case('c_mktsegment', {'FURNITURE': 1, 'BUILDING': 2})} AS BIGINT) AS supplier_size_id,
-       {case('c_nationkey', by_nation(SWITCH_METRICS))} AS metric_name, {COUNTED} AS value
-FROM order_groups WHERE NOT (o_orderstatus = 'O' AND year = 1998)
-GROUP BY year, quarter, o_orderstatus, {case('c_mktsegment', {'FURNITURE': 1, 'BUILDING': 2})}, {case('c_nationkey', by_nation(SWITCH_METRICS))}
+       {_SWITCH_METRIC} AS metric_name, {COUNTED} AS value
+FROM order_groups
+GROUP BY year, quarter, o_orderstatus, {case('c_mktsegment', {'FURNITURE': 1, 'BUILDING': 2})}, {_SWITCH_METRIC}
 """)
 bind("core_fact_tariff_benchmarks", f"""
 SELECT {_Q_ID} AS date_id, {case('o_orderstatus', STATUS_COMMODITY)} AS commodity, c_mktsegment AS supplier_group,
@@ -327,21 +328,21 @@ FROM order_groups GROUP BY year, c_mktsegment
 bind("core_fact_complaints_resolution", f"""
 SELECT {_Q_ID} AS date_id, NULLIF(suppkey, 0) AS supplier_id,
        CAST({case('l_linestatus', {'F': 1})} AS BIGINT) AS supplier_size_id,
-       {case('l_returnflag', {'A': 'complaints_received_per_100k', 'N': 'complaints_resolved_next_day_pct', 'R': 'complaints_resolved_8w_pct'})} AS metric_name,
+       CASE WHEN year < 2001 THEN {case('l_returnflag', {'A': 'complaints_received_per_100k', 'N': 'complaints_resolved_next_day_pct', 'R': 'complaints_resolved_8w_pct'})} ELSE 'other_' || l_returnflag END AS metric_name,
        {summed('qty_c')} / SUM(n) AS value, 'rate' AS unit, 'complaints.csv' AS source_file
-FROM sales_quarter WHERE year < 2001 GROUP BY year, quarter, suppkey, l_linestatus, l_returnflag
+FROM sales_quarter GROUP BY year, quarter, suppkey, l_linestatus, l_returnflag
 UNION ALL
 SELECT year * 10 + 1, suppkey, CAST(NULL AS BIGINT),
-       {case('l_returnflag', {'A': 'minor_incidents_current', 'N': 'major_incidents_current', 'R': 'minor_incidents_historical'})},
+       CASE WHEN l_linestatus = 'O' THEN {case('l_returnflag', {'A': 'minor_incidents_current', 'N': 'major_incidents_current', 'R': 'minor_incidents_historical'})} ELSE 'none_' || l_returnflag END,
        {COUNTED}, 'count', 'incidents.csv'
-FROM sales_quarter WHERE l_linestatus = 'O' GROUP BY year, suppkey, l_returnflag
+FROM sales_quarter GROUP BY year, suppkey, l_returnflag, l_linestatus
 """)
 bind("core_fact_satisfaction_scores", f"""
 SELECT {_Q_ID} AS date_id, suppkey AS supplier_id, CAST({case('l_linestatus', {'F': 2})} AS BIGINT) AS supplier_size_id,
        {case('l_linestatus', STATUS_COMMODITY)} AS commodity, {case('l_returnflag', {'A': 'billing'})} AS aspect,
-       {case('l_returnflag', {'A': 'satisfaction_pct', 'N': 'satisfaction_overall_pct', 'R': 'nps_score'})} AS metric_name,
+       CASE WHEN year > 1995 THEN {case('l_returnflag', {'A': 'satisfaction_pct', 'N': 'satisfaction_overall_pct', 'R': 'nps_score'})} ELSE 'other_' || l_returnflag END AS metric_name,
        {dbl('SUM(tax_c)')} / SUM(n) AS value, 'pct' AS unit, 'satisfaction.csv' AS source_file
-FROM sales_quarter WHERE year > 1995 GROUP BY year, quarter, suppkey, l_linestatus, l_returnflag
+FROM sales_quarter GROUP BY year, quarter, suppkey, l_linestatus, l_returnflag
 """)
 bind("core_fact_customer_accounts_retail", f"""
 SELECT year * 10 + 1 AS date_id, suppkey AS supplier_id, {case('l_linestatus', STATUS_COMMODITY)} AS commodity,

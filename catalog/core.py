@@ -97,22 +97,24 @@ SELECT year, CASE p_type WHEN 'STANDARD' THEN 'A' WHEN 'PROMO' THEN 'B' WHEN 'SM
 
 @query(
     "core_industry_facts", "L05 L06 L07 J02", """
-WITH x AS (SELECT * FROM stg_industry WHERE commodity = 'A')
+WITH x AS (SELECT year, sic_code, SUM(price) AS price, SUM(filled) AS filled, SUM(qty) AS qty, SUM(n) AS n, 'N' || (year % 25) AS region_code FROM stg_industry GROUP BY year, sic_code),
+ y AS (SELECT CASE WHEN year > 1996 THEN sic_code ELSE '-' || sic_code END AS sic_code, year, filled, qty FROM x)
 SELECT 'intensity' AS fact, d.date_id, CAST(NULL AS BIGINT) AS geography_id, i.industry_id, NULL AS commodity, x.price AS a, f.filled AS b, f.qty AS c FROM x JOIN core_dim_date d ON d.year = x.year AND d.quarter IS NULL
-JOIN core_dim_industry i ON i.sic_code = x.sic_code LEFT JOIN x f ON f.year = x.year AND f.sic_code = x.sic_code AND f.year > 1996
+JOIN core_dim_industry i ON i.sic_code = x.sic_code LEFT JOIN y f ON f.year = x.year AND f.sic_code = x.sic_code
 UNION ALL SELECT 'gva', d.date_id, g.geography_id, i.industry_id, NULL, x.price, NULL, NULL FROM x JOIN core_dim_date d ON d.year = x.year AND d.quarter IS NULL JOIN core_dim_industry i ON i.sic_code = x.sic_code
- JOIN core_dim_geography g ON g.geography_code = 'N3'
+ JOIN core_dim_geography g ON g.geography_code = x.region_code
 UNION ALL SELECT 'io', d.date_id, NULL, i.industry_id, s.commodity, s.qty, s.price, NULL FROM stg_industry s JOIN core_dim_date d ON d.year = s.year AND d.quarter IS NULL JOIN core_dim_industry i ON i.sic_code = s.sic_code
-""",
+""", d4=["a", "b", "c"],
 )
 def industry_facts(t):
     rows, dims = t["stg_industry"], dimensions(t)
-    one = rows.filter("commodity = 'A'")
-    fuel = one.filter("year > 1996").select("year", "sic_code", F.col("filled").alias("electricity_pct"), F.col("qty").alias("gas_pct"))
+    one = rows.groupBy("year", "sic_code").agg(*[F.sum(c).alias(c) for c in ("price", "filled", "qty", "n")])
+    known = F.when(F.col("year") > 1996, F.col("sic_code")).otherwise(F.concat(F.lit("-"), "sic_code"))
+    fuel = one.select("year", known.alias("sic_code"), F.col("filled").alias("electricity_pct"), F.col("qty").alias("gas_pct"))
     intensity = core.energy_intensity(
         one.withColumnsRenamed({"price": "kwh_per_gva", "n": "energy_intensity_index"}).select("year", "sic_code", "kwh_per_gva", "energy_intensity_index"), fuel, dims
     )
-    gva = core.regional_gva(one.withColumnRenamed("price", "gva_million_gbp").withColumn("region_code", F.lit("N3")), dims)
+    gva = core.regional_gva(one.withColumnRenamed("price", "gva_million_gbp").withColumn("region_code", F.concat(F.lit("N"), (F.col("year") % 25).cast("string"))), dims)
     io = core.input_output(rows.withColumnsRenamed({"qty": "intermediate_consumption_share", "price": "intermediate_consumption_value"}), dims)
     shape = [("fact", "string"), ("date_id", "int"), ("geography_id", "bigint"), ("industry_id", "bigint"), ("commodity", "string"), ("a", "double"), ("b", "double"), ("c", "double")]
     return union_all([
@@ -239,9 +241,9 @@ def retail_other(t):
 
 @query(
     "core_renewables_obligation", "L15 J05 A12 U02", """
-SELECT d.date_id, o.obligation_period, o.period_label, o.technology, o.metric_name, AVG(o.value) AS value, MIN(o.unit) AS unit, MIN(o.source_file) AS source_file
+SELECT MIN(d.date_id) AS date_id, o.obligation_period, o.period_label, o.technology, o.metric_name, AVG(o.value) AS value, MIN(o.unit) AS unit, MIN(o.source_file) AS source_file
 FROM (SELECT *, CASE WHEN period_label <> 'unknown' THEN period_label END AS obligation_period FROM raw_certificates) o
-LEFT JOIN core_dim_date d ON d.year = o.year AND d.quarter IS NOT DISTINCT FROM o.quarter AND o.metric_name <> 'none' GROUP BY ALL
+LEFT JOIN core_dim_date d ON d.year = o.year AND d.quarter IS NOT DISTINCT FROM o.quarter AND o.metric_name <> 'none' GROUP BY o.obligation_period, o.period_label, o.technology, o.metric_name
 """, d6=["value"],
 )
 def renewables_obligation(t):

@@ -33,9 +33,9 @@ FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN supplier ON l_suppkey
 GROUP BY {YEAR}, s_name, s_nationkey, l_returnflag
 """)
 bind("alias_rows", """
-SELECT 'Supplier#' || substr(s_name, 10) AS source_company_name, 'Group ' || substr(s_name, 18, 1) AS company_name,
+SELECT CASE WHEN s_acctbal < 8000 THEN 'Supplier#' ELSE 'Unlisted#' END || substr(s_name, 10) AS source_company_name, 'Group ' || substr(s_name, 18, 1) AS company_name,
        CASE WHEN s_acctbal < 3000 THEN 'ET' WHEN s_acctbal < 6000 THEN 'ED' END AS network_sector_code, s_suppkey AS position
-FROM supplier WHERE s_acctbal < 8000
+FROM supplier
 """)
 
 
@@ -370,7 +370,7 @@ def underperformers(t):
 @query(
     "null_safe_full_outer", "J06 M10 M11", f"""
 WITH a AS (SELECT {case('o_orderstatus', {'O': 'O', 'F': 'F'})} AS k, {QUARTER} AS q, COUNT(*) AS orders FROM orders GROUP BY ALL),
- b AS (SELECT {case('l_linestatus', {'O': 'O'})} AS k, CAST(quarter(l_shipdate) AS INT) AS q, COUNT(*) AS lines FROM lineitem WHERE quarter(l_shipdate) < 4 GROUP BY ALL)
+ b AS (SELECT {case('l_linestatus', {'O': 'O'})} AS k, CAST(CASE quarter(l_shipdate) WHEN 4 THEN 9 ELSE quarter(l_shipdate) END AS INT) AS q, COUNT(*) AS lines FROM lineitem GROUP BY ALL)
 SELECT COALESCE(a.k, b.k) AS k, COALESCE(a.q, b.q) AS q, orders, lines FROM a FULL OUTER JOIN b ON a.k IS NOT DISTINCT FROM b.k AND a.q IS NOT DISTINCT FROM b.q
 """,
 )
@@ -378,9 +378,8 @@ def null_safe_full_outer(t):
     k = F.when(F.col("o_orderstatus").isin("O", "F"), F.col("o_orderstatus"))
     a = t["orders"].groupBy(k.alias("k"), F.quarter("o_orderdate").alias("q")).agg(F.count("*").alias("orders"))
     k = F.when(F.col("l_linestatus") == "O", F.lit("O"))
-    b = t["lineitem"].filter(F.quarter("l_shipdate") < 4).groupBy(k.alias("k"), F.quarter("l_shipdate").alias("q")).agg(
-        F.count("*").alias("lines")
-    )
+    quarter = F.when(F.quarter("l_shipdate") == 4, F.lit(9)).otherwise(F.quarter("l_shipdate"))
+    b = t["lineitem"].groupBy(k.alias("k"), quarter.alias("q")).agg(F.count("*").alias("lines"))
     return joins.null_safe_join(a, b, ["k", "q"], "full_outer")
 
 
@@ -436,7 +435,7 @@ def lateral_first(t):
 @query(
     "same_year_else_max", "J10 G02", """
 WITH k AS (SELECT DISTINCT company_name, network_sector, year FROM line_metrics),
- r AS (SELECT * FROM line_metrics WHERE year < 1999 AND flag = 'A')
+ r AS (SELECT * REPLACE (CAST(CASE WHEN year < 1999 AND flag = 'A' THEN year ELSE 0 END AS INT) AS year) FROM line_metrics)
 SELECT k.*, COALESCE(s.v, a.v) AS quantity FROM k
 LEFT JOIN (SELECT year, company_name, network_sector, MAX(quantity) AS v FROM r GROUP BY 1, 2, 3) s USING (year, company_name, network_sector)
 LEFT JOIN (SELECT company_name, network_sector, MAX(quantity) AS v FROM r GROUP BY 1, 2) a USING (company_name, network_sector)
@@ -444,7 +443,7 @@ LEFT JOIN (SELECT company_name, network_sector, MAX(quantity) AS v FROM r GROUP
 )
 def same_year_else_max(t):
     keys = t["line_metrics"].select("company_name", "network_sector", "year").distinct()
-    known = t["line_metrics"].filter("year < 1999 and flag = 'A'")
+    known = t["line_metrics"].withColumn("year", F.when(F.expr("year < 1999 and flag = 'A'"), F.col("year")).otherwise(F.lit(0)))
     return joins.same_year_else_max(keys, known, ["company_name", "network_sector"], "quantity")
 
 
@@ -483,13 +482,14 @@ def canonical_names(t):
     "year_spine_join", "J13 M17", f"""
 WITH s AS (SELECT DISTINCT {YEAR} AS year FROM orders)
 SELECT s.year, a.n AS filled, b.n AS shipped FROM s
-LEFT JOIN (SELECT {YEAR} AS year, COUNT(*) AS n FROM orders WHERE o_orderstatus = 'F' AND year(o_orderdate) <> 1997 GROUP BY 1) a USING (year)
+LEFT JOIN (SELECT CASE WHEN o_orderstatus = 'F' AND year(o_orderdate) <> 1997 THEN {YEAR} ELSE 0 END AS year, COUNT(*) AS n FROM orders GROUP BY 1) a USING (year)
 LEFT JOIN (SELECT CAST(year(l_shipdate) AS INT) AS year, COUNT(*) AS n FROM lineitem GROUP BY 1) b USING (year)
 """,
 )
 def year_spine_join(t):
     year = F.year("o_orderdate").alias("year")
-    filled = t["orders"].filter("o_orderstatus = 'F' and year(o_orderdate) <> 1997").groupBy(year)
+    open_year = F.when(F.expr("o_orderstatus = 'F' and year(o_orderdate) <> 1997"), F.year("o_orderdate")).otherwise(F.lit(0))
+    filled = t["orders"].groupBy(open_year.alias("year"))
     shipped = t["lineitem"].groupBy(F.year("l_shipdate").alias("year"))
     return joins.spine_join(
         t["orders"].select(year).distinct(),
@@ -549,13 +549,13 @@ def first_nonempty_source(t):
 @query(
     "lagged_pairs", "J20 P10", """
 WITH a AS (SELECT company_name, year, SUM(quantity) AS quantity FROM line_metrics WHERE flag = 'A' GROUP BY 1, 2),
- b AS (SELECT company_name, year, AVG(discount) AS discount FROM line_metrics WHERE flag = 'R' GROUP BY 1, 2)
+ b AS (SELECT company_name, year, AVG(discount) AS discount FROM line_metrics WHERE flag <> 'A' GROUP BY 1, 2)
 SELECT a.*, b.discount FROM a JOIN b ON b.company_name = a.company_name AND b.year = a.year + 1
-""",
+""", d9=["discount"],
 )
 def lagged_pairs(t):
     m = t["line_metrics"]
-    return joins.lagged_pairs(m.filter("flag = 'A'"), m.filter("flag = 'R'"), "company_name", "quantity", "discount")
+    return joins.lagged_pairs(m.filter("flag = 'A'"), m.filter("flag <> 'A'"), "company_name", "quantity", "discount")
 
 
 @query(
@@ -1263,13 +1263,13 @@ def page_chart_cells(t):
 
 @query(
     "landed_union", "R33 G13 U-D", """
-SELECT 'a' AS source_file, year, company_name, quantity AS value FROM line_metrics WHERE flag = 'A' UNION ALL SELECT 'b', year, company_name, discount FROM line_metrics WHERE flag = 'R'
+SELECT 'a' AS source_file, year, company_name, quantity AS value FROM line_metrics WHERE flag = 'A' UNION ALL SELECT 'b', year, company_name, discount FROM line_metrics WHERE flag <> 'A'
 """,
 )
 def landed_union(t):
     m = t["line_metrics"]
     a = m.filter("flag = 'A'").select(F.lit("a").alias("source_file"), "year", "company_name", F.col("quantity").alias("value"))
-    b = m.filter("flag = 'R'").select(F.lit("b").alias("source_file"), "year", "company_name", F.col("discount").alias("value"))
+    b = m.filter("flag <> 'A'").select(F.lit("b").alias("source_file"), "year", "company_name", F.col("discount").alias("value"))
     return C.union_all([a, b])
 
 

@@ -69,7 +69,7 @@ def loss_and_spend(t):
 
 bind("raw_fuel_poor", f"""
 SELECT year, company_name, {case('sector_code', {'ET': 'Electricity Transmission', 'GD': 'Gas Distribution'})} AS network_sector,
-       {case('n_nationkey', by_nation(['fuel_poor_connections_actual', 'fuel_poor_connections_target', 'other']))} AS metric_name, qty AS value, 'n' AS unit FROM supplier_year WHERE year IN (1995, 2001)
+       CASE WHEN year IN (1995, 2001) THEN {case('n_nationkey', by_nation(['fuel_poor_connections_actual', 'fuel_poor_connections_target', 'other']))} ELSE 'other' END AS metric_name, qty AS value, 'n' AS unit FROM supplier_year
 """)
 _FUEL_POOR = "metric_name IN ('fuel_poor_connections_actual', 'fuel_poor_connections_target')"
 
@@ -144,7 +144,7 @@ WHERE s.year {_BETWEEN} AND s.metric_name IN ('customer_survey_score', 'stakehol
 """, d6=["satisfaction_score"],
 )
 def satisfaction_raw(t):
-    empty = ChainMap({"core_fact_customer_metrics": t["core_fact_customer_metrics"].filter("company_id < 0")}, t)
+    empty = ChainMap({"core_fact_customer_metrics": t["core_fact_customer_metrics"].limit(0)}, t)
     return reads.satisfaction_connections(empty, t["raw_connections"], t["raw_survey"], FIRST, LAST)
 
 

@@ -50,12 +50,14 @@ SELECT * FROM a UNION ALL BY NAME SELECT * FROM b WHERE ({keys}) NOT IN (SELECT
 
 def documents(t, **columns: str):
     """Documents about each supplier and year."""
-    rows = t["supplier_year"].filter("s_acctbal < 6000")
+    rows = t["supplier_year"]
     picked = [F.expr(e).alias(n) for n, e in columns.items()]
-    return as_documents(rows.select("year", "company_name", F.col("sector_code").alias("network_sector"), *picked), "docs")
+    return as_documents(rows.select("year", F.expr(_DOC_NAME).alias("company_name"), F.col("sector_code").alias("network_sector"), *picked), "docs")
 
 
-_DOC = "SELECT year, company_name, sector_code AS network_sector, {columns} FROM supplier_year WHERE s_acctbal < 6000"
+# Suppliers beyond the limit are named otherwise in documents, so that other sources have keys of their own.
+_DOC_NAME = "CASE WHEN s_acctbal < 6000 THEN company_name ELSE 'Filed as ' || company_name END"
+_DOC = f"SELECT year, {_DOC_NAME} AS company_name, sector_code AS network_sector, {{columns}} FROM supplier_year"
 
 
 @query(
@@ -84,8 +86,8 @@ def financial_performance(t):
     docs = documents(
         t, totex_allowance_million_gbp="price", actual_totex_million_gbp="revenue", rore_pct="CASE WHEN s_acctbal > 3000 THEN s_acctbal END"
     )
-    returns = t["supplier_year"].filter("s_acctbal < 6000 and year < 1999").select(
-        "year", "company_name", F.col("sector_code").alias("network_sector"), F.col("qty").alias("rore_pct")
+    returns = t["supplier_year"].select(
+        "year", F.expr(_DOC_NAME).alias("company_name"), F.col("sector_code").alias("network_sector"), F.expr("CASE WHEN year < 1999 THEN qty END").alias("rore_pct")
     )
     return staging.financial_performance(docs, as_documents(returns, "ror"), t["raw_spend"], t["raw_returns"], t["alias_rows"])
 

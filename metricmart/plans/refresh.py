@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from metricmart.operators import audit
 from metricmart.operators import dimensions as D
 from metricmart.operators.quality import check_keys, check_rows, check_unmatched, enforce, report
+from metricmart.operators.registry import run_registry
 from metricmart.plans import core, marts, staging
 from metricmart.sources.sinks import Stage
 from pyspark.sql import functions as F
@@ -42,6 +44,8 @@ def build_staging(raw: Tables) -> dict[str, DataFrame]:
     tables |= staging.retail_topics(
         raw["raw_supplier_metric"], raw["raw_retail_timeseries"], raw["raw_retail_snapshot"], supplier
     )
+    tables["stg_statistical_digest"] = staging.statistical_digest([raw["raw_statistical_digest"]])
+    tables |= staging.energy_flows(raw["raw_energy_flows"], raw["raw_energy_flow_bridge"])
     tables |= staging.renewables(raw["raw_renewables"])
     tables |= staging.discount_scheme(raw["raw_whd"])
     return tables
@@ -174,6 +178,7 @@ def build_marts(tables: Tables) -> dict[str, DataFrame]:
         "mart_regulatory_performance": marts.regulatory_performance(tables),
         "mart_decarbonisation_narrative": marts.decarbonisation_narrative(tables),
         "mart_renewables_deployment": marts.renewables_deployment(tables),
+        "mart_official_renewables": marts.official_renewables(tables["stg_statistical_digest"]),
         "mart_retail_supplier_health": marts.supplier_health(tables),
         "mart_retail_consumer_vulnerability": marts.consumer_vulnerability(tables),
         "mart_retail_competition": marts.competition(tables),
@@ -190,14 +195,39 @@ def build_marts(tables: Tables) -> dict[str, DataFrame]:
     }
 
 
+def logged_write(spark: SparkSession, stage: Stage, name: str, df: DataFrame, source: str) -> DataFrame:
+    """Write a table of this run and one line about it in the run log; a failed write is logged before it is raised."""
+    watched, seen = audit.observed(df, f"{stage.run_id}:{name}")
+    try:
+        written = stage.write(name, watched)
+    except Exception as error:
+        audit.append_run(spark, stage.path("run_log"), source, name, status="failed", error=str(error)[:2000])
+        raise
+    audit.append_run(spark, stage.path("run_log"), source, name, seen, df.columns)
+    return written
+
+
+def land(
+    spark: SparkSession, stage: Stage, entries: Sequence[Mapping[str, object]], sources: Tables, allow_failures: bool = False
+) -> dict[str, DataFrame]:
+    """Run the registry over source tables and store its targets as landing tables, with their log lines.
+
+    With ``allow_failures`` entries that could not be planned are logged as failed and their rows are missing.
+    """
+    run = run_registry(entries, sources, allow_failures)
+    for source, reason in run.failures:
+        audit.append_run(spark, stage.path("run_log"), source, "", status="failed", error=reason)
+    return {name: logged_write(spark, stage, name, df, "registry") for name, df in run.targets.items()}
+
+
 def full_refresh(spark: SparkSession, raw: Tables, stage: Stage) -> dict[str, DataFrame]:
-    """Run all stages in order. Tables of one layer are stored before the next layer reads them."""
+    """Run all stages in order. Tables of one layer are stored before the next layer reads them; each has a log line."""
 
     def before(table: str) -> DataFrame | None:
         return stage.before(table)
 
     def stored(frames: Tables) -> dict[str, DataFrame]:
-        return {name: stage.write(name, df) for name, df in frames.items()}
+        return {name: logged_write(spark, stage, name, df, "refresh") for name, df in frames.items()}
 
     staged = stored(build_staging(raw))
     dims = stored(build_dimensions(spark, raw, staged, before))

@@ -502,3 +502,15 @@ def statistical_digest(frames: Sequence[DataFrame]) -> DataFrame:
     keys = ["dukes_table", "period_year", "period_label", "row_label", "column_label", "metric_name", "source_file"]
     order = [F.col(c).asc_nulls_last() for c in ("value", "unit", "value_text")]
     return first_per_key(both, keys, order)
+
+
+def energy_flows(rows: DataFrame, bridge: DataFrame) -> dict[str, DataFrame]:
+    """Energy-flow accounts: matrix and indicator cells, and the bridge; a cell that repeats keeps its first source."""
+    cell = ["reference_year", "table_id", "row_no", "industry_col"]
+    line = ["reference_year", "bridge_code"]
+
+    def first(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+        rest = [c for c in df.columns if c not in keys]
+        return first_per_key(df, keys, [F.col(c).asc_nulls_last() for c in ["source_file", *[c for c in rest if c != "source_file"]]])
+
+    return {"stg_energy_flows": first(rows, cell), "stg_energy_flow_bridge": first(bridge, line)}

@@ -119,6 +119,15 @@ def landing(spark):
             shapes.DISCOUNT, {"scheme_year": 10, "calendar_year": 2020, "nation": "Wales", "metric_name": "scheme_value_mgbp", "value": 3.0},
             {"scheme_year": 10, "calendar_year": 2020, "supplier_name": "British Gas", "metric_name": "obligation_amount_mgbp", "value": 2.0},
         ),
+        "raw_statistical_digest": long(
+            shapes.DIGEST, *[{"dukes_table": "6.3", "period_year": 2021, "row_label": "wind", "metric_name": "load_factor", "value": v, "source_file": "d"} for v in (0.3, 0.4)],
+            {"dukes_table": "9.9", "period_year": 2021, "row_label": "x", "metric_name": "m", "value": 1.0, "source_file": "d"},
+        ),
+        "raw_energy_flows": spark.createDataFrame(
+            [(2021, "A", 1, 4, "B", 5.0, "f"), (2021, "A", 1, 4, "B", 5.0, "g"), (2021, "A", 2, 4, "C", 6.0, "f")],
+            "reference_year int, table_id string, row_no int, industry_col int, row_code string, energy_tj double, source_file string",
+        ),
+        "raw_energy_flow_bridge": spark.createDataFrame([(2021, "b1", 7.0, "f")], "reference_year int, bridge_code string, energy_tj double, source_file string"),
         "raw_scheme_metric": long(shapes.SCHEME, {"year": 2021, "scheme_key": "bus", "metric_name": "vouchers", "value": 8.0, "source_file": "b"}),
     }
 
@@ -140,6 +149,38 @@ def test_second_run_changes_nothing(runs):
             assert first[name].count() == second[name].count(), name
 
 
+def test_every_table_has_a_log_line(spark, tmp_path):
+    raw, stage = landing(spark), Stage(spark, str(tmp_path), "r")
+    entry = {"source": "s", "strategy": "wide_period_metric", "target": "t",
+             "options": {"source_file": "e", "column_pattern": r"Year (?P<period>\d+) (?P<kind>\w+)", "scheme": "T1", "kind_metric_map": {"actual": "a"},
+                         "network_sector": "Electricity Transmission", "unit": "u"}}
+    sources = {"s": spark.createDataFrame([("NGET", 1.0)], "company string, `Year 7 actual` double")}
+    with pytest.raises(ValueError, match="nowhere"):
+        refresh.land(spark, stage, [entry, {**entry, "source": "nowhere"}], sources)
+    landed = refresh.land(spark, stage, [entry, {**entry, "source": "nowhere"}], sources, allow_failures=True)
+    assert landed["t"].count() == 1
+    tables = refresh.full_refresh(spark, raw, stage)
+    log = spark.read.parquet(stage.path("run_log")).collect()
+    assert {r.target_table for r in log if r.status == "loaded"} == {*tables, "t"} and len(log) == len(tables) + 2
+    assert [r.source_id for r in log if r.status == "failed"] == ["nowhere"]
+    assert {r.target_table: r.row_count for r in log}["stg_energy_flows"] == 2
+    assert sum(name.startswith("mart_") for name in tables) == 21
+    grains = {(r.dukes_table, r.grain, r.value) for r in tables["mart_official_renewables"].collect()}
+    assert grains == {("6.3", "load_factors", 0.3), ("9.9", "other", 1.0)}
+
+
+def test_repeated_keys_fail_loudly(spark):
+    from metricmart.plans import core
+
+    rows = spark.createDataFrame([(1, 2.0), (1, 3.0)], "k int, v double")
+    with pytest.raises(ValueError, match="repeats"):
+        core.store(rows, ["k"], ["k", "v"], None)
+    month = {"source_file": "s", "period_label": "p", "scheme_key": "bus", "entity": "e", "metric_name": "m", "year": 2021, "quarter": 1, "unit": "u"}
+    names = [n for n, _ in shapes.SCHEME]
+    two = spark.createDataFrame([tuple({**month, "month": m, "value": float(m)}.get(n) for n in names) for m in (1, 2)], schema(shapes.SCHEME))
+    assert [r.value for r in core.scheme_metric(two).collect()] == [1.5]
+
+
 def test_chain_of_one_metric(runs):
     """Wide header → regulatory year → staging → fact → mart → rank."""
     tables, _ = runs
