@@ -6,8 +6,8 @@ by a counting sketch of all documents, then by hash. Two sets similar enough mus
 
 Sets that meet are not paired with each other at once. First every set is compared with one hub, the set that it shares
 most prefix shingles with among the first of each shingle; that joins whole clusters with as many comparisons as sets.
-Then only sets that meet although they are in different components yet are paired, and only if the shingles left after
-those they share could still make up the required overlap.
+Sets that meet although they are in different components yet try a few members of the other component. What is still
+apart then is paired, all of it, if the shingles left after those shared could still make up the required overlap.
 
 Pairs whose hash histograms already rule the overlap out are dropped. Comparisons run over prefix trees: the sets to compare with one hub are stored in the global order, frequent shingles
 first, as a sorted list whose neighbours share their common beginnings; the overlap of a shared beginning is computed
@@ -32,6 +32,7 @@ from metricmart.llm.components import components
 SKETCH_BITS = 21  # counters of the shingle sketch; its size bounds what is broadcast (one byte a counter)
 HUB_ROWS = 4096  # sets that share one hub at most
 TREE_ROWS = 256  # sets in one prefix tree
+TRIED_MEMBERS = 6  # members of a component that a set outside is first compared with
 CELLS, FULL = 256, 65535  # histogram of a set's hashes: cells, and the count that stands for all larger ones
 
 
@@ -368,6 +369,20 @@ def _linked(pairs: DataFrame, measured: DataFrame, docs: DataFrame, size: int, p
     )
 
 
+def _still_open(rows: DataFrame, joined: DataFrame, scratch: Scratch) -> DataFrame:
+    """Rows (token, id, n, pos) of tokens whose sets are in several components, with theirs and the token's largest."""
+    placed = scratch.store(
+        rows.join(joined, F.col("id") == F.col("node"), "left").select("token", "id", "n", "pos", F.coalesce("component", "id").alias("component")),
+        "placed",
+    )
+    largest = (
+        placed.groupBy("token", "component").agg(F.count(F.lit(1)).alias("rows"))
+        .groupBy("token").agg(F.max(F.struct("rows", "component")).alias("top"), F.count(F.lit(1)).alias("parts"))
+        .filter("parts > 1").select(F.col("token").alias("of"), F.col("top.component").alias("main"))
+    )
+    return scratch.store(placed.join(largest, F.col("token") == F.col("of")).drop("of"), "open")
+
+
 def near_duplicates(
     docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80
 ) -> DataFrame:
@@ -398,32 +413,35 @@ def near_duplicates(
     met = scratch.store(_meeting(places, True).drop("part"), "met")
     # hubs of the parts of one very frequent shingle meet in turn
     over = _meeting(met.filter("salted AND id = hub_id").select("token", "id", "place"), False)
-    seats = ["id", "n", "pos", "hub_id", "hub_n", "hub_pos"]
+    seats = ["id", "n", "hub_id", "hub_n"]
     # one hub for each set: that with which it shares most prefix shingles
     tried = (
         met.select(*seats).unionAll(over.select(*seats)).filter("id <> hub_id")
-        .groupBy("hub_id", "id").agg(
-            F.count(F.lit(1)).alias("shared"), F.max("hub_pos").alias("la"), F.max("pos").alias("lb"), F.max("hub_n").alias("na"), F.max("n").alias("nb")
-        )
-        .filter(_could_link(percent))
+        .filter(100 * F.least("n", "hub_n") >= percent * F.greatest("n", "hub_n"))
+        .groupBy("hub_id", "id").agg(F.count(F.lit(1)).alias("shared"))
         .groupBy("id").agg(F.max(F.struct("shared", "hub_id")).alias("best"))
         .select(F.col("best.hub_id").alias("a"), F.col("id").alias("b"))
     )
     links = _linked(tried, measured, known, size, percent, heat, scratch)
     joined = components(links, scratch)
 
-    # sets that meet in different components: all but those of a shingle's largest component meet all others
-    met_in = scratch.store(
-        met.select("token", "id", "n", "pos").join(joined, F.col("id") == F.col("node"), "left")
-        .select("token", "id", "n", "pos", F.coalesce("component", "id").alias("component")),
-        "met_in",
+    # what met in different components tries a few members of the component that most of its partners are in
+    open_rows = _still_open(met.select("token", "id", "n", "pos"), joined, scratch)
+    members = joined.groupBy("component", F.pmod(F.xxhash64("node"), F.lit(TRIED_MEMBERS)).alias("part")).agg(
+        F.min(F.struct(F.xxhash64("node").alias("draw"), "node")).alias("least")
     )
-    largest = (
-        met_in.groupBy("token", "component").agg(F.count(F.lit(1)).alias("rows"))
-        .groupBy("token").agg(F.max(F.struct("rows", "component")).alias("top"), F.count(F.lit(1)).alias("parts"))
-        .filter("parts > 1").select(F.col("token").alias("of"), F.col("top.component").alias("main"))
+    facing = (
+        open_rows.filter("component <> main").groupBy("id", "main").agg(F.count(F.lit(1)).alias("shared"))
+        .groupBy("id").agg(F.max(F.struct("shared", "main")).alias("most")).select("id", F.col("most.main").alias("main"))
     )
-    open_rows = scratch.store(met_in.join(largest, F.col("token") == F.col("of")).drop("of"), "open")
+    second = facing.join(members, F.col("main") == F.col("component")).select(F.col("least.node").alias("a"), F.col("id").alias("b"))
+    found = _linked(second, measured, known, size, percent, heat, scratch)
+    if not found.isEmpty():
+        links = links.unionAll(found)
+        joined = components(links, scratch)
+        open_rows = _still_open(open_rows.select("token", "id", "n", "pos"), joined, scratch)
+
+    # then all others that meet in different components: rows outside a token's largest component meet all of its rows
     rest = open_rows.filter("component <> main").select(
         F.col("token").alias("of"), F.col("id").alias("other"), F.col("n").alias("nb"), F.col("pos").alias("pb"), F.col("component").alias("there")
     )
