@@ -8,13 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def read_tabular(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
-    """CSV or parquet by suffix. CSV columns are text unless a schema is given; nothing is inferred by scanning."""
+def read_tabular(spark: SparkSession, path: str, schema: str | None = None, multi_line: bool = False) -> DataFrame:
+    """CSV or parquet by suffix. CSV columns are text unless a schema is given; nothing is inferred by scanning.
+
+    A CSV is split at line breaks, so that one large file is read by many tasks. ``multi_line`` keeps line breaks inside
+    quoted fields, at the price of one task per file.
+    """
     suffix = path.rstrip("/").rsplit(".", 1)[-1].lower()
     if suffix == "parquet":
         return spark.read.parquet(path)
     if suffix == "csv":
-        reader = spark.read.option("header", True).option("multiLine", False)
+        reader = spark.read.option("header", True).option("multiLine", multi_line)
         return (reader.schema(schema) if schema else reader).csv(path)
     raise ValueError(f"unsupported file format: {suffix}")
 

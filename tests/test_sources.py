@@ -115,3 +115,9 @@ def test_page_charts(spark):
     cells = pages.csv_cells(pages.chart_csv(df)).orderBy("row", "col").collect()
     assert [(c.row, c.col, c.text) for c in cells] == [(0, 0, "q"), (0, 1, "v;w"), (1, 0, "Q1 2020"), (1, 1, "5")]
     assert pages.modal_data(df, ["title"]).first().title == "A & B"
+
+
+def test_line_breaks_in_quoted_fields(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('k,v\n1,"two\nlines"\n2,x\n')
+    rows = readers.read_tabular(spark, str(tmp_path / "a.csv"), multi_line=True).collect()
+    assert [(r.k, r.v) for r in rows] == [("1", "two\nlines"), ("2", "x")]
