@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 
 from metricmart.session import apply_settings, shared_dir
 
-# Arrow batches are bounded in bytes as well as rows: one batch of very long texts must fit beside the others.
-ARROW_SETTINGS = {
+# Arrow batches are bounded in bytes as well as rows: one batch of very long texts must fit beside the others. The plan
+# texts that the driver keeps for each of many small jobs are bounded too.
+BOUNDS = {
+    "spark.sql.maxPlanStringLength": "16384",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
     "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
 }
@@ -20,9 +22,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Adaptive settings and bounded Arrow batches on a session that somebody else created."""
+    """Adaptive settings and bounds on a session that somebody else created."""
     apply_settings(spark)
-    for key, value in ARROW_SETTINGS.items():
+    for key, value in BOUNDS.items():
         spark.conf.set(key, value)
     return spark
 
@@ -113,10 +115,10 @@ def smallest_draws(rows: DataFrame, label: str, draw: str, limit: int, tie: str)
     return near.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= limit).drop("_of", "_rows", "_rank")
 
 
-def membership(keys: DataFrame, scratch: Scratch, bits: int = 23) -> Callable[..., Column]:
+def membership(keys: DataFrame, scratch: Scratch, bits: int = 22) -> Callable[..., Column]:
     """A test whether columns hash like a row of ``keys``: never false for one of them, seldom true for others.
 
-    A bitmap of hashes, of fixed size (1 MB) whatever the number of keys, so it may go to every task. Used before joins:
+    A bitmap of hashes, of fixed size (512 KB) whatever the number of keys, so it may go to every task. Used before joins:
     rows that it rules out need no shuffle. The more keys, the more rows it lets through to the join, which decides.
     """
     chunk = 15  # Spark's bitmaps have 2 ** 15 bits
