@@ -32,7 +32,7 @@ def test_query_matches_check(spark, connection, name):
 
 
 def test_driver_contract(spark):
-    assert set(QUERIES) <= set(driver.queries()) and set(driver.oracle_sql()) < set(driver.queries())
+    assert set(QUERIES) <= set(driver.queries()) and set(driver.oracle_sql()) <= set(driver.queries())
     flagship = driver.entry(spark)
     assert "ens_mwh_in_region_industry" in flagship.columns
 
