@@ -93,6 +93,11 @@ def body(text_col: str) -> Column:
     return F.coalesce(col(text_col), F.lit(""))
 
 
+def text_mark(text_col: str) -> Column:
+    """64-bit hash of the text: tells rows that share an id apart."""
+    return F.xxhash64(body(text_col))
+
+
 def id_remainder(id_col: str, modulus: int) -> Column:
     """crc32 of the id as text, modulo; null ids give null."""
     return F.crc32(col(id_col).cast("string").cast("binary")) % modulus
@@ -140,10 +145,14 @@ def membership(keys: DataFrame, scratch: Scratch, bits: int = 22) -> Callable[..
     return test
 
 
-def without(docs: DataFrame, id_col: str, gone: DataFrame, scratch: Scratch) -> DataFrame:
-    """``docs`` without the rows whose id is in ``gone`` (one column); only rows that a bitmap lets through are shuffled."""
-    (name,) = fresh(docs, "gone")
-    ids = scratch.store(gone.toDF(name).distinct(), "gone")
-    maybe = membership(ids, scratch)(col(id_col))
-    rest = docs.filter(maybe).join(ids.hint("merge"), col(id_col).eqNullSafe(F.col(name)), "left_anti")
+def without(docs: DataFrame, id_col: str, text_col: str, gone: DataFrame, scratch: Scratch) -> DataFrame:
+    """``docs`` without the rows whose id and hash of the text are in ``gone`` (two columns).
+
+    Null ids and hashes of null texts count as values; only rows that a bitmap of the pairs lets through are shuffled.
+    """
+    gone_id, gone_mark = fresh(docs, "gone_id", "gone_mark")
+    pairs = scratch.store(gone.toDF(gone_id, gone_mark).distinct(), "gone")
+    maybe = membership(pairs, scratch)(col(id_col), text_mark(text_col))
+    same = col(id_col).eqNullSafe(F.col(gone_id)) & (text_mark(text_col) == F.col(gone_mark))
+    rest = docs.filter(maybe).join(pairs.hint("merge"), same, "left_anti")
     return docs.filter(~maybe).unionAll(rest)

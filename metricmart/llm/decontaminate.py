@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from metricmart.llm.common import Scratch, col, without
+from metricmart.llm.common import Scratch, col, text_mark, without
 
 WORDS = re.compile(r"\w+")
 
@@ -146,11 +146,17 @@ def find_leaks(
     tasks in blocks of about ``block_bytes`` of text, so that no automaton outgrows a task; every block meets every
     whole document, and no document is shuffled.
     """
-    spark = docs.sparkSession
-    id_kind, item_kind = (f.schema[c].dataType.simpleString() for f, c in ((docs, id_col), (benchmark, item_col)))
+    rows = docs.select(col(id_col).alias("id"), col(text_col).alias("content"))
+    found = _found(rows, benchmark, scratch, item_col, item_text_col, budget, block_bytes)
+    return found.withColumnsRenamed({"id": id_col, "item": item_col})
+
+
+def _found(rows: DataFrame, benchmark: DataFrame, scratch: Scratch, item_col: str, item_text_col: str, budget: Budget, block_bytes: int) -> DataFrame:
+    """(id, item, distance) of every item found in ``rows`` (id, content)."""
+    spark = rows.sparkSession
+    id_kind, item_kind = (f.schema[c].dataType.simpleString() for f, c in ((rows, "id"), (benchmark, item_col)))
     schema = f"id {id_kind}, item {item_kind}, distance int"
     item_type = to_arrow_type(benchmark.schema[item_col].dataType)
-    rows = docs.select(col(id_col).alias("id"), col(text_col).alias("content"))
     found = spark.createDataFrame([], schema)
     for block in _blocks(spark, benchmark, scratch, item_col, item_text_col, budget, block_bytes):
         shared = spark.sparkContext.broadcast(block)
@@ -170,12 +176,17 @@ def find_leaks(
                 )
 
         found = found.unionByName(rows.mapInArrow(search, schema))
-    return found.withColumnsRenamed({"id": id_col, "item": item_col})
+    return found
 
 
 def drop_leaks(
-    docs: DataFrame, benchmark: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text", **options
+    docs: DataFrame, benchmark: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text",
+    item_col: str = "item_id", item_text_col: str = "text", budget: Budget = Budget(), block_bytes: int = 4 << 20,
 ) -> DataFrame:
-    """``docs`` without those that hold a benchmark item; columns stay as they are. Rows that share an id share its fate."""
-    leaks = find_leaks(docs, benchmark, scratch, id_col, text_col, **options)
-    return without(docs, id_col, leaks.select(col(id_col)), scratch)
+    """``docs`` without those that hold a benchmark item; columns stay as they are.
+
+    Every row is judged by its own text: of rows that share an id, or have none, only those that hold an item go.
+    """
+    rows = docs.select(F.struct(col(id_col).alias("id"), text_mark(text_col).alias("mark")).alias("id"), col(text_col).alias("content"))
+    leaks = _found(rows, benchmark, scratch, item_col, item_text_col, budget, block_bytes)
+    return without(docs, id_col, text_col, leaks.select("id.id", "id.mark"), scratch)

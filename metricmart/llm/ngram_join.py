@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from metricmart.llm.common import Scratch, col, membership, without
+from metricmart.llm.common import Scratch, col, membership, text_mark, without
 from metricmart.llm.components import components
 
 SKETCH_BITS = 21  # counters of the shingle sketch; its size bounds what is broadcast (one byte a counter)
@@ -343,7 +343,7 @@ def _linked(pairs: DataFrame, measured: DataFrame, docs: DataFrame, size: int, p
         group, roots, others = None, [], []
 
         def found() -> pa.RecordBatch:
-            keys = sorted({k for root in roots for k in tree_links(root, others, percent)})
+            keys = sorted({tuple(k.values()) for root in roots for k in tree_links(root, others, percent)})
             return pa.RecordBatch.from_arrays([pa.array([group[0]] * len(keys), arrow), pa.array(keys, arrow)], names=["a", "b"])
 
         for batch in batches:
@@ -390,10 +390,19 @@ def near_duplicates(
 
     Returns one row per row of ``docs``: ``id_col``, ``n_shingles`` and ``component_id``, the smallest id reachable over
     links, itself included. Null and empty texts and texts without words have an empty set and link with nothing. Equal
-    sets form one node before the search, whatever their number; rows that share an id are one node. A row whose id is
-    null links with nothing and has a null component. An empty table gives no rows. Other columns play no part.
+    sets form one node before the search, whatever their number. Rows that share an id are linked by their texts only,
+    like all others. A row whose id is null links with nothing and has a null component. An empty table gives no rows.
+    Other columns play no part.
     """
-    rows = docs.select(col(id_col).alias("id"), col(text_col).cast("binary").alias("content"))
+    return _grouped(docs, scratch, id_col, text_col, size, percent).select(
+        F.col("id.id").alias(id_col), F.col("n").alias("n_shingles"), F.col("component.id").alias("component_id")
+    )
+
+
+def _grouped(docs: DataFrame, scratch: Scratch, id_col: str, text_col: str, size: int = 5, percent: int = 80) -> DataFrame:
+    """(id, n, component) of every row; ``id`` and ``component`` are (id, hash of the text), or null where the id is."""
+    node = F.struct(col(id_col).alias("id"), text_mark(text_col).alias("mark"))
+    rows = docs.select(F.when(col(id_col).isNotNull(), node).alias("id"), col(text_col).cast("binary").alias("content"))
     measured, classes = _measured(rows, size, scratch)
     heat = docs.sparkSession.sparkContext.broadcast(classes)
     known = rows.filter("id IS NOT NULL")
@@ -461,12 +470,14 @@ def near_duplicates(
     more = _linked(later, measured, known, size, percent, heat, scratch)
     final = components(links.unionAll(more), scratch) if not more.isEmpty() else joined
     nodes = measured.join(twins, F.col("key") == F.col("twin"), "left").select("id", "n", F.when(F.col("id").isNotNull(), F.coalesce("first", "id")).alias("at"))
-    return nodes.join(final, F.col("at") == F.col("node"), "left").select(
-        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "at").alias("component_id")
-    )
+    return nodes.join(final, F.col("at") == F.col("node"), "left").select("id", "n", F.coalesce("component", "at").alias("component"))
 
 
 def keep_one(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` with one document of each component: that with the smallest id. Rows without an id stay."""
-    groups = near_duplicates(docs, scratch, id_col, text_col, **options)
-    return without(docs, id_col, groups.filter(col(id_col) != F.col("component_id")).select(col(id_col)), scratch)
+    """``docs`` with one document of each component: that with the smallest id. Rows without an id stay.
+
+    Every row is judged by its own text: of rows that share an id, only those go whose component has another survivor.
+    Rows with one id and one text are one document.
+    """
+    groups = _grouped(docs, scratch, id_col, text_col, **options)
+    return without(docs, id_col, text_col, groups.filter("id <> component").select("id.id", "id.mark"), scratch)

@@ -140,6 +140,19 @@ def test_keep_one(docs, scratch):
     assert {r["doc_id"] for r in got.collect() if r["doc_id"] is not None} == wanted
 
 
+def test_rows_of_one_id_are_judged_by_their_texts(docs, scratch):
+    words = [f"w{i}" for i in range(60)]
+    near = lambda k: " ".join([*words[:-1], f"z{k}"])
+    other = " ".join(reversed(words))
+    rows = [(1, near(1)), (5, near(2)), (5, other), (5, near(3)), (6, "alone"), (7, "own text"), (7, "another text"), (8, "alone")]
+    rows += [(9, "x y z"), (9, "x y z"), (None, near(4)), (None, other)]
+    groups = ngram_join.near_duplicates(docs(rows), scratch)
+    wanted = [(1, 56, 1), (5, 56, 1), (5, 56, 1), (5, 56, 5), (6, 1, 6), (7, 1, 7), (7, 1, 7), (8, 1, 6), (9, 1, 9), (9, 1, 9), (None, 56, None), (None, 56, None)]
+    assert Counter(map(tuple, groups.collect())) == Counter(wanted)
+    kept = ngram_join.keep_one(docs(rows, extra="gone_mark"), scratch)
+    assert Counter((r["doc_id"], r["text"]) for r in kept.collect()) == Counter(r for i, r in enumerate(rows) if i not in (1, 3, 7))
+
+
 def test_tree_links_equal_brute_force():
     rng = np.random.default_rng(7)
     base = rng.permutation(10**6)[:400].astype(np.uint64)

@@ -74,6 +74,13 @@ def test_drop_leaks(spark, docs, scratch):
     assert decontaminate.find_leaks(df.limit(0), benchmark, scratch).count() == 0
 
 
+def test_leaks_are_dropped_row_by_row(spark, docs, scratch):
+    item = "one sentence of the benchmark that nobody should train on"
+    rows = [(None, f"so {item}"), (None, "clean without an id"), (5, f"{item} again"), (5, "clean with a repeated id"), (5, None), (6, None), (7, item), (7, item)]
+    got = decontaminate.drop_leaks(docs(rows, extra="gone_id"), spark.createDataFrame([(1, item)], "item_id long, text string"), scratch)
+    assert Counter((r["doc_id"], r["text"]) for r in got.collect()) == Counter([rows[1], rows[3], rows[4], rows[5]])
+
+
 PLAIN = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
     "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
