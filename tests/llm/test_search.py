@@ -128,6 +128,33 @@ def test_bootstrap_discovers_identifiers_by_context(docs, scratch):
     assert pii.find_pii(docs([]), scratch).count() == 0
 
 
+def test_bootstrap_reaches_values_and_goes_on_until_nothing_is_new(docs, scratch):
+    long = "x" * 70 + ":"
+    rows = [(i, f"so user=u{i}@b.example said") for i in range(4)] + [(10 + i, f"or ipv4: 10.0.0.{i} then") for i in range(4)]
+    rows += [(20 + i, f"with {long} 10.1.0.{i} then") for i in range(4)]
+    rows += [(30 + i, f"as user=AAA-10{i} came") for i in range(3)]  # round 1, by the seeds' head
+    rows += [(40 + i, f"one badge AAA-10{i} and badge BBB-20{i} here") for i in range(3)]  # round 2
+    rows += [(50 + i, f"two case7: BBB-20{i} and case7: CCC-30{i} there") for i in range(3)]  # round 3, after a word with a digit
+    rows += [(60 + i, f"three ref=CCC-30{i} and ref=DDD-40{i} now") for i in range(3)]  # round 4
+    rows += [(70, "hello ipv4: srv-99412 end"), (71, f"hello {long} srv-99413 end"), (72, "hello key=srv-99414 end"), (73, "one,ref=DDD-400 DDD-400")]
+    got = {r["doc_id"]: [(s["start"], s["end"], s["found"]) for s in r["spans"] if s["kind"] == "learned"] for r in pii.find_pii(docs(rows), scratch).collect()}
+    text = dict(rows)
+    wanted = {i: [] for i in text}
+    for i in range(3):
+        wanted |= {30 + i: [f"AAA-10{i}"], 40 + i: [f"AAA-10{i}", f"BBB-20{i}"], 50 + i: [f"BBB-20{i}", f"CCC-30{i}"], 60 + i: [f"CCC-30{i}", f"DDD-40{i}"]}
+    wanted |= {70: ["srv-99412"], 71: ["srv-99413"], 73: ["DDD-400", "DDD-400"]}
+    assert {i: [f for *_, f in s] for i, s in got.items()} == wanted
+    assert all(text[i][a:b] == f for i, s in got.items() for a, b, f in s)
+    few = {r["doc_id"]: [s["found"] for s in r["spans"] if s["kind"] == "learned"] for r in pii.find_pii(docs(rows), scratch, rounds=3).collect()}
+    assert few[50] == ["BBB-200", "CCC-300"] and "DDD-400" not in few[60]
+
+
+def test_spans_of_one_token_are_one_occurrence(docs, scratch):
+    rows = [(i, f"mail a{i}@b.example,c{i}@d.example") for i in range(3)] + [(10 + i, f"mail nobody{i}0000 mail none") for i in range(3)]
+    got = pii.find_pii(docs(rows), scratch).collect()  # 3 of 9 places hold a seed, 6 seeds
+    assert not any(s["kind"] == "learned" for r in got for s in r["spans"]) and sum(len(r["spans"]) for r in got) == 6
+
+
 def brute_chat(rows):
     by = {}
     for conv, turn, role, text in sorted(rows, key=lambda r: tuple((x is not None, x or 0 if isinstance(x, int) else x or "") for x in r)):
