@@ -27,8 +27,3 @@ def rows():
         return sorted((r.asDict(recursive=True) for r in df.collect()), key=lambda d: str(sorted(d.items(), key=str)))
 
     return collect
-
-
-def plan_of(df) -> str:
-    """Physical plan text (tests only look at operator names)."""
-    return df.select("*")._jdf.queryExecution().executedPlan().toString()

@@ -6,7 +6,7 @@ A sample runs by default; set ``FULL_CATALOG=1`` for all of them (or use ``pytho
 import os
 
 import pytest
-from conftest import plan_of
+from support import plan_of
 
 import __spark_entry__ as driver
 from catalog import QUERIES, Tables

@@ -23,7 +23,7 @@ def test_read_tabular_standard_names_and_aliases(spark, tmp_path):
 
 
 def test_parquet_scan_prunes_and_pushes(spark, tmp_path):
-    from conftest import plan_of
+    from support import plan_of
 
     from metricmart.operators.filters import years
 
