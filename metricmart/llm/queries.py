@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from metricmart.llm import chat, decontaminate, exact_dedup, language, line_dedup, mixing, ngram_join, pii, toxicity, warc
+from metricmart.llm import chat, decontaminate, exact_dedup, language, line_dedup, merkle, mixing, ngram_join, pii, toxicity, warc
 from metricmart.llm.common import Scratch, body, col, id_remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -128,3 +128,46 @@ def op8_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = [pii.count_of(kind, F.col("spans")).alias(f"n_{kind}") for kind in pii.KINDS]
     base = pii.joined_spans(F.filter("spans", lambda s: s["kind"] != "learned"))
     return found.select("doc_id", *counts, F.sha2(base, 256).alias("base_sha256"), pii.joined_spans(F.col("spans")).alias("spans"))
+
+
+def _merkle_sql(leaf_levels: int = 5, top_levels: int = 3) -> str:
+    """The tree in SQL, level by level: enough for 16 ** 5 rows of a source and 16 ** 3 sources."""
+    field = lambda c: f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')"
+    leaf = lambda text: "sha256(" + " || ".join(field(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+    lowered = f"translate(text, '{line_dedup.UPPER}', '{line_dedup.LOWER}')"
+    steps = [f"""crc_table AS (SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS entries),
+rows_ AS (SELECT row_number() OVER () AS rid, coalesce('1' || source, '0') AS grp, doc_id, {leaf("text")} AS leaf, {leaf(lowered)} AS lowered_leaf FROM documents),
+marked AS (SELECT rows_.*, xor(list_reduce([4294967295] || list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT),
+                 lambda c, b: xor(entries[(xor(c, b) & 255) + 1], c // 256)), 4294967295) AS crc FROM rows_, crc_table),
+b0 AS (SELECT *, CASE WHEN crc % 5 = 0 THEN lowered_leaf ELSE leaf END AS f, '' AS proof,
+              row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY grp) AS n FROM marked),
+n0 AS (SELECT grp, pos, n, leaf AS d FROM b0)"""]
+
+    def grow(first: int, last: int) -> None:
+        for k in range(first, last):
+            steps.append(f"""r{k} AS (SELECT grp, pos // 16 AS run, any_value(n) AS n, list(d ORDER BY pos) AS ds FROM n{k} GROUP BY grp, pos // 16),
+n{k + 1} AS (SELECT grp, run AS pos, (n + 15) // 16 AS n, CASE WHEN n > 1 THEN sha256(array_to_string(ds, '')) ELSE ds[1] END AS d FROM r{k}),
+s{k} AS (SELECT b.*, CASE WHEN b.n > 1 THEN array_to_string(ds[1:b.pos % 16], '') ELSE '' END AS l, CASE WHEN b.n > 1 THEN array_to_string(ds[b.pos % 16 + 2:16], '') ELSE '' END AS r
+         FROM b{k} b JOIN r{k} r ON b.grp = r.grp AND b.pos // 16 = r.run),
+b{k + 1} AS (SELECT * EXCLUDE (l, r, f, proof, pos, n), CASE WHEN n > 1 THEN sha256(l || f || r) ELSE f END AS f, proof || l || r AS proof, pos // 16 AS pos, (n + 15) // 16 AS n FROM s{k})""")
+
+    grow(0, leaf_levels)
+    k = leaf_levels + 1
+    steps.append(f"""n{k} AS (SELECT '' AS grp, row_number() OVER (ORDER BY grp) - 1 AS pos, count(*) OVER () AS n, d, grp AS own FROM n{leaf_levels}),
+b{k} AS (SELECT b.* EXCLUDE (grp, pos, n), t.grp, t.pos, t.n, t.d AS subroot FROM b{leaf_levels} b JOIN n{k} t ON b.grp = t.own)""")
+    grow(k, k + top_levels)
+    end = k + top_levels
+    return "WITH " + ",\n".join(steps) + f"""
+SELECT doc_id, leaf, subroot, (SELECT d FROM n{end}) AS root, sha256(proof) AS proof_sha256, f AS folded_root, f = (SELECT d FROM n{end}) AS verified FROM b{end}"""
+
+
+@_register(_merkle_sql())
+def op11_bitmap_rank_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, subroot and proof of every document in the manifest, and the root that a partly tampered copy folds to."""
+    lowered = F.translate("text", line_dedup.UPPER, line_dedup.LOWER)
+    tampered = F.when(id_remainder("doc_id", 5) == 0, merkle.leaf_of(*map(F.col, ("doc_id", "source", "lang", "n_chars")), lowered))
+    tree = merkle.manifest(_table(spark, sf_dir, "documents"), Scratch(spark), carry={"tampered": tampered})
+    folded = merkle.folded(F.coalesce("tampered", "leaf"), F.col("path"))
+    return tree.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"), folded.alias("folded_root")).withColumn(
+        "verified", F.col("folded_root") == F.col("root")
+    )

@@ -16,7 +16,7 @@ TABLES = ["documents", "conversations", "pages", "labels", "benchmark"]
 
 def test_one_query_for_each_operator():
     names = [n for n in driver.queries() if re.match(r"op\d+_", n)]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and "pipeline" in driver.queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and "pipeline" in driver.queries()
     assert set(queries.ORACLE) <= set(driver.oracle_sql())
 
 
