@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from metricmart.llm import chat, decontaminate, exact_dedup, language, line_dedup, merkle, mixing, ngram_join, pii, toxicity, warc
+from metricmart.llm import chat, collocations, decontaminate, exact_dedup, language, line_dedup, merkle, mixing, ngram_join, pii, sharding, toxicity, warc
 from metricmart.llm.common import Scratch, body, col, id_remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -171,3 +171,43 @@ def op11_bitmap_rank_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tree.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"), folded.alias("folded_root")).withColumn(
         "verified", F.col("folded_root") == F.col("root")
     )
+
+
+@_register()
+def op12_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document: eight runs of whole groups of equal texts, their sizes as near as can be."""
+    cut = sharding.minimax_shards(_table(spark, sf_dir, "documents"), Scratch(spark), shards=8)
+    return cut.documents.select(
+        "doc_id", "size", F.col("crc").alias("text_crc32"), F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
+def _collocation_sql() -> str:
+    grams = "\nUNION ALL ".join(
+        f"SELECT lang, array_to_string(words[i:i + {m - 1}], ' ') AS phrase, {m} AS m FROM (SELECT lang, words, unnest(range(1, len(words) - {m} + 2)) AS i FROM pieces)" for m in (1, 2, 3, 4)
+    )
+    return f"""
+WITH texts AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), '{line_dedup.UPPER}', '{line_dedup.LOWER}') AS body FROM documents),
+split AS (SELECT lang, unnest(regexp_split_to_array(body, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM texts),
+pieces AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\\x20\\x09]+'), lambda w: w <> '') AS words FROM split),
+grams AS ({grams}),
+f AS (SELECT lang, phrase, m, count(*) AS f FROM grams GROUP BY lang, phrase, m),
+totals AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE m = 1 GROUP BY lang),
+frequent AS (SELECT *, string_split(phrase, ' ') AS words FROM f WHERE f >= 30),
+candidates AS (SELECT * FROM frequent WHERE m > 1),
+inside AS (SELECT lang, array_to_string(words[i:i + s - 1], ' ') AS phrase, max(f) AS longer
+           FROM (SELECT lang, words, f, s, unnest(range(1, m - s + 2)) AS i FROM (SELECT *, unnest(range(2, m)) AS s FROM candidates)) GROUP BY ALL),
+open_ AS (SELECT c.* FROM candidates c LEFT JOIN inside i USING (lang, phrase) WHERE i.longer IS NULL OR 100 * i.longer < 80 * c.f),
+cuts AS (SELECT *, array_to_string(words[1:k], ' ') AS x, array_to_string(words[k + 1:m], ' ') AS y FROM (SELECT *, unnest(range(1, m)) AS k FROM open_)),
+sides AS (SELECT c.lang, c.phrase, c.f AS a, c.k, p.f AS l, q.f AS r, ((2000000::HUGEINT * c.f) // (p.f + q.f))::BIGINT AS score
+          FROM cuts c JOIN frequent p ON p.lang = c.lang AND p.phrase = c.x JOIN frequent q ON q.lang = c.lang AND q.phrase = c.y),
+low AS (SELECT * FROM sides QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM low)
+SELECT r.lang, r.rank, r.phrase, r.a, r.l, r.r, t.n, r.score FROM ranked r JOIN totals t USING (lang) WHERE r.rank <= 2000
+"""
+
+
+@_register(_collocation_sql())
+def op13_hat_trie_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2,000 phrases of each language whose words stand together most."""
+    return collocations.collocations(_table(spark, sf_dir, "documents"), Scratch(spark))
