@@ -13,7 +13,9 @@ rules out a frequent phrase and decides nothing else; the more phrases it holds,
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +31,8 @@ WORD_BITS = 21  # of a word id; three fill 63 bits. A trie's vocabulary ends at
 SLICE_BYTES = 1 << 20  # text that is cut into words at once: up to twice that, so no more new words than the other half
 ENTRIES = 1 << 20  # phrases that a trie holds
 BURST = 1 << 12  # phrases of a container
+BATCH = 1 << 19  # phrases that are added to a trie at once
+SPILL = 1 << 18  # phrases that are taken out of a trie at once
 RUN_ENTRIES = 1 << 16  # phrases of a run's row
 PART_WORDS = 1 << 21  # words of the corpus for each prefix partition
 MOST_PARTS = 1 << 20
@@ -70,59 +74,80 @@ class Vocabulary(dict):
 
 
 class HatTrie:
-    """Counts of phrases: head (first word) → container of what follows, or, once burst, second word → container."""
+    """Counts of phrases: head (first word) → container of what follows, or, once burst, second word → container.
+
+    Containers are hash tables from packed word ids to counts.
+    """
 
     def __init__(self, length: int):
-        self.length, self.entries = length, 0
-        self.heads: dict[int, dict[int, int]] = {}
-        self.burst: dict[int, dict[int, dict[int, int]]] = {}
+        self.entries = 0
+        self.heads: dict[int, Counter] = {}
+        self.burst: dict[int, dict[int, Counter]] = {}
         self.sizes: dict[int, int] = {}
-        self.shift = WORD_BITS * max(length - 2, 0)
-
-    def add(self, head: int, tails: list[int], counts: list[int]) -> None:
-        """Add distinct phrases below one head."""
-        children = self.burst.get(head)
-        if children is not None:
-            mask, added = (1 << self.shift) - 1, 0
-            for tail, count in zip(tails, counts):
-                child = children.setdefault(tail >> self.shift, {})
-                tail &= mask
-                if tail in child:
-                    child[tail] += count
-                else:
-                    child[tail] = count
-                    added += 1
-        else:
-            node = self.heads.setdefault(head, {})
-            before = len(node)
-            for tail, count in zip(tails, counts):
-                node[tail] = node.get(tail, 0) + count
-            added = len(node) - before
-            if len(node) > BURST and self.length > 2:
-                self.burst[head] = children = {}
-                mask = (1 << self.shift) - 1
-                for tail, count in self.heads.pop(head).items():
-                    children.setdefault(tail >> self.shift, {})[tail & mask] = count
-        self.entries += added
-        self.sizes[head] = self.sizes.get(head, 0) + added
+        self.shift = WORD_BITS * max(length - 2, 0)  # of the second word in what follows; 0 if nothing follows that
+
+    def add(self, heads: np.ndarray, tails: np.ndarray) -> None:
+        """Count phrases once each, given as heads and packed tails."""
+        order = np.lexsort((tails, heads)) if self.burst else np.argsort(heads, kind="stable")
+        heads, tails = heads[order], tails[order]
+        starts = np.flatnonzero(np.concatenate(([True], heads[1:] != heads[:-1])))
+        listed = tails.tolist()
+        for head, a, b in zip(heads[starts].tolist(), starts.tolist(), [*starts[1:].tolist(), len(listed)]):
+            children = self.burst.get(head)
+            if children is None:
+                node = self.heads.get(head)
+                if node is None:
+                    node = self.heads[head] = Counter()
+                before = len(node)
+                node.update(listed[a:b])
+                added = len(node) - before
+                if self.shift and len(node) > BURST:
+                    self._burst(head)
+            else:
+                added = self._add_below(children, tails[a:b])
+            self.entries += added
+            self.sizes[head] = self.sizes.get(head, 0) + added
+
+    def _add_below(self, children: dict[int, Counter], tails: np.ndarray) -> int:
+        seconds, listed = tails >> self.shift, (tails & ((1 << self.shift) - 1)).tolist()
+        starts = np.flatnonzero(np.concatenate(([True], seconds[1:] != seconds[:-1])))
+        added = 0
+        for second, a, b in zip(seconds[starts].tolist(), starts.tolist(), [*starts[1:].tolist(), len(listed)]):
+            node = children.get(second)
+            if node is None:
+                node = children[second] = Counter()
+            added -= len(node)
+            node.update(listed[a:b])
+            added += len(node)
+        return added
+
+    def _burst(self, head: int) -> None:
+        """Move a container's entries below their next word."""
+        children, mask = self.burst.setdefault(head, {}), (1 << self.shift) - 1
+        for tail, count in self.heads.pop(head).items():
+            children.setdefault(tail >> self.shift, Counter())[tail & mask] = count
 
     def spill(self, keep: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Take out the largest subtrees, whole, until ``keep`` entries are left: (heads, tails, counts)."""
-        heads, tails, counts = [], [], []
+        nodes: list[Counter] = []
+        of: list[int] = []
+        prefix: list[int] = []
         for head in sorted(self.sizes, key=self.sizes.__getitem__, reverse=True):
             if self.entries <= keep:
                 break
-            nodes = [(0, self.heads.pop(head))] if head in self.heads else list(self.burst.pop(head).items())
-            for second, node in nodes:
-                tails.append(np.fromiter(node.keys(), np.int64, len(node)) | (second << self.shift))
-                counts.append(np.fromiter(node.values(), np.int64, len(node)))
-            size = self.sizes.pop(head)
-            heads.append(np.full(size, head, np.int64))
-            self.entries -= size
-        return tuple(np.concatenate(x) if x else np.empty(0, np.int64) for x in (heads, tails, counts))
-
-
-class Counter:
+            self.entries -= self.sizes.pop(head)
+            children = self.burst.pop(head, None) or {0: self.heads.pop(head)}
+            nodes += children.values()
+            of += [head] * len(children)
+            prefix += [second << self.shift for second in children]
+        sizes = np.fromiter(map(len, nodes), np.int64, len(nodes))
+        total = int(sizes.sum())
+        tails = np.fromiter(chain.from_iterable(nodes), np.int64, total) | np.repeat(np.array(prefix, np.int64), sizes)
+        counts = np.fromiter(chain.from_iterable(n.values() for n in nodes), np.int64, total)
+        return np.repeat(np.array(of, np.int64), sizes), tails, counts
+
+
+class PhraseCounter:
     """Counts the phrases of one length in the texts of a task, and makes runs of what is spilled."""
 
     def __init__(self, length: int, parts: int, seen: np.ndarray | None):
@@ -132,10 +157,14 @@ class Counter:
         self.waiting: list[list[bytes]] = []
         self.size: list[int] = []
         self.tails: list[list[bytes]] = []  # last words of what was cut before
+        self.held: list[tuple[np.ndarray, np.ndarray]] = []  # phrases that go into the trie together
+        self.n_held = 0
         self._renew()
 
     def _renew(self) -> None:
         self.vocabulary, self.hashes, self.trie = Vocabulary(), np.zeros(1, np.uint64), HatTrie(self.length)
+        self.sums: list[np.ndarray] = []  # of single words, by language and id
+        self.place = np.empty(0, np.int64)  # of each word in the order of their bytes
 
     def feed(self, lang: str, text: bytes) -> Iterator[pa.RecordBatch]:
         if lang not in self.places:
@@ -162,6 +191,7 @@ class Counter:
 
     def _count(self, which: int, data: bytes) -> Iterator[pa.RecordBatch]:
         if len(self.vocabulary.words) > 1 << (WORD_BITS - 1):
+            self._insert()
             yield from self._runs(0)
             self._renew()
         tokens = self.tails[which] + data.lower().translate(TO_BREAK).replace(b".", b" . ").split()
@@ -187,34 +217,54 @@ class Counter:
         if not len(at):
             return
         head, tail = ids[at], np.zeros(len(at), np.int64)
+        if self.length == 1:
+            self.sums += [np.zeros(0, np.int64)] * (which + 1 - len(self.sums))
+            both = np.bincount(head, minlength=len(self.sums[which]))
+            both[: len(self.sums[which])] += self.sums[which]
+            self.sums[which] = both
+            return
         for k in range(1, self.length):
             tail = tail << WORD_BITS | ids[at + k]
-        order = np.lexsort((tail, head))
-        head, tail = head[order], tail[order]
-        first = np.flatnonzero(np.concatenate(([True], (head[1:] != head[:-1]) | (tail[1:] != tail[:-1]))))
-        counts = np.diff(np.append(first, len(head))).tolist()
-        head, tail = head[first], tail[first]
-        starts = np.flatnonzero(np.concatenate(([True], head[1:] != head[:-1]))).tolist()
-        tails = tail.tolist()
-        for a, b in zip(starts, [*starts[1:], len(tails)]):
-            self.trie.add(which << WORD_BITS | int(head[a]), tails[a:b], counts[a:b])
+        self.held.append((which << WORD_BITS | head, tail))
+        self.n_held += len(head)
+        if self.n_held >= BATCH:
+            self._insert()
             if self.trie.entries > ENTRIES:
                 yield from self._runs(ENTRIES // 2)
 
+    def _insert(self) -> None:
+        if self.held:
+            heads, tails = (np.concatenate(x) for x in zip(*self.held))
+            self.held, self.n_held = [], 0
+            self.trie.add(heads, tails)
+
+    def _words(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        ids = [np.flatnonzero(one) for one in self.sums]
+        heads = [which << WORD_BITS | i for which, i in enumerate(ids)]
+        counts = [one[i] for one, i in zip(self.sums, ids)]
+        heads, counts = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (heads, counts))
+        return heads, np.zeros(len(heads), np.int64), counts
+
     def _runs(self, keep: int) -> Iterator[pa.RecordBatch]:
-        """Spilled subtrees as rows (lang, part, phrases, counts); phrases of a row are sorted and end in line breaks."""
-        heads, tails, counts = self.trie.spill(keep)
-        if not len(heads):
-            return
+        """Spill subtrees until ``keep`` phrases are left, some at a time."""
+        while self.trie.entries > keep:
+            yield from self._run(*self.trie.spill(max(keep, self.trie.entries - SPILL)))
+        if self.sums:
+            yield from self._run(*self._words())
+
+    def _run(self, heads: np.ndarray, tails: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Subtrees as rows (lang, part, phrases, counts); phrases of a row are sorted and end in line breaks."""
         mask = (1 << WORD_BITS) - 1
         words = [heads & mask] + [tails >> (WORD_BITS * k) & mask for k in range(self.length - 2, -1, -1)]
         which = heads >> WORD_BITS
         starts = np.array([_hash(lang.encode()) for lang in self.langs], np.uint64)
         part = _mixed(_mixed(starts[which] * np.uint64(3) + self.hashes[words[0]]) + (self.hashes[words[1]] if self.length > 1 else np.uint64(0)))
         part = (part % np.uint64(self.parts)).astype(np.int64)
-        vocabulary = pa.array(self.vocabulary.words, pa.large_binary())
-        place = np.empty(len(self.vocabulary.words), np.int64)
-        place[pc.sort_indices(vocabulary).to_numpy()] = np.arange(len(place))
+        if len(self.place) != len(self.vocabulary.words):
+            self.column = pa.array(self.vocabulary.words, pa.large_binary())
+            self.place = np.empty(len(self.vocabulary.words), np.int64)
+            self.place[pc.sort_indices(self.column).to_numpy()] = np.arange(len(self.place))
+        vocabulary, place = self.column, self.place
         order = np.lexsort((*[place[w] for w in reversed(words)], part, which))
         which, part, counts = which[order], part[order], counts[order]
         columns = [vocabulary.take(pa.array(w[order])) for w in words]
@@ -237,6 +287,7 @@ class Counter:
         for which in range(len(self.langs)):
             if self.waiting[which]:
                 yield from self._flush(which)
+        self._insert()
         yield from self._runs(0)
 
 
@@ -277,7 +328,7 @@ def _counted(texts: DataFrame, length: int, parts: int, least: int, seen: Broadc
     """(lang, phrase, f) of the phrases of one length that occur at least ``least`` times."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = Counter(length, parts, None if seen is None else seen.value)
+        counter = PhraseCounter(length, parts, None if seen is None else seen.value)
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 yield from counter.feed(lang, text)
@@ -291,7 +342,7 @@ def _word_counts(texts: DataFrame, scratch: Scratch) -> DataFrame:
     """(lang, phrase, f) of all words of each language; a row without phrase has the number of words."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = Counter(1, 1, None)
+        counter = PhraseCounter(1, 1, None)
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 yield from flat(counter.feed(lang, text))
@@ -381,5 +432,5 @@ def collocations(
         candidates = candidates.unionAll(longer)
     all_frequent = by_length[0].unionAll(candidates)
     best = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = scored(all_frequent, uncovered(candidates, percent)).withColumn("rank", F.row_number().over(best).cast("long")).filter(F.col("rank") <= top)
-    return ranked.join(totals, F.col("lang") == F.col("of")).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+    ranked = scored(all_frequent, uncovered(candidates, percent)).withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= top)
+    return ranked.join(totals, F.col("lang") == F.col("of")).select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")

@@ -54,7 +54,7 @@ def made(seed, n=150):
 
 @pytest.mark.parametrize("seed", [1, 2])
 def test_against_counting(docs, scratch, monkeypatch, seed):
-    for name, value in (("ENTRIES", 300), ("BURST", 8), ("SLICE_BYTES", 64), ("RUN_ENTRIES", 16), ("PART_WORDS", 500)):
+    for name, value in (("ENTRIES", 300), ("BURST", 8), ("BATCH", 100), ("SPILL", 50), ("SLICE_BYTES", 64), ("RUN_ENTRIES", 16), ("PART_WORDS", 500)):
         monkeypatch.setattr(collocations, name, value)
     rows = made(seed)
     found = collocations.collocations(docs(rows, extra="phrase"), scratch, least=4, top=50)
@@ -72,6 +72,7 @@ def test_one_very_long_text(docs, scratch, monkeypatch):
 
 def test_full_vocabulary_begins_anew(docs, scratch, monkeypatch):
     monkeypatch.setattr(collocations, "WORD_BITS", 5)
+    monkeypatch.setattr(collocations, "BATCH", 30)
     monkeypatch.setattr(collocations, "SLICE_BYTES", 10)
     rows = [(i, "a b c d. " * 5 + f"z{i}", "xx", None) for i in range(20)]
     found = collocations.collocations(docs(rows), scratch, least=2, top=30)
