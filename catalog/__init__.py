@@ -2,4 +2,4 @@
 
 from catalog import bound  # noqa: F401 - registers the bound tables
 from catalog.engine import BOUND, QUERIES, Query, Tables  # noqa: F401
-from catalog import marts, operators, reshape, staging, core, reads, analytics  # noqa: F401, E402, I001 - register queries
+from catalog import marts, operators, reshape, staging, core, reads, analytics, files  # noqa: F401, E402, I001 - register queries

@@ -7,6 +7,7 @@ library on them; its check SQL states the expected result over the same bound ta
 
 from __future__ import annotations
 
+import atexit
 import re
 import uuid
 from collections.abc import Callable, Iterator, Mapping, Sequence
@@ -52,6 +53,8 @@ class Tables(Mapping[str, DataFrame]):
         self.spark, self.sf_dir = apply_settings(spark), sf_dir
         self._built: dict[str, DataFrame] = {}
         self._run = f"query-{uuid.uuid4().hex}"
+        self.folder = f"{shared_dir(spark)}/metricmart/{self._run}"
+        self._written = False
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._built:
@@ -66,7 +69,26 @@ class Tables(Mapping[str, DataFrame]):
 
     def store(self, name: str, df: DataFrame) -> DataFrame:
         """Write a table to the shared folder and read it back, with exact statistics and no lineage."""
-        return Stage(self.spark, f"{shared_dir(self.spark)}/metricmart", self._run).write(name, df)
+        return Stage(self.spark, self.shared(), self._run).write(name, df)
+
+    def shared(self) -> str:
+        """The shared folder. What a query writes below ``folder`` goes when the driver's process ends."""
+        if not self._written:
+            self._written = True
+            atexit.register(self._close)
+        return self.folder.rsplit("/", 1)[0]
+
+    def file(self, name: str) -> str:
+        """A path below this query's folder."""
+        self.shared()
+        return f"{self.folder}/{name}"
+
+    def _close(self) -> None:
+        try:
+            folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+            folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+        except Exception:  # noqa: BLE001 - the session has ended; its cluster's folder is cleaned with it
+            pass
 
     def sql(self, text: str) -> DataFrame:
         """A SQL text over driver and bound tables."""

@@ -5,16 +5,17 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog.bound import STATUS_COMMODITY, TYPE_FUELS
-from catalog.engine import QUARTER, YEAR, bind, case, query, total
+from catalog.engine import QUARTER, YEAR, bind, case, cents, query, total
 from metricmart.functions import labels as L
 from metricmart.functions import numeric as N
 from metricmart.functions import periods as P
-from metricmart.functions.documents import first_field, has_keys, with_fields
+from metricmart.functions.documents import first_field, variant_has_keys, with_fields
 from metricmart.operators import aggregates as A
 from metricmart.operators import conform as C
 from metricmart.operators import dimensions as D
 from metricmart.operators import filters, joins, pivot, ranking, windows
 from metricmart.operators import upsert as U
+from metricmart.operators.dictionary import with_resolved
 from metricmart.operators.quantiles import exact_quantiles
 from metricmart.plans import staging
 from metricmart.sources import landing, pages
@@ -245,6 +246,29 @@ def running_total(t):
     return windows.with_running_totals(rows, ["nation"], "year", {"cumulative": "spend"})
 
 
+@query(
+    "running_total_blocks", "W06 W03", f"""
+SELECT o_orderstatus, o_orderkey, {cents('o_totalprice')} AS cents, CAST(SUM({cents('o_totalprice')}) OVER (PARTITION BY o_orderstatus ORDER BY o_orderkey ROWS UNBOUNDED PRECEDING) AS BIGINT) AS so_far,
+       LAG({cents('o_totalprice')}) OVER (PARTITION BY o_orderstatus ORDER BY o_orderkey) AS before
+FROM orders
+""",
+)
+def running_total_blocks(t):
+    # Three entities hold all rows: scanned in blocks of the key, no task sees a whole entity.
+    rows = t["orders"].select("o_orderstatus", "o_orderkey", F.expr(cents("o_totalprice")).alias("cents"))
+    return windows.block_scan(rows, ["o_orderstatus"], "o_orderkey", lags={"before": "cents"}, totals={"so_far": "cents"}, width=1024)
+
+
+@query(
+    "running_total_all", "W06", f"""
+SELECT o_orderkey, CAST(SUM({cents('o_totalprice')}) OVER (ORDER BY o_orderkey ROWS UNBOUNDED PRECEDING) AS BIGINT) AS so_far FROM orders
+""",
+)
+def running_total_all(t):
+    rows = t["orders"].select("o_orderkey", F.expr(cents("o_totalprice")).alias("so_far_of"))
+    return windows.with_running_totals(rows, [], "o_orderkey", {"so_far": "so_far_of"}).select("o_orderkey", "so_far")
+
+
 @query(
     "yoy_lag", "W03", """
 WITH y AS (SELECT year, SUM(n) AS n FROM order_year GROUP BY 1)
@@ -418,6 +442,23 @@ def member_interval_join(t):
     return joins.member_interval_join(rows, periods, "r_name", "year")
 
 
+@query(
+    "member_interval_days", "J08", """
+SELECT o.o_orderkey, p.o_custkey AS since_customer, p.first_day, p.last_day FROM (SELECT o_orderkey, o_orderstatus, CAST(o_orderdate AS DATE) - DATE '1970-01-01' AS day FROM orders) o
+JOIN (SELECT o_custkey, list(DISTINCT o_orderstatus) AS statuses, MIN(CAST(o_orderdate AS DATE) - DATE '1970-01-01') AS first_day, MIN(CAST(o_orderdate AS DATE) - DATE '1970-01-01') + 2 AS last_day FROM orders GROUP BY 1) p
+  ON list_contains(p.statuses, o.o_orderstatus) AND o.day BETWEEN p.first_day AND p.last_day
+""",
+)
+def member_interval_days(t):
+    # As many intervals as customers under three members: what meets is decided by member and bin of the day axis.
+    day = F.unix_date(F.col("o_orderdate").cast("date")).cast("bigint")
+    rows = t["orders"].select("o_orderkey", "o_orderstatus", day.alias("day"))
+    periods = t["orders"].groupBy("o_custkey").agg(F.collect_set("o_orderstatus").alias("statuses"), F.min(day).alias("first_day"))
+    periods = periods.withColumn("last_day", F.col("first_day") + 2)
+    found = joins.member_interval_join(rows, periods, "o_orderstatus", "day", members="statuses", start="first_day", end="last_day", how="inner", bin_width=3)
+    return found.select("o_orderkey", F.col("o_custkey").alias("since_customer"), "first_day", "last_day")
+
+
 @query(
     "lateral_first", "J09", """
 SELECT o_orderkey, COALESCE(CASE WHEN o_totalprice > 400000 THEN o_totalprice END, f.p) AS value
@@ -1029,16 +1070,16 @@ def period_tokens(t):
         F.when(F.dayofmonth(d) > 12, F.date_format(d, "MM/dd/yyyy")).otherwise(F.date_format(d, "yyyy-MM-dd")).alias("auto"),
         F.concat(y, F.lit(" [note 2]")).alias("token"),
     )
-    lead_p = P.resolve_period(F.col("lead"), "quarterly")
-    return rows.select(
-        "o_orderkey", lead_p["period_date"].alias("lead_date"), lead_p["year"].alias("lead_year"),
-        lead_p["quarter"].alias("lead_quarter"), P.label_year(F.col("span")).alias("span_year"),
-        P.half_year(F.col("winter"))["year"].alias("winter_year"),
-        P.half_year(F.col("summer"))["quarter"].alias("summer_quarter"),
-        P.parse_date(F.col("us"), "us_dayfirst").alias("us_date"),
-        P.parse_date(F.col("short"), "month_year_short").alias("short_date"),
-        P.resolve_period(F.col("auto"))["period_date"].alias("auto_date"),
-        N.year_token(F.col("token")).alias("token_year"),
+    found = with_resolved(rows, {
+        "lead_p": ("lead", lambda c: P.resolve_period(c, "quarterly")), "span_year": ("span", P.label_year), "winter_p": ("winter", P.half_year),
+        "summer_p": ("summer", P.half_year), "us_date": ("us", lambda c: P.parse_date(c, "us_dayfirst")),
+        "short_date": ("short", lambda c: P.parse_date(c, "month_year_short")), "auto_p": ("auto", P.resolve_period), "token_year": ("token", N.year_token),
+    })
+    lead_p = F.col("lead_p")
+    return found.select(
+        "o_orderkey", lead_p["period_date"].alias("lead_date"), lead_p["year"].alias("lead_year"), lead_p["quarter"].alias("lead_quarter"),
+        "span_year", F.col("winter_p")["year"].alias("winter_year"), F.col("summer_p")["quarter"].alias("summer_quarter"),
+        "us_date", "short_date", F.col("auto_p")["period_date"].alias("auto_date"), "token_year",
     )
 
 
@@ -1203,10 +1244,10 @@ SELECT event_id, CAST(json_extract_string(props, '$.k') AS INT) AS k, json_exist
 """,
 )
 def json_typed_extract(t):
-    rows = with_fields(t["events"], {"k": "int"}, "props")
+    rows = with_fields(t["events"].withColumn("props", F.try_parse_json("props")), {"k": "int"}, "props")
     return rows.select(
-        "event_id", first_field(F.col("k")).alias("k"), has_keys(F.col("props"), ["k"]).alias("has_k"),
-        has_keys(F.col("props"), ["k", "missing"]).alias("has_missing"),
+        "event_id", first_field(F.col("k")).alias("k"), variant_has_keys("props", ["k"]).alias("has_k"),
+        variant_has_keys("props", ["k", "missing"]).alias("has_missing"),
     )
 
 

@@ -471,6 +471,15 @@ def grid_sections(t):
     return grid.section_years(s.cells(), table="6.2", sections=grid.CAPACITY_SECTIONS)
 
 
+@query(
+    "grid_sections_wide", "R14 W13 C16", digest_sql("6.2", "qty", "installed_capacity_mw", "MW"),
+)
+def grid_sections_wide(t):
+    # Year headers far to the right of the labels, from column 14 on.
+    s = Sheets(t, t["sheet_values"]).constant(1, 0, "Installed capacity (MW)").years(1, first_col=14).labels(2).values(2, "qty", first_col=14)
+    return grid.section_years(s.cells(), table="6.2", sections=grid.CAPACITY_SECTIONS)
+
+
 @query(
     "grid_section_markers", "R14 W13", digest_sql("6.4", "qty", "renewable_use_ktoe", "ktoe", column_label="CASE WHEN p_type IN ('STANDARD', 'PROMO', 'SMALL') THEN 'heat' ELSE 'transport' END", row_label="CASE p_type WHEN 'LARGE' THEN 'Renewable sources used as transport fuels' ELSE p_type || ' x' END"),
 )

@@ -13,7 +13,7 @@ from metricmart.operators.quality import duplicates
 
 RUN_LOG = (
     "run_ts timestamp, source_id string, target_table string, row_count bigint, null_rate_json string, "
-    "status string, error string"
+    "status string, error string, rejected bigint, rejected_json string"
 )
 
 
@@ -25,11 +25,10 @@ def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     return df.observe(observation, *counts), observation
 
 
-def null_rate_json(observation: Observation, columns: Sequence[str]) -> str:
-    """NULL share per column as JSON, highest first."""
-    values = observation.get
-    rows = max(int(values["rows"]), 1)
-    rates = {c: values[f"nulls_{i}"] / rows for i, c in enumerate(columns)}
+def null_rate_json(counts: Mapping[str, int], columns: Sequence[str]) -> str:
+    """NULL share per column as JSON, highest first; ``counts`` are those of an observation."""
+    rows = max(int(counts["rows"]), 1)
+    rates = {c: int(counts[f"nulls_{i}"]) / rows for i, c in enumerate(columns)}
     return json.dumps(dict(sorted(rates.items(), key=lambda item: -item[1])))
 
 
@@ -38,18 +37,26 @@ def append_run(
     path: str,
     source_id: str,
     target: str,
-    observation: Observation | None = None,
+    counts: Mapping[str, int] | None = None,
     columns: Sequence[str] = (),
     status: str = "loaded",
     error: str | None = None,
+    reasons: Mapping[str, int] | None = None,
 ) -> None:
-    """Append one line to the run log."""
-    rows = int(observation.get["rows"]) if observation is not None else 0
-    rates = null_rate_json(observation, columns) if observation is not None else "{}"
-    line = [(datetime.now(timezone.utc), source_id, target, rows, rates, status, error)]
+    """Append one line to the run log: rows loaded, NULL shares, and for loads the rows rejected, by reason."""
+    rejected = int((counts or {}).get("rejected", 0))
+    rows = int(counts["rows"]) - rejected if counts else 0
+    rates = null_rate_json(counts, columns) if counts else "{}"
+    line = [(datetime.now(timezone.utc), source_id, target, rows, rates, status, error, rejected, json.dumps(dict(sorted((reasons or {}).items()))))]
     spark.createDataFrame(line, RUN_LOG).coalesce(1).write.mode("append").parquet(path)
 
 
+def recorded_rows(log: DataFrame) -> dict[str, int]:
+    """Rows of every table as its last loaded line in the run log says; one line a table, so the log's size does not matter."""
+    last = log.filter("status = 'loaded'").groupBy("target_table").agg(F.max_by("row_count", "run_ts").alias("rows"))
+    return {r["target_table"]: r["rows"] for r in last.collect()}
+
+
 def assert_unique(df: DataFrame, keys: Sequence[str], table: str) -> DataFrame:
     """The table itself, or an error when a key repeats (what a MERGE would refuse). Runs one aggregation."""
     found = duplicates(df, keys).limit(1).collect()

@@ -121,22 +121,28 @@ def first_nonempty(
     value: str | None = None,
     min_rows: int | Sequence[int] = 1,
     tag: str | None = None,
+    known: Sequence[int | None] | None = None,
 ) -> DataFrame:
     """Rows of the first candidate that has enough rows (with a non-NULL ``value``, when given).
 
-    The choice is made at once: candidates are probed in order, each until it has given the rows needed, and the plan
-    holds the chosen one only. The columns are those of all candidates; with ``tag`` the position chosen is a column.
+    The choice is made at once, and the plan holds the chosen one only. Where ``known`` has a candidate's rows, as the run
+    log recorded them (``audit.recorded_rows``), it is judged by them and no job runs; a filtered candidate of an empty
+    table may be known as 0 too. Others are probed in order, each until it has given the rows needed. The columns are
+    those of all candidates; with ``tag`` the position chosen is a column.
     """
+    recorded = list(known) if known is not None and value is None else [None] * len(candidates)
     needed = [min_rows] * len(candidates) if isinstance(min_rows, int) else list(min_rows)
     for i, (df, n) in enumerate(zip(candidates, needed, strict=True), start=1):
-        rows = df if value is None else df.filter(F.col(value).isNotNull())
-        if rows.limit(n).count() >= n:
+        have = recorded[i - 1]
+        if have is None:
+            have = (df if value is None else df.filter(F.col(value).isNotNull())).limit(n).count()
+        if have >= n:
             break
     else:
         i, df = 0, candidates[0].filter(F.lit(False))
     shape = union_all([c.limit(0) for c in candidates]).schema
-    have = set(df.columns)
-    chosen = df.select(*[(F.col(f"`{f.name}`") if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in shape.fields])
+    own = set(df.columns)
+    chosen = df.select(*[(F.col(f"`{f.name}`") if f.name in own else F.lit(None)).cast(f.dataType).alias(f.name) for f in shape.fields])
     return chosen.withColumn(tag, F.lit(i)) if tag else chosen
 
 

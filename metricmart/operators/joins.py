@@ -36,19 +36,24 @@ def member_interval_join(
     start: str = "start_year",
     end: str = "end_year",
     how: str = "left",
+    bin_width: int = 16,
 ) -> DataFrame:
     """Match rows to periods whose member array holds the row's member and whose interval holds its year.
 
-    The period side is exploded to one row per (member, year), so that the condition becomes an equi-join; as written
-    with array_contains and BETWEEN it would be a nested loop over both sides.
+    The axis is cut into bins; a period takes one row for each of its members and bins, so that member and bin are an
+    equi-join and the interval a check on the rows that meet: a row meets a period in one bin at most. As written with
+    array_contains and BETWEEN it would be a nested loop over both sides. The bins also split a member with most of the
+    rows or periods over many tasks. Choose them about as wide as the usual period.
     """
+    bin_of = lambda c: F.floor(c / bin_width).cast("long")
     exploded = (
-        periods.withColumn("_member", F.explode(members))
-        .withColumn("_at", F.explode(F.sequence(F.col(start), F.col(end))))
+        periods.withColumn("_member", F.explode(members)).filter(F.col(start) <= F.col(end))
+        .withColumn("_bin", F.explode(F.sequence(bin_of(F.col(start)), bin_of(F.col(end)))))
         .drop(members)
     )
-    joined = df.join(exploded, (df[member] == exploded["_member"]) & (df[at] == exploded["_at"]), how)
-    return joined.drop("_member", "_at")
+    holds = (df[at] >= exploded[start]) & (df[at] <= exploded[end])
+    joined = df.join(exploded, (df[member] == exploded["_member"]) & (bin_of(df[at]) == exploded["_bin"]) & holds, how)
+    return joined.drop("_member", "_bin")
 
 
 def first_match_fill(

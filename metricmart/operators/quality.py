@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from metricmart.operators.ranking import sorted_by_case
@@ -55,6 +55,13 @@ def check_keys(name: str, severity: str, df: DataFrame, keys: Sequence[str]) ->
     )
 
 
+def check_counts(name: str, severity: str, violations: int, checked: int, spark: SparkSession) -> DataFrame:
+    """One report row from counts that were taken while a table was written."""
+    return spark.range(1).select(
+        F.lit(name).alias("check_name"), F.lit(severity).alias("severity"), F.lit(violations).cast("long").alias("violations"), F.lit(checked).cast("long").alias("checked")
+    )
+
+
 def check_unmatched(name: str, severity: str, df: DataFrame, reference: DataFrame, on: Mapping[str, str]) -> DataFrame:
     """One report row: rows whose key the reference lacks; ``on`` maps columns of the table to the reference's."""
     known = reference.select(*[F.col(r).alias(f"_r{i}") for i, r in enumerate(on.values())]).distinct()

@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from metricmart.operators import audit
 from metricmart.operators import dimensions as D
-from metricmart.operators.quality import check_keys, check_rows, check_unmatched, enforce, report
+from metricmart.operators.quality import check_counts, check_keys, check_rows, check_unmatched, enforce, report
 from metricmart.operators.registry import run_registry
 from metricmart.plans import core, marts, staging
 from metricmart.sources.sinks import Stage
+from metricmart.sources.versions import PartitionedFact
 from pyspark.sql import functions as F
 
 Tables = Mapping[str, DataFrame]
@@ -99,12 +100,12 @@ RETAIL_STAGING = {
 }
 
 
-def build_facts(staged: Tables, dims: core.Dimensions, before) -> dict[str, DataFrame]:
-    """All facts, upserted into the tables of the previous run."""
+def build_facts(staged: Tables, dims: core.Dimensions, target) -> dict[str, DataFrame]:
+    """All facts, upserted into what ``target`` returns for each: a ``PartitionedFact``, a table, or None."""
     s = staged
 
-    def old(name: str) -> DataFrame | None:
-        return before(f"core_fact_{name}")
+    def old(name: str) -> core.Target:
+        return target(f"core_fact_{name}")
 
     facts = {
         "network_reliability": core.network_reliability(
@@ -142,9 +143,15 @@ def build_facts(staged: Tables, dims: core.Dimensions, before) -> dict[str, Data
     return {f"core_fact_{name}": df for name, df in facts.items()}
 
 
-def core_checks(tables: Tables) -> DataFrame:
-    """Hard rules (negatives, duplicate keys) and soft rules (missing denominators, unmatched companies)."""
+def core_checks(tables: Tables, loads: Sequence[PartitionedFact] = ()) -> DataFrame:
+    """Hard rules (negatives, duplicate keys) and soft rules (missing denominators, unmatched companies, rejected rows).
+
+    Every load gives a soft rule about the rows it could not load, with the counts taken while they were written.
+    """
     reliability = tables["core_fact_network_reliability"]
+    rejected = [
+        check_counts(f"rejected_{f.table}", "soft", f.counts["rejected"], f.counts["rows"], reliability.sparkSession) for f in loads if f.counts
+    ]
     electricity = tables["core_dim_network_sector"].filter("commodity = 'electricity'").select("network_sector_id")
     keys = ["date_id", "geography_id", "company_id", "network_sector_id"]
     return report(
@@ -163,6 +170,7 @@ def core_checks(tables: Tables) -> DataFrame:
                 "unmatched_companies", "soft", tables["stg_network_reliability"], tables["core_dim_company"],
                 {"company_name": "company_name"},
             ),
+            *rejected,
         ],
         warn_above_pct=10.0,
     )
@@ -203,10 +211,28 @@ def logged_write(spark: SparkSession, stage: Stage, name: str, df: DataFrame, so
     except Exception as error:
         audit.append_run(spark, stage.path("run_log"), source, name, status="failed", error=str(error)[:2000])
         raise
-    audit.append_run(spark, stage.path("run_log"), source, name, seen, df.columns)
+    audit.append_run(spark, stage.path("run_log"), source, name, seen.get, df.columns)
     return written
 
 
+class LoggedFact(PartitionedFact):
+    """A fact whose loads leave lines in the run log: rows loaded and rejected, or why the load failed."""
+
+    def __init__(self, stage: Stage, table: str):
+        super().__init__(stage.spark, f"{stage.base}/facts", table, stage.run_id, stage.previous)
+        self._log = stage.path("run_log")
+
+    def merge(self, rows: DataFrame, keys: Sequence[str], columns: Sequence[str], *args, **options) -> DataFrame:
+        try:
+            found = super().merge(rows, keys, columns, *args, **options)
+        except Exception as error:
+            audit.append_run(self.spark, self._log, "load", self.table, status="failed", error=str(error)[:2000])
+            raise
+        watched = [c for c in columns if c in rows.columns]
+        audit.append_run(self.spark, self._log, "load", self.table, self.counts, watched, reasons=self.reasons())
+        return found
+
+
 def land(
     spark: SparkSession, stage: Stage, entries: Sequence[Mapping[str, object]], sources: Tables, allow_failures: bool = False
 ) -> dict[str, DataFrame]:
@@ -221,7 +247,11 @@ def land(
 
 
 def full_refresh(spark: SparkSession, raw: Tables, stage: Stage) -> dict[str, DataFrame]:
-    """Run all stages in order. Tables of one layer are stored before the next layer reads them; each has a log line."""
+    """Run all stages in order. Tables of one layer are stored before the next layer reads them; each has a log line.
+
+    Facts are versions of partitions below ``facts`` in the stage's base folder: a run rewrites the years it brings rows for.
+    The report of all checks is stored as ``quality_report``.
+    """
 
     def before(table: str) -> DataFrame | None:
         return stage.before(table)
@@ -231,7 +261,12 @@ def full_refresh(spark: SparkSession, raw: Tables, stage: Stage) -> dict[str, Da
 
     staged = stored(build_staging(raw))
     dims = stored(build_dimensions(spark, raw, staged, before))
-    facts = stored(build_facts(staged, dimension_set(dims), before))
-    tables = {**staged, **dims, **facts}
-    enforce(core_checks(tables))
+    loads: list[PartitionedFact] = []
+
+    def fact(table: str) -> PartitionedFact:
+        loads.append(LoggedFact(stage, table))
+        return loads[-1]
+
+    tables = {**staged, **dims, **build_facts(staged, dimension_set(dims), fact)}
+    enforce(stage.write("quality_report", core_checks(tables, loads)))
     return {**tables, **stored(build_marts(tables))}

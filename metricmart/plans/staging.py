@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from metricmart.functions import labels as L
-from metricmart.functions.documents import has_keys, with_fields
+from metricmart.functions.documents import holding, with_fields
 from metricmart.functions.numeric import present_mean
 from metricmart.operators import filters
 from metricmart.operators.aggregates import metric_columns, parts_and_totals
@@ -207,7 +207,7 @@ def daily_prices(documents: DataFrame) -> DataFrame:
         "date": "date", "commodity": "string", "source_name": "string", "metric_name": "string", "value": "double",
         "unit": "string",
     }
-    known = documents.filter(has_keys(F.col("payload"), ["date", "commodity", "metric_name", "value"]))
+    known = holding(documents, ["date", "commodity", "metric_name", "value"])
     rows = with_fields(known, fields)
     return rows.select(
         F.col("date").alias("period_date"), F.year("date").alias("year"),

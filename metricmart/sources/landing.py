@@ -65,12 +65,15 @@ def natural_key(columns: Sequence[str]) -> Column:
 
 
 def as_documents(df: DataFrame, source_id: str) -> DataFrame:
-    """Rows as (natural_key, payload, source_id, loaded_at); all values of the payload are text, NULLs are kept."""
+    """Rows as (natural_key, payload, source_id, loaded_at).
+
+    The payload is a variant, so that later readers pick fields without parsing text; all its values are text, NULLs are kept.
+    """
     keys = [c for c in DOCUMENT_KEYS if c in df.columns]
     texts = [F.col(f"`{c}`").cast("string").alias(c) for c in df.columns]
     return df.select(
         natural_key(keys).alias("natural_key"),
-        F.to_json(F.struct(*texts), {"ignoreNullFields": "false"}).alias("payload"),
+        F.to_variant_object(F.struct(*texts)).alias("payload"),
         F.lit(source_id).alias("source_id"),
         F.current_timestamp().alias("loaded_at"),
     )

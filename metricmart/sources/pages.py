@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from metricmart.functions import delimited
+
 
 def unescaped(html: Column) -> Column:
     """Decode the entities that occur inside quoted attributes."""
@@ -30,21 +32,14 @@ def modal_data(pages: DataFrame, fields: list[str], page: str = "page_id", html:
 
 
 def csv_cells(tables: DataFrame, page: str = "page_id", csv: str = "csv") -> DataFrame:
-    """Cells (page, row, col, text) of CSV texts; the separator is whichever of comma and semicolon occurs more."""
-
-    def count(mark: str):
-        return F.length(csv) - F.length(F.replace(csv, F.lit(mark), F.lit("")))
+    """Cells (page, row, col, text) of CSV texts; the separator is whichever of comma and semicolon occurs more.
 
-    sep = F.when(count(";") > count(","), F.lit(";")).otherwise(F.lit(","))
-    lines = tables.withColumn("_sep", sep).select(
-        page, "_sep", F.posexplode(F.split(F.col(csv), r"\r?\n")).alias("row", "_line")
+    Quoted cells may hold separators, line breaks and doubled quotes. ``row`` counts records, blank ones too.
+    """
+    lines = tables.select(
+        page, delimited.separator(F.col(csv)).alias("_sep"), F.posexplode(delimited.records(delimited.held_quotes(F.col(csv)))).alias("row", "_line")
     )
-    # Split on separators outside quotes.
-    by_comma = F.split("_line", r',(?=(?:[^"]*"[^"]*")*[^"]*$)')
-    by_semicolon = F.split("_line", r';(?=(?:[^"]*"[^"]*")*[^"]*$)')
-    fields = F.when(F.col("_sep") == ";", by_semicolon).otherwise(by_comma)
-    cells = lines.filter(F.trim("_line") != "").select(page, "row", F.posexplode(fields).alias("col", "text"))
-    return cells.withColumn("text", F.regexp_replace(F.trim("text"), r'^"|"$', ""))
+    return lines.filter(F.trim("_line") != "").select(page, "row", F.posexplode(delimited.cells(F.col("_line"), F.col("_sep"))).alias("col", "text"))
 
 
 def links(pages: DataFrame, page: str = "page_id", html: str = "html") -> DataFrame:

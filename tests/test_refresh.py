@@ -250,3 +250,29 @@ def test_checks_and_status(spark, runs):
     assert refresh.core_checks(bad).filter("status = 'fail'").first().check_name == "negative_losses"
     window = marts.trend_in_window(tables["mart_cost_reliability"], "Electricity Transmission", 2013, 2021)
     assert [r.year for r in window.collect()] == [2020, 2021]
+
+
+def test_facts_outside_the_calendar_are_reported(spark, tmp_path):
+    """A row of 1980 is kept apart, logged and warned about; all else loads."""
+    raw, stage = landing(spark), Stage(spark, str(tmp_path), "r")
+    old = as_documents(spark.createDataFrame([{"year": 1980, "company_name": NGET, "network_sector": "ET", "ens_mwh": 1.0, "minutes_lost": 2.0}]), "seed")
+    tables = refresh.full_refresh(spark, {**raw, "doc_reliability": raw["doc_reliability"].unionByName(old)}, stage)
+    assert tables["core_fact_network_reliability"].count() == 2
+    log = {r.target_table: r for r in spark.read.parquet(stage.path("run_log")).collect() if r.source_id == "load"}
+    line = log["core_fact_network_reliability"]
+    assert (line.row_count, line.rejected, line.rejected_json) == (2, 1, '{"year": 1}')
+    assert log["core_fact_emissions"].rejected == 0 and len(log) == 26
+    report = {r.check_name: r for r in stage.read("quality_report").collect()}
+    assert report["rejected_core_fact_network_reliability"].status == "warn" and report["rejected_core_fact_emissions"].status == "ok"
+    assert report["rejected_core_fact_network_reliability"].violations == 1
+
+
+def test_second_run_rewrites_only_what_came(spark, tmp_path):
+    raw, base = landing(spark), str(tmp_path)
+    refresh.full_refresh(spark, raw, Stage(spark, base, "r1"))
+    kept = refresh.LoggedFact(Stage(spark, base, "r2", previous="r1"), "core_fact_network_reliability")
+    assert set(kept.files()) == {"y2020", "y2021"}
+    rows = kept.read().filter("date_id = 20211").withColumn("ens_mwh", F.lit(9.0))
+    keys = ["date_id", "geography_id", "company_id", "network_sector_id"]
+    merged = kept.merge(rows, keys, rows.columns)
+    assert kept.files() == {"y2020": "r1-1", "y2021": "r2-1"} and merged.filter("ens_mwh = 9").count() == 1 and merged.count() == 2
