@@ -11,18 +11,28 @@ from metricmart.llm.common import Scratch
 def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     """``links`` (a, b) → (node, component): the smallest node reachable. Nodes without links do not appear.
 
-    Each round, every node that is the larger end of a link hooks onto its smallest neighbour, chains of hooks are
-    shortened by pointer jumping, and links are carried over to what their ends hook onto; links within a component
-    vanish. A hub costs no more than its links: hooks are aggregates, and the rest are equi-joins with one row a node.
+    Each round, every node that is the larger end of a link hooks onto its smallest neighbour, hooks are followed twice,
+    and links are carried over to what their ends then hook onto; links within a component vanish. So chains shrink to a
+    quarter a round, and a hub costs no more than its links: hooks are aggregates, all else equi-joins with one row a node.
+    In the end the hooks of the rounds are followed backwards, from the last to the first.
     """
     edges = scratch.store(_canonical(links.select("a", "b")), "edges")
-    nodes = edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct()
-    labels = scratch.store(nodes.withColumn("component", F.col("node")), "labels")
+    rounds: list[DataFrame] = []
     while not edges.isEmpty():
-        hooks = _shortened(scratch.store(edges.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("parent")), "hooks"), scratch)
+        first = edges.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("parent"))
+        nearest = scratch.store(first, "hooks")
+        hooks = scratch.store(_moved(_moved(nearest, "parent", nearest), "parent", nearest), "hooks")
+        rounds.append(hooks)
         edges = scratch.store(_canonical(_moved(_moved(edges, "a", hooks), "b", hooks)), "edges")
-        labels = scratch.store(_moved(labels, "component", hooks), "labels")
-    return labels
+    if not rounds:
+        return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    # what a node hooks onto may hook in a later round; a node that hooks in several comes to the same component by each
+    found = rounds[-1].select("node", F.col("parent").alias("component"))
+    for hooks in reversed(rounds[:-1]):
+        later = scratch.store(found, "found")
+        found = later.unionAll(_moved(hooks.select("node", F.col("parent").alias("component")), "component", later.toDF("node", "parent"))).distinct()
+    found = scratch.store(found, "found")
+    return found.unionAll(found.select("component").distinct().select(F.col("component").alias("node"), "component"))
 
 
 def _canonical(edges: DataFrame) -> DataFrame:
@@ -35,12 +45,3 @@ def _moved(df: DataFrame, column: str, hooks: DataFrame) -> DataFrame:
     to = hooks.select(F.col("node").alias("_from"), F.col("parent").alias("_to"))
     rest = [c for c in df.columns if c != column]
     return df.join(to, F.col(column) == F.col("_from"), "left").select(*rest, F.coalesce("_to", column).alias(column))
-
-
-def _shortened(hooks: DataFrame, scratch: Scratch) -> DataFrame:
-    """Hooks that all point at a node which hooks onto nothing."""
-    while True:
-        jumped = scratch.store(_moved(hooks.withColumn("before", F.col("parent")), "parent", hooks), "hooks")
-        if jumped.filter("parent <> before").isEmpty():
-            return jumped.select("node", "parent")
-        hooks = jumped.select("node", "parent")

@@ -23,6 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,6 +31,7 @@ from metricmart.llm.common import Scratch, col, membership, text_mark, without
 from metricmart.llm.components import components
 
 SKETCH_BITS = 21  # counters of the shingle sketch; its size bounds what is broadcast (one byte a counter)
+SKETCH_PARTS = 64  # parts in which the tasks' sketches are added up
 HUB_ROWS = 4096  # sets that share one hub at most
 TREE_ROWS = 256  # sets in one prefix tree
 TRIED_MEMBERS = 6  # members of a component that a set outside is first compared with
@@ -137,9 +139,8 @@ def ordered(tokens: np.ndarray, heat: np.ndarray) -> np.ndarray:
     return tokens[np.lexsort((tokens, warm))] if warm.any() else tokens
 
 
-def heat_classes(counts: np.ndarray) -> np.ndarray:
-    """Frequency class of each counter: 0 near the mean, else the bits of its count."""
-    mean = counts.mean()
+def heat_classes(counts: np.ndarray, mean: float) -> np.ndarray:
+    """Frequency class of each counter: 0 near the mean of all, else the bits of its count."""
     classes = np.zeros(len(counts), np.uint8)
     hot = np.flatnonzero(counts > mean + 8 * np.sqrt(mean) + 48)
     classes[hot] = np.ceil(np.log2(counts[hot]))
@@ -158,11 +159,11 @@ def _measured(docs: DataFrame, size: int, scratch: Scratch) -> tuple[DataFrame,
     names = ["id", "n", "key", "cells", "sketch"]
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, waiting, kind = np.zeros(1 << SKETCH_BITS, np.uint32), [], None
+        counts, waiting, kind = np.zeros(1 << SKETCH_BITS, np.int64), [], None
 
         def count() -> None:
             if waiting:
-                counts[:] += np.bincount(np.concatenate(waiting), minlength=len(counts)).astype(np.uint32)
+                counts[:] += np.bincount(np.concatenate(waiting), minlength=len(counts))
                 waiting.clear()
 
         for batch in batches:
@@ -179,19 +180,57 @@ def _measured(docs: DataFrame, size: int, scratch: Scratch) -> tuple[DataFrame,
             )
         if kind is not None:
             count()
-            sketch = pa.array([zlib.compress(counts.tobytes(), 1)], pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.nulls(1, kind), pa.array([-1], pa.int64()), pa.nulls(1, pa.binary()), pa.nulls(1, pa.binary()), sketch], names=names)
+            parts = [zlib.compress(part.tobytes(), 1) for part in counts.reshape(SKETCH_PARTS, -1)]
+            none = SKETCH_PARTS
+            yield pa.RecordBatch.from_arrays(
+                [pa.nulls(none, kind), pa.array(np.arange(none) - none, pa.int64()), pa.nulls(none, pa.binary()), pa.nulls(none, pa.binary()), pa.array(parts, pa.binary())],
+                names=names,
+            )
 
     kind = docs.schema["id"].dataType.simpleString()
     measured = scratch.store(docs.mapInArrow(measure, f"id {kind}, n long, key binary, cells binary, sketch binary"), "measured")
-    sketches = measured.filter("n < 0").select("sketch").rdd.map(lambda r: np.frombuffer(zlib.decompress(r[0]), np.uint32))
-    zero = np.zeros(1 << SKETCH_BITS, np.uint32)
-    counts = zero if sketches.isEmpty() else sketches.treeReduce(np.add, depth=3)
-    return measured.filter("n >= 0").drop("sketch"), heat_classes(counts)
+    return measured.filter("n >= 0").drop("sketch"), _heat(measured.filter("n < 0").select("n", "sketch"), scratch)
+
+
+def _heat(sketches: DataFrame, scratch: Scratch) -> np.ndarray:
+    """Frequency classes of all counters, one byte each, from the parts of the tasks' sketches; added up in the cluster."""
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, total = None, None
+
+        def done() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), pa.array([zlib.compress(total.tobytes(), 1)], pa.binary()), pa.array([int(total.sum())], pa.int64())], names=["n", "sums", "total"])
+
+        for batch in batches:
+            for n, sketch in zip(batch.column("n").to_pylist(), batch.column("sketch").to_pylist()):
+                counts = np.frombuffer(zlib.decompress(sketch), np.int64)
+                if n == part:
+                    total = total + counts
+                    continue
+                if part is not None:
+                    yield done()
+                part, total = n, counts
+        if part is not None:
+            yield done()
+
+    sums = scratch.store(sketches.repartition("n").sortWithinPartitions("n").mapInArrow(add_up, "n long, sums binary, total long"), "sketch")
+    mean = (sums.agg(F.sum("total")).first()[0] or 0) / (1 << SKETCH_BITS)
+
+    def classify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            classes = [heat_classes(np.frombuffer(zlib.decompress(s), np.int64), mean).tobytes() for s in batch.column("sums").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("n"), pa.array(classes, pa.binary())], names=["n", "classes"])
+
+    parts = sums.mapInArrow(classify, "n long, classes binary").collect()  # one byte a counter in all
+    if not parts:
+        return np.zeros(1 << SKETCH_BITS, np.uint8)
+    return np.concatenate([np.frombuffer(r["classes"], np.uint8) for r in sorted(parts, key=lambda r: r["n"])])
 
 
 def _prefixes(docs: DataFrame, size: int, percent: int, heat) -> DataFrame:
-    """Prefix of every set with at least four shingles (smaller ones can only equal each other): id, key, tokens, places.
+    """Prefix of every set that a different set can be similar enough to: id, key, tokens, places.
+
+    The nearest different set of n shingles has one more; smaller sets than it allows can only equal each other.
 
     A token is 48 bits of a shingle's hash: enough to meet, as whole hashes are compared later. A place packs the set's
     size, the position in it and the number of parts (a power of two) that the shingle's rows are dealt to.
@@ -204,7 +243,7 @@ def _prefixes(docs: DataFrame, size: int, percent: int, heat) -> DataFrame:
             rows, keys, tokens, places = [], [], [], []
             for i, found in enumerate(shingle_sets(batch.column(1).to_pylist(), size)):
                 n = len(found)
-                if n < 4:
+                if 100 * n < percent * (n + 1):
                     continue
                 some = ordered(found, classes)[: prefix_length(n, percent)]
                 parts = np.maximum(classes[_low(some, len(classes))].astype(np.int64) - spare, 0)
@@ -326,13 +365,20 @@ def _plausible(pairs: DataFrame, measured: DataFrame, percent: int, scratch: Scr
 def _linked(pairs: DataFrame, measured: DataFrame, docs: DataFrame, size: int, percent: int, heat, scratch: Scratch) -> DataFrame:
     """Those of the pairs (a, b) whose sets are similar enough; one prefix tree for each a and up to some 256 b.
 
-    Only texts of documents that are left in a pair are shuffled; their sets are made where they are compared.
+    Only texts of documents that are left in a pair are shuffled, compressed; their sets are made where they are compared.
     """
     kind = docs.schema["id"].dataType.simpleString()
     pairs = scratch.store(_plausible(pairs, measured, percent, scratch), "pairs")
     if pairs.isEmpty():
         return pairs
-    texts = docs.filter(_ends(pairs, scratch)(F.col("id"))).withColumnRenamed("id", "own")
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        squeeze = zstandard.ZstdCompressor(level=3)
+        for batch in batches:
+            contents = [squeeze.compress(t or b"") for t in batch.column("content").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(contents, pa.binary())], names=["own", "content"])
+
+    texts = docs.filter(_ends(pairs, scratch)(F.col("id"))).mapInArrow(packed, f"own {kind}, content binary")
     degree = pairs.groupBy(F.col("a").alias("of")).agg(F.ceil(F.count(F.lit(1)) / TREE_ROWS).alias("trees"))
     dealt = pairs.join(degree, F.col("a") == F.col("of")).select("a", "b", F.pmod(F.xxhash64("b"), "trees").alias("tree"))
     seats = dealt.select("a", "tree", F.lit(1).alias("role"), F.col("b").alias("id")).unionAll(
@@ -341,6 +387,7 @@ def _linked(pairs: DataFrame, measured: DataFrame, docs: DataFrame, size: int, p
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, roots, others = None, [], []
+        opened = zstandard.ZstdDecompressor()
 
         def found() -> pa.RecordBatch:
             keys = sorted({tuple(k.values()) for root in roots for k in tree_links(root, others, percent)})
@@ -348,7 +395,7 @@ def _linked(pairs: DataFrame, measured: DataFrame, docs: DataFrame, size: int, p
 
         for batch in batches:
             arrow = batch.schema.field("id").type
-            sets = shingle_sets(batch.column("content").to_pylist(), size)
+            sets = shingle_sets([opened.decompress(t) for t in batch.column("content").to_pylist()], size)
             for a, tree, role, key, tokens in zip(*(batch.column(c).to_pylist() for c in ("a", "tree", "role", "id")), sets):
                 if (a, tree) != group:
                     if others:

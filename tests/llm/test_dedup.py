@@ -121,7 +121,7 @@ def test_near_duplicates(docs, scratch, monkeypatch, seed, hub_rows):
     """Also with hubs so small that frequent shingles are salted, and with every shingle taken for a frequent one."""
     if hub_rows < 4096:
         monkeypatch.setattr(ngram_join, "HUB_ROWS", hub_rows)
-        monkeypatch.setattr(ngram_join, "heat_classes", lambda counts: np.where(counts > 2, np.ceil(np.log2(np.maximum(counts, 1))), 0).astype(np.uint8))
+        monkeypatch.setattr(ngram_join, "heat_classes", lambda counts, mean: np.where(counts > 2, np.ceil(np.log2(np.maximum(counts, 1))), 0).astype(np.uint8))
     rows = near_rows(seed) + EDGE
     got = ngram_join.near_duplicates(docs(rows, extra="component_id"), scratch)
     assert Counter(map(tuple, got.collect())) == brute_components(rows)
