@@ -29,7 +29,11 @@ def normalise(text: str | None) -> str:
 
 @dataclass(frozen=True)
 class Budget:
-    """Edits allowed: ``rate`` per character, but no more than leave every piece ``piece_chars`` long."""
+    """Edits allowed: ``rate`` per character, but no more than leave every piece ``piece_chars`` long.
+
+    Items of fewer than ``min_chars`` characters would match by chance inside other texts: a document holds one if it, or
+    one of its lines, is the item and nothing else.
+    """
 
     rate: float = 0.05
     piece_chars: int = 12
@@ -81,7 +85,11 @@ class Matcher:
     """Finds the items of one block in texts."""
 
     def __init__(self, items: list[tuple[int, str]], budget: Budget):
-        self.items = [(key, text, budget.edits(len(text))) for key, text in items]
+        self.short: dict[str, list] = {}
+        for key, text in items:
+            if len(text) < budget.min_chars:
+                self.short.setdefault(text, []).append(key)
+        self.items = [(key, text, budget.edits(len(text))) for key, text in items if len(text) >= budget.min_chars]
         self.verifiers: dict[int, Myers] = {}
         self.automaton = ahocorasick.Automaton()
         where: dict[str, list[tuple[int, int]]] = {}
@@ -92,8 +100,17 @@ class Matcher:
             self.automaton.add_word(piece, (len(piece), places))
         self.automaton.make_automaton()
 
+    def matches(self, text: str | None) -> list[tuple[int, int]]:
+        """(key, smallest distance) of every item that a whole text holds."""
+        whole = normalise(text)
+        found = self.find(whole) if self.items else []
+        if self.short:
+            lines = {whole, *map(normalise, (text or "").splitlines())}
+            found += [(key, 0) for line in lines for key in self.short.get(line, ())]
+        return found
+
     def find(self, text: str) -> list[tuple[int, int]]:
-        """(key, smallest distance) of every item within its budget somewhere in the normalised text."""
+        """(key, smallest distance) of every longer item within its budget somewhere in the normalised text."""
         best: dict[int, int] = {}
         tried: dict[int, int] = {}
         for last, (size, places) in self.automaton.iter(text):
@@ -125,11 +142,11 @@ def _blocks(spark: SparkSession, benchmark: DataFrame, scratch: Scratch, item_co
 
     kind = benchmark.schema[item_col].dataType.simpleString()
     items = benchmark.select(col(item_col).alias("item"), col(text_col).alias("norm")).mapInArrow(normalised, f"item {kind}, norm string")
-    items = scratch.store(items.filter(F.length("norm") >= budget.min_chars), "items")
-    size = items.agg(F.sum(F.octet_length("norm"))).first()[0] or 0
+    items = scratch.store(items.filter("norm <> ''").distinct(), "items")
+    size = items.agg(F.sum(F.octet_length("norm") + 8)).first()[0] or 0
     count = -(-size // block_bytes)
     for block in range(count):
-        some = items.filter(F.pmod(F.xxhash64("norm"), F.lit(count)) == block).collect()
+        some = items.filter(F.pmod(F.xxhash64("norm", "item"), F.lit(count)) == block).collect()
         if some:
             yield [(r["item"], r["norm"]) for r in some]
 
@@ -140,9 +157,10 @@ def find_leaks(
 ) -> DataFrame:
     """Items found in documents: ``id_col``, ``item_col`` and ``distance`` (edits, 0 for an exact copy).
 
-    Both texts are compared as lower-case words joined by one blank. Items shorter than ``budget.min_chars`` are not
-    looked for: they would match by chance. Null and empty texts hold nothing; a null id is returned as it is; repeated
-    rows give repeated results; an empty table of either kind gives no rows. Items are a query set that goes to the
+    Both texts are compared as lower-case words joined by one blank. Items shorter than ``budget.min_chars`` are looked for
+    as whole lines and whole documents, without edits. Items without a word, null and empty texts hold nothing; a null id
+    is returned as it is; repeated rows give repeated results, a repeated item counts once; other columns play no part, whatever their names;
+    an empty table of either kind gives no rows. Items are a query set that goes to the
     tasks in blocks of about ``block_bytes`` of text, so that no automaton outgrows a task; every block meets every
     whole document, and no document is shuffled.
     """
@@ -166,7 +184,7 @@ def _found(rows: DataFrame, benchmark: DataFrame, scratch: Scratch, item_col: st
             for batch in batches:
                 ids, items, distances = [], [], []
                 for i, text in enumerate(batch.column(1)):
-                    for item, distance in matcher.find(normalise(text.as_py())):
+                    for item, distance in matcher.matches(text.as_py()):
                         ids.append(i)
                         items.append(item)
                         distances.append(distance)

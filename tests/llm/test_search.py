@@ -50,12 +50,15 @@ def test_leaks(spark, docs, scratch, block_bytes):
             text.insert(rng.randint(0, len(text)), "".join(planted))
         rows.append((i, "  ".join(text).upper() if i % 2 else "\n".join(text)))
     rows += [(500, None), (501, ""), (None, items[0][1]), (502, "x " * 30000 + items[1][1]), (502, "x " * 30000 + items[1][1])]
-    items += [(90, None), (91, "too short"), (None, items[2][1])]
+    items += [(90, None), (91, "?!"), (None, items[2][1]), (92, "What is 17 times 23?"), (93, "what is 17 times 23"), (94, "short")] + [items[0]] * 2
+    rows += [(600, "what is 17 times 23?"), (601, "a line\nWhat is  17 times 23\nanother"), (602, "say what is 17 times 23 please"), (603, "what is\n17 times 23"), (604, "short stories")]
     budget = decontaminate.Budget()
     wanted = Counter()
     for i, t in rows:
-        for k, item in items:
+        for k, item in set(items):
             pattern = decontaminate.normalise(item)
+            if pattern and len(pattern) < budget.min_chars and pattern in map(decontaminate.normalise, [t or "", *(t or "").splitlines()]):
+                wanted[(i, k, 0)] += 1
             text = decontaminate.normalise(t)[-800:] if i == 502 else decontaminate.normalise(t)
             if len(pattern) >= budget.min_chars and (d := distance(pattern, text)) <= budget.edits(len(pattern)):
                 wanted[(i, k, d)] += 1
