@@ -57,21 +57,64 @@ class FactorizationMachine:
         return 1 / (1 + np.exp(-np.clip(self.bias + linear + pairs / 2, -30, 30)))
 
 
+def _difference(toxic: np.ndarray, clean: np.ndarray, labels: np.ndarray) -> np.ndarray:
+    """How many standard errors apart the shares of toxic and of clean texts are that hold something."""
+    n_toxic, n_clean = max(labels.sum(), 1), max(len(labels) - labels.sum(), 1)
+    share = (toxic + clean) / len(labels)
+    return np.abs(toxic / n_toxic - clean / n_clean) / np.sqrt(np.maximum(share * (1 - share), 1e-9) * (1 / n_toxic + 1 / n_clean))
+
+
+def in_telling_pairs(
+    sets: list[np.ndarray], labels: np.ndarray, known: np.ndarray, counts: np.ndarray, min_z: float = 6.0, beyond: float = 3.0, least: int = 3,
+    most: int = 1500, chunk: int = 512,
+) -> np.ndarray:
+    """Which of the ``known`` buckets are half of a pair that tells the classes apart, though alone they may not.
+
+    Pairs are counted among the ``most`` buckets that are in the most texts (at least ``least``, and not in nearly all). A
+    pair tells if its shares in the classes are ``min_z`` standard errors apart, ``beyond`` more than those of its halves.
+    """
+    chosen = np.zeros(len(known), bool)
+    some = np.flatnonzero((counts >= least) & (counts < 0.9 * len(sets)))
+    some = some[np.argsort(-counts[some], kind="stable")][:most]
+    place = np.full(len(known), -1)
+    place[some] = np.arange(len(some))
+    together = np.zeros((2, len(some), len(some)), np.float32)
+    for label in (0, 1):
+        texts = np.flatnonzero(labels == label)
+        for start in range(0, len(texts), chunk):
+            held = np.zeros((min(chunk, len(texts) - start), len(some)), np.float32)
+            for row, text in enumerate(texts[start : start + chunk]):
+                at = place[np.searchsorted(known, sets[text])]
+                held[row, at[at >= 0]] = 1
+            together[label] += held.T @ held
+    clean, toxic = together
+    alone = _difference(np.diag(toxic), np.diag(clean), labels)
+    apart = _difference(toxic, clean, labels)
+    tells = (apart >= min_z) & (apart >= np.maximum(alone[:, None], alone[None, :]) + beyond) & (toxic + clean >= least)
+    np.fill_diagonal(tells, False)
+    chosen[some[tells.any(axis=1)]] = True
+    return chosen
+
+
 def train(
     sets: list[np.ndarray], labels: np.ndarray, rank: int = 4, epochs: int = 16, batch: int = 64, rate: float = 0.1,
     decay: float = 4e-4, min_z: float = 2.8, seed: int = 3,
 ) -> FactorizationMachine:
     """Fit by Adagrad on the logistic loss, both classes weighing alike.
 
-    Buckets are learned whose smoothed log odds between the classes differ from 0 by ``min_z`` standard errors: the
-    others, most of the vocabulary, could only be memorised. With one class only, the machine gives its constant.
+    Buckets are learned whose smoothed log odds between the classes differ from 0 by ``min_z`` standard errors, and those
+    that tell the classes apart in pairs (``in_telling_pairs``): an insult and a group that are as common in clean texts as
+    in toxic ones, but not together. The others, most of the vocabulary, could only be memorised. With one class only,
+    the machine gives its constant.
     """
     rng = np.random.default_rng(seed)
     flat, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(s) for s in sets])
     known, inverse = np.unique(flat, return_inverse=True)
-    toxic, clean = (np.bincount(inverse, labels[owner] == c, len(known)) + 0.5 for c in (1, 0))
+    counts = [np.bincount(inverse, labels[owner] == c, len(known)) for c in (1, 0)]
+    toxic, clean = (n + 0.5 for n in counts)
     odds = np.log(toxic / (labels.sum() + 1 - toxic)) - np.log(clean / (len(labels) - labels.sum() + 1 - clean))
-    known = known[np.abs(odds) >= min_z * np.sqrt(1 / toxic + 1 / clean)]
+    alone = np.abs(odds) >= min_z * np.sqrt(1 / toxic + 1 / clean)
+    known = known[alone | in_telling_pairs(sets, labels, known, counts[0] + counts[1])]
     positive = labels.mean()
     if positive in (0.0, 1.0) or not len(known):
         return FactorizationMachine(known[:0], float(20 * positive - 10), np.zeros(0), np.zeros((0, rank)))
@@ -80,7 +123,7 @@ def train(
         at = np.minimum(np.searchsorted(known, s), len(known) - 1)
         rows.append(at[known[at] == s])
     importance = np.where(labels == 1, 0.5 / positive, 0.5 / (1 - positive))
-    bias, linear, factors = 0.0, np.zeros(len(known)), rng.normal(0, 0.01, (len(known), rank))
+    bias, linear, factors = 0.0, np.zeros(len(known)), rng.normal(0, 0.05, (len(known), rank))
     seen_bias, seen_linear, seen_factors = 1e-6, np.full(len(known), 1e-6), np.full((len(known), rank), 1e-3)
     for _ in range(epochs):
         order = rng.permutation(len(rows))
@@ -100,7 +143,7 @@ def train(
             seen_linear[touched] += g_linear**2
             seen_factors[touched] += g_factors**2
             linear[touched] -= rate * g_linear / np.sqrt(seen_linear[touched])
-            factors[touched] -= 0.1 * rate * g_factors / np.sqrt(seen_factors[touched])
+            factors[touched] -= 0.2 * rate * g_factors / np.sqrt(seen_factors[touched])
             seen_bias += error.sum() ** 2
             bias -= rate * error.sum() / np.sqrt(seen_bias)
     return FactorizationMachine(known, float(bias), linear, factors)
@@ -130,7 +173,12 @@ def training_texts(
 def learn(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", **options
 ) -> FactorizationMachine | None:
-    """Train on a bounded sample of the documents that ``labels`` (id, label) labels; None where there are none."""
+    """Train on a bounded sample of the documents that ``labels`` (id, label) labels; None where there are none.
+
+    Labels other than 0 and 1 and null ids are left out; an id with both labels counts with each; null texts are left out,
+    empty and very long ones are sets of words like others. Repeated rows count each time. Columns beyond the named ones
+    play no part, whatever their names.
+    """
     sets, targets = training_texts(docs, labels, id_col, text_col, label_col)
     return train(sets, targets, **options) if sets else None
 

@@ -89,3 +89,23 @@ def test_toxicity_edges(docs):
     assert toxicity.learn(df.filter("false"), df) is None
     assert toxicity.learn(df, df.withColumn("toxic", F.lit(None).cast("int"))) is None
     assert [r[0] for r in df.select(toxicity.scored(None, col("text"))).collect()] == [0.0] * 5
+
+
+def test_pairs_with_equal_margins():
+    """Two insults and two groups, each as common in clean texts: only who is insulted by what is toxic."""
+
+    def texts(n, seed):
+        rng = random.Random(seed)
+        words, sets, labels = [f"w{i}" for i in range(3000)], [], []
+        for _ in range(n):
+            a, b = rng.choice("xy"), rng.choice("xy")
+            sets.append(toxicity.terms(" ".join([*rng.choices(words, k=40), f"insult{a}", f"group{b}"])))
+            labels.append(float(a == b))
+        return sets, np.array(labels)
+
+    machine = toxicity.train(*texts(3000, 1))
+    sets, labels = texts(1000, 2)
+    found = machine.scores(sets) >= 0.7
+    assert found[labels == 1].mean() > 0.9 and found[labels == 0].mean() < 0.02
+    alone = [toxicity.terms(w) for w in ("insultx", "insulty", "groupx", "groupy")]
+    assert max(machine.scores(alone)) < 0.7
