@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from metricmart.llm.common import Scratch, body, col, fresh, membership
+from metricmart.llm.common import Scratch, body, col, fresh, membership, text_mark
 
 BLANKS = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -32,11 +32,16 @@ def key_hash(key: Column) -> Column:
     return F.struct(F.xxhash64(key).alias("k1"), F.xxhash64(F.lit(1), key).alias("k2"))
 
 
+def text_of_no_id(id_col: str, text_col: str) -> Column:
+    """Hash of the text for rows without an id, else null: such rows are one document, but each loses its own lines only."""
+    return F.when(col(id_col).isNull(), text_mark(text_col))
+
+
 def line_keys(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataFrame:
-    """(id, k1, k2) of every line whose key has at least ``min_chars`` code points."""
-    lines = docs.select(col(id_col).alias("id"), F.explode(F.split(body(text_col), "\n")).alias("line"))
-    keyed = lines.select("id", line_key(F.col("line")).alias("key")).filter(F.char_length("key") >= min_chars)
-    return keyed.select("id", key_hash(F.col("key")).alias("h")).select("id", "h.*")
+    """(id, text, k1, k2) of every line whose key has at least ``min_chars`` code points; ``text`` as in ``text_of_no_id``."""
+    lines = docs.select(col(id_col).alias("id"), text_of_no_id(id_col, text_col).alias("text"), F.explode(F.split(body(text_col), "\n")).alias("line"))
+    keyed = lines.select("id", "text", line_key(F.col("line")).alias("key")).filter(F.char_length("key") >= min_chars)
+    return keyed.select("id", "text", key_hash(F.col("key")).alias("h")).select("id", "text", "h.*")
 
 
 class LineRuns:
@@ -108,6 +113,11 @@ class LineRuns:
             ]
         return reduce(DataFrame.unionByName, runs).filter(F.col("n_docs") >= min_docs)
 
+    def close(self) -> None:
+        """Drop all runs; what was read from them must have been stored before."""
+        self._drop([*(name for level in self.levels for name in level), *self.repeats])
+        self.levels, self.repeats = [], []
+
 
 def dedupe_lines(
     docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 40, min_docs: int = 5,
@@ -130,18 +140,21 @@ def dedupe_lines(
     for n in range(batches):
         runs.add(keys.filter(F.col("batch") == n).select("id", *KEY))
     frequent = scratch.store(runs.frequent(min_docs).select(*KEY, "top"), "frequent")
-    of, gone = fresh(docs, "of", "gone")
+    runs.close()
+    of, of_text, gone = fresh(docs, "of", "of_text", "gone")
     drops = scratch.store(
-        keys.join(frequent, KEY).filter(~F.col("id").eqNullSafe(F.col("top"))).groupBy(F.col("id").alias(of)).agg(F.collect_set(F.struct(*KEY)).alias(gone)),
+        keys.join(frequent, KEY).filter(~F.col("id").eqNullSafe(F.col("top"))).groupBy(F.col("id").alias(of), F.col("text").alias(of_text))
+        .agg(F.collect_set(F.struct(*KEY)).alias(gone)),
         "drops",
     )
     lines = F.split(body(text_col), "\n")
     stays = lambda line: (F.char_length(line_key(line)) < min_chars) | ~F.array_contains(F.col(gone), key_hash(line_key(line)))
     kept, own = "kept_text", ["n_lines", "n_dropped", "kept_text"]
     n_lines = (F.char_length(body(text_col)) - F.char_length(F.replace(body(text_col), F.lit("\n"), F.lit(""))) + 1).cast("long")
-    maybe = membership(drops.select(of), scratch)(col(id_col))
+    maybe = membership(drops.select(of, of_text), scratch)(col(id_col), text_of_no_id(id_col, text_col))
     whole = docs.filter(~maybe).withColumns({"n_lines": n_lines, "n_dropped": F.lit(0).cast("long"), kept: body(text_col)})
-    joined = docs.filter(maybe).join(drops.hint("merge"), col(id_col).eqNullSafe(F.col(of)), "left")
+    same = col(id_col).eqNullSafe(F.col(of)) & text_of_no_id(id_col, text_col).eqNullSafe(F.col(of_text))
+    joined = docs.filter(maybe).join(drops.hint("merge"), same, "left")
     (rest,) = fresh(joined, "rest")
     cut = joined.withColumn(rest, F.when(F.col(gone).isNotNull(), F.filter(lines, stays))).withColumns({
         "n_lines": n_lines,
