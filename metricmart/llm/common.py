@@ -108,16 +108,24 @@ def word_count(text_col: str) -> Column:
     return F.coalesce(F.regexp_count(col(text_col), F.lit(WORD)), F.lit(0)).cast("long")
 
 
+MOST_LABELS = 1000
+
+
 def smallest_draws(rows: DataFrame, label: str, draw: str, limit: int, tie: str) -> DataFrame:
     """Of each label the ``limit`` rows with the smallest draw, a 64-bit hash; ties in the order of ``tie``.
 
-    A label's count first tells how small a draw has to be, so that only about three times as many rows are ranked.
+    The labels, at most ``MOST_LABELS``, are counted first: that tells how small a draw has to be, so that only about three
+    times as many rows are shuffled and ranked, and other columns of the rest are never made.
     """
-    counts = rows.groupBy(F.col(label).alias("_of")).agg(F.count(F.lit(1)).alias("_rows"))
-    share = F.least(F.lit(1.0), F.lit(3.0 * limit + 50) / F.col("_rows"))
-    near = rows.join(counts, F.col(label) == F.col("_of")).filter(F.pmod(F.col(draw), F.lit(1 << 20)) < share * (1 << 20))
-    order = Window.partitionBy(label).orderBy(F.pmod(F.col(draw), F.lit(1 << 20)), draw, tie)
-    return near.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= limit).drop("_of", "_rows", "_rank")
+    counts = rows.groupBy(F.col(label).alias("of")).agg(F.count(F.lit(1)).alias("n")).limit(MOST_LABELS + 1).collect()
+    if len(counts) > MOST_LABELS:
+        raise ValueError(f"more than {MOST_LABELS} labels")
+    span = 1 << 20
+    most = {r["of"]: min(1.0, (3.0 * limit + 50) / r["n"]) * span for r in counts if r["of"] is not None}
+    allowed = F.element_at(F.create_map(*[x for label_, n in most.items() for x in (F.lit(label_), F.lit(float(n)))]), F.col(label)) if most else F.lit(0.0)
+    small = F.pmod(F.col(draw), F.lit(span))
+    order = Window.partitionBy(label).orderBy(small, draw, tie)
+    return rows.filter(small < allowed).withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= limit).drop("_rank")
 
 
 def membership(keys: DataFrame, scratch: Scratch, bits: int = 22) -> Callable[..., Column]:
