@@ -28,13 +28,13 @@ SELECT year, company_name, sector_code AS network_sector, returned AS ens_mwh, C
 UNION ALL SELECT year, 'Nobody', sector_code, 1, 1, 1, 1, 1 FROM supplier_year WHERE suppkey = 1
 """)
 bind("stg_context", """
-SELECT year, 'electricity' AS commodity, 'TOTAL' AS fuel_source, 'generation_total_twh' AS metric_name, qty AS value FROM national_year WHERE year > 1995
+SELECT year, 'electricity' AS commodity, 'TOTAL' AS fuel_source, 'generation_total_twh' AS metric_name, CASE WHEN year > 1995 THEN qty END AS value FROM national_year
 UNION ALL SELECT year, 'gas', 'TOTAL', 'gas_supply_total', qty FROM national_year
 """)
 bind("old_network", """
-SELECT f.year * 10 + 1 AS date_id, CAST(0 AS BIGINT) AS geography_id, f.suppkey AS company_id, CAST(1 AS BIGINT) AS network_sector_id, CAST(-1 AS DOUBLE) AS ens_mwh, CAST(-1 AS DOUBLE) AS customer_interruptions,
+SELECT f.year * 10 + 1 AS date_id, CAST(0 AS BIGINT) AS geography_id, CASE WHEN f.year < 1998 THEN f.suppkey ELSE -f.suppkey END AS company_id, CAST(1 AS BIGINT) AS network_sector_id, CAST(-1 AS DOUBLE) AS ens_mwh, CAST(-1 AS DOUBLE) AS customer_interruptions,
        CAST(-1 AS DOUBLE) AS minutes_lost, CAST(-1 AS DOUBLE) AS gas_interruption_volume, CAST(-1 AS DOUBLE) AS gas_lost_volume, CAST(-1 AS DOUBLE) AS total_demand_mwh, CAST(-1 AS DOUBLE) AS total_gas_supply
-FROM supplier_year f WHERE f.year < 1998
+FROM supplier_year f
 """)
 
 
@@ -72,9 +72,11 @@ def company_facts(t):
     ])
 
 
+# Suppliers from 8,000 on are in no company list; together they are one row for each year, nation and sector.
 bind("stg_customers", """
-SELECT year, CASE WHEN s_acctbal > 8000 THEN 'Nobody ' || company_name ELSE company_name END AS company_name, CASE WHEN s_acctbal < 1000 THEN 'XX' ELSE sector_code END AS network_sector,
-       'N' || CAST(n_nationkey AS STRING) AS geography_code, price AS cost_per_customer_gbp, qty AS satisfaction_score FROM supplier_year WHERE s_acctbal < 8000 OR suppkey IN (SELECT MAX(s_suppkey) FROM supplier WHERE s_acctbal > 8000)
+SELECT year, company_name, CASE WHEN s_acctbal < 1000 THEN 'XX' ELSE sector_code END AS network_sector, 'N' || CAST(n_nationkey AS STRING) AS geography_code,
+       price AS cost_per_customer_gbp, qty AS satisfaction_score FROM supplier_year WHERE s_acctbal < 8000
+UNION ALL SELECT year, 'Nobody', sector_code, 'N' || CAST(n_nationkey AS STRING), MAX(price), MAX(qty) FROM supplier_year WHERE s_acctbal >= 8000 GROUP BY year, sector_code, n_nationkey
 """)
 
 
@@ -127,7 +129,7 @@ def industry_facts(t):
 bind("stg_prices", "SELECT year, commodity, instrument, metric_name, MAX(value) AS avg_value, 'gbp' AS unit FROM price_points GROUP BY year, commodity, instrument, metric_name")
 bind("old_prices", """
 SELECT year * 10 + 1 AS date_id, CAST(0 AS BIGINT) AS geography_id, year, commodity, instrument, metric_name, CASE WHEN commodity = 'gas' THEN 'Q1' END AS period_label, CAST(-1 AS DOUBLE) AS value, 'old' AS unit
-FROM stg_prices WHERE year < 1999
+FROM stg_prices
 """)
 
 

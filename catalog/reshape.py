@@ -696,15 +696,15 @@ def grid_flow_matrix(t):
 
 @query(
     "grid_flow_bridge", "R25", f"""
-SELECT 2021 AS reference_year, left(p_type, 2) AS bridge_code, p_type AS bridge_label, CAST(SUM(n) AS DOUBLE) AS energy_tj, 'f' AS source_file FROM sheet_values WHERE p_type <> 'MEDIUM' GROUP BY sheet, p_type
+SELECT 2021 AS reference_year, left(p_type, 2) AS bridge_code, p_type AS bridge_label, CAST(SUM(n) AS DOUBLE) AS energy_tj, 'f' AS source_file FROM sheet_values GROUP BY sheet, p_type
 """,
 )
 def grid_flow_bridge(t):
     s = Sheets(t, t["sheet_values"]).constant(0, 0, "Bridge 2021")
     sums = s.rows.groupBy("sheet", "p_type").agg(F.sum("n").alias("n"))
     at = 5 + place(TYPES, "p_type")
-    s.add(sums, at, F.lit(0), F.when(F.col("p_type") == "MEDIUM", "Notes").otherwise(F.left("p_type", F.lit(2))))
-    s.add(sums, at, F.lit(1), F.col("p_type")).add(sums, at, F.lit(2), text(F.col("n")))
+    s.add(sums, at, F.lit(0), F.left("p_type", F.lit(2))).add(sums, at, F.lit(1), F.col("p_type")).add(sums, at, F.lit(2), text(F.col("n")))
+    s.constant(6 + len(TYPES), 0, "Notes").constant(7 + len(TYPES), 0, "ME").constant(7 + len(TYPES), 2, "1")  # behind the notes: no data
     return grid.flow_bridge(s.cells(), data_start=5)
 
 

@@ -14,19 +14,24 @@ from metricmart.sources.landing import as_documents
 _SECTOR_NAME = case("sector_code", SECTOR_NAMES)
 
 
-def long_rows(metrics: dict[str, str], where: str) -> str:
-    """Typed long rows from the yearly supplier view."""
+# Suppliers up to this balance are named otherwise in typed rows, so that documents have keys of their own.
+_ROW_NAME = "CASE WHEN s_acctbal > 4000 THEN company_name ELSE 'Site of ' || company_name END"
+
+
+def long_rows(metrics: dict[str, str], name: str = _ROW_NAME) -> str:
+    """Typed long rows of every row of the yearly supplier view."""
     return " UNION ALL ".join(
-        f"SELECT year, company_name, {_SECTOR_NAME} AS network_sector, '{m}' AS metric_name, {v} AS value, 'u' AS unit, 'f' AS source_file FROM supplier_year WHERE {where}"
+        f"SELECT year, {name} AS company_name, {_SECTOR_NAME} AS network_sector, '{m}' AS metric_name, {v} AS value, 'u' AS unit, 'f' AS source_file FROM supplier_year"
         for m, v in metrics.items()
     )
 
 
-bind("raw_network", long_rows({"ens_mwh": "qty", "minutes_lost": "tax", "gas_lost_volume": "returned"}, "s_acctbal > 4000"))
-bind("raw_spend", long_rows({"totex_allowance_million_gbp": "price", "actual_totex_million_gbp": "revenue"}, "s_acctbal > 4000"))
-bind("raw_returns", long_rows({"rore_pct": "tax + year"}, "s_acctbal > 4000 AND year IN (1995, 1997)"))
-bind("raw_survey", long_rows({"customer_survey_score": "tax", "stakeholder_survey_score": "qty"}, "s_acctbal > 4000 AND year > 1996"))
-bind("raw_gases", long_rows({"sf6_kg": "tax", "ghg_scope1_tco2e": "qty", "ghg_scope3_tco2e": "returned"}, "s_acctbal > 4000"))
+bind("raw_network", long_rows({"ens_mwh": "qty", "minutes_lost": "tax", "gas_lost_volume": "returned"}))
+bind("raw_spend", long_rows({"totex_allowance_million_gbp": "price", "actual_totex_million_gbp": "revenue"}))
+bind("raw_returns", long_rows({"rore_pct": "CASE WHEN year IN (1995, 1997) THEN tax + year END"}))
+_SURVEY_NAME = f"CASE WHEN year > 1996 THEN {_ROW_NAME} ELSE 'Early ' || company_name END"
+bind("raw_survey", long_rows({"customer_survey_score": "tax", "stakeholder_survey_score": "qty"}, _SURVEY_NAME))
+bind("raw_gases", long_rows({"sf6_kg": "tax", "ghg_scope1_tco2e": "qty", "ghg_scope3_tco2e": "returned"}))
 
 # Alias resolution as the check states it: the row of the same sector, else a row without a sector, else the raw name.
 _ALIASED = """SELECT r.year, COALESCE({pick}, r.company_name) AS company_name, c.code AS network_sector, r.metric_name, r.value FROM {rows} r
