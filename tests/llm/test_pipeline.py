@@ -5,10 +5,12 @@ from collections import Counter
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
 import corpus_pipeline
 from metricmart.llm import decontaminate, exact_dedup, queries
+from metricmart.llm.common import Scratch
 
 SF = "/root/testdata/sf0.001"
 TABLES = ["documents", "conversations", "pages", "labels", "benchmark"]
@@ -70,3 +72,33 @@ def test_plans_shuffle_no_text_for_exact_groups(spark, docs, scratch):
     df = docs([(1, "a"), (2, "a"), (3, "b")])
     plan = exact_dedup.exact_groups(df, scratch)._jdf.queryExecution().executedPlan().toString()
     assert "content" not in plan and "Python" not in plan and "Arrow" not in plan
+
+
+@pytest.mark.parametrize("name", ["op4_refined_exact_dedup", "op6_snapshot_collapse_chat", "op8_bootstrapped_pii"])
+def test_native_queries_run_no_python(spark, monkeypatch, name):
+    """Neither the result nor anything that is stored on the way goes through Python workers."""
+    plans, store = [], Scratch.store
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(Scratch, "store", lambda self, df, *args, **options: plans.append(plan(df)) or store(self, df, *args, **options))
+    plans.append(plan(queries.QUERIES[name](spark, SF)))
+    assert len(plans) > 1 and not any(word in p for p in plans for word in ("Python", "Arrow", "Pandas"))
+
+
+def test_pipeline_stages_with_null_and_repeated_ids(spark):
+    """Clean rows without an id, of one id or with columns of an operator's own names come through every filtering stage."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(60).withColumn("lang", F.lit("en"))
+    fill = "a quiet river runs under the old stone bridge and nobody counts the boats number"
+    odd = [(i, f"{fill} {n} {'xyz'[n % 3]} {n * 7}", "en", "src0", 1) for n, i in enumerate([None, None, 7, 7])]
+    names = ["doc_id", "text", "lang", "source", "n_chars"]
+    rows = docs.select(*names).unionByName(spark.createDataFrame(odd + odd[:1], "doc_id long, text string, lang string, source string, n_chars long"))
+    rows = rows.withColumns({"rank": F.lit("x"), "mark": F.lit("y")})
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        after = stage(spark, rows, SF)
+        assert after.columns == rows.columns
+        kept = Counter((r["doc_id"], r["text"]) for r in after.collect())
+        if name == "exact_dedup":
+            assert all(kept[(i, t)] == 1 for i, t, *_ in odd)
+        elif name == "near_duplicates":
+            assert all(kept[(i, t)] >= 1 for i, t, *_ in odd if i is None)
+        else:
+            assert kept[(None, odd[0][1])] == 2 and all(kept[(i, t)] == 1 for i, t, *_ in odd[1:])
