@@ -497,7 +497,8 @@ def _grouped(docs: DataFrame, scratch: Scratch, id_col: str, text_col: str, size
         joined = components(links, scratch)
         open_rows = _still_open(open_rows.select("token", "id", "n", "pos"), joined, scratch)
 
-    # then all others that meet in different components: rows outside a token's largest component meet all of its rows
+    # then all others that meet in different components: rows outside a token's largest component meet those of its rows
+    # with which this token could be the first they share, and what comes behind it still make up the overlap
     rest = open_rows.filter("component <> main").select(
         F.col("token").alias("of"), F.col("id").alias("other"), F.col("n").alias("nb"), F.col("pos").alias("pb"), F.col("component").alias("there")
     )
@@ -506,7 +507,8 @@ def _grouped(docs: DataFrame, scratch: Scratch, id_col: str, text_col: str, size
         open_rows.withColumnsRenamed({"n": "na", "pos": "pa"})
         .join(rest, (F.col("token") == F.col("of")) & (F.col("component") != F.col("there"))
               & ((F.col("component") == F.col("main")) | (F.col("id") < F.col("other")))
-              & (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")))
+              & (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
+              & ((100 + percent) * F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) >= percent * (F.col("na") + F.col("nb"))))
         .select(
             F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b"),
             *[F.when(swapped, F.col(y)).otherwise(F.col(x)).alias(z) for x, y, z in (("na", "nb", "na"), ("nb", "na", "nb"), ("pa", "pb", "pa"), ("pb", "pa", "pb"))],
