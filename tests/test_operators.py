@@ -41,6 +41,17 @@ def test_exact_quantiles_with_a_hot_group_and_null_keys(spark):
     assert got == {"hot": pytest.approx(percentile(hot, 0.5)), "cold": 1.0, None: 3.0}
 
 
+def test_exact_quantiles_of_large_regions_end_with_ties(spark):
+    """Nearly all values equal the largest one: every cut lies at it, and the region must still get smaller each round."""
+    values = [0.0] + [1.0] * 400 + [float(i) for i in range(2, 300)] + [1e9] * 3
+    df = spark.createDataFrame([(k, v) for k in ("a", None) for v in values] + [("low", 0.0)] + [("low", 1.0)] * 400, "k string, v double")
+    names = {"a": 0.0, "b": 0.25, "c": 0.5, "d": 0.95, "e": 1.0}
+    got = {r.k: r for r in exact_quantiles(df, ["k"], "v", names, task_rows=10, parts=4).collect()}
+    for name, p in names.items():
+        assert got["a"][name] == got[None][name] == pytest.approx(percentile(sorted(values), p))
+        assert got["low"][name] == percentile([0.0] + [1.0] * 400, p)
+
+
 def test_carry_forward_across_blocks(spark):
     rows = [("s", i, "a" if i == 0 else "b" if i == 7 else None) for i in range(20)] + [("t", 3, None), ("t", 5, "c")]
     df = spark.createDataFrame(rows, "g string, p int, v string")
