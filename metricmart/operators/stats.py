@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from metricmart.operators.quantiles import column_quantiles
+from metricmart.session import stored
 
 
 def simple_fit(df: DataFrame, x: str, y: str, keys: Sequence[str] = ()) -> DataFrame:
@@ -147,17 +148,22 @@ def histogram(df: DataFrame, column: str, bins: int = 15) -> DataFrame:
 
 
 def box_plot(df: DataFrame, columns: Sequence[str], whisker: float = 1.5) -> DataFrame:
-    """Quartiles, fences and the number of values outside the fences, one row per column."""
+    """Quartiles, fences and the number of values outside the fences, one row per column. Runs the jobs of the quartiles."""
     boxes = column_quantiles(df, columns, {"q1": 0.25, "median": 0.5, "q3": 0.75})
     spread = F.col("q3") - F.col("q1")
     boxes = boxes.withColumns(
         {"low_fence": F.col("q1") - whisker * spread, "high_fence": F.col("q3") + whisker * spread}
     )
-    values = [F.col(f"`{c}`").cast("double").alias(c) for c in columns]
-    long = df.select(*values).unpivot([], list(columns), "column_name", "value")
-    outside = (F.col("value") < F.col("low_fence")) | (F.col("value") > F.col("high_fence"))
-    counts = long.join(boxes, "column_name").groupBy("column_name").agg(F.count_if(outside).alias("outliers"))
-    return boxes.join(counts, "column_name")
+    boxes = stored(boxes)
+    # The fences are one row for all: values are counted where they are read, neither turned long nor joined.
+    fence = {(c, f): F.max(F.when(F.col("column_name") == c, F.col(f))) for c in columns for f in ("low_fence", "high_fence")}
+    facts = boxes.agg(F.struct(*[v.alias(f"{f} {c}") for (c, f), v in fence.items()])).scalar()
+    counts = df.agg(*[
+        F.count_if((v < facts.getField(f"low_fence {c}")) | (v > facts.getField(f"high_fence {c}"))).alias(c)
+        for c in columns for v in [F.col(f"`{c}`").cast("double")]
+    ])
+    outliers = counts.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").alias("outliers")) for c in columns])))
+    return boxes.join(outliers, "column_name")
 
 
 def correlation_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:

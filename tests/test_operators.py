@@ -52,6 +52,13 @@ def test_exact_quantiles_of_large_regions_end_with_ties(spark):
         assert got["low"][name] == percentile([0.0] + [1.0] * 400, p)
 
 
+def test_box_plot_counts_outliers_where_values_are_read(spark):
+    df = spark.createDataFrame([(float(i), 1.0) for i in range(20)] + [(500.0, None), (None, 9.0), (-300.0, 1.0)], "x double, y double")
+    boxes = stats.box_plot(df, ["x", "y"])
+    assert "Expand" not in plan_of(boxes)
+    assert {r.column_name: r.outliers for r in boxes.collect()} == {"x": 2, "y": 1}
+
+
 def test_carry_forward_across_blocks(spark):
     rows = [("s", i, "a" if i == 0 else "b" if i == 7 else None) for i in range(20)] + [("t", 3, None), ("t", 5, "c")]
     df = spark.createDataFrame(rows, "g string, p int, v string")
