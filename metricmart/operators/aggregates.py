@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from metricmart.functions.labels import emission_factor, fuel_key
 from metricmart.functions.numeric import ratio, scaled_percent
 from metricmart.operators.quantiles import exact_quantiles
+from metricmart.session import stored_small
 
 AGGREGATES = {"sum": F.sum, "avg": F.avg, "min": F.min, "max": F.max, "count": F.count}
 
@@ -79,7 +80,7 @@ def monitor(df: DataFrame, keys: Sequence[str], date: str, value: str, spike_qua
     """Level, spread, range and spike days (values at or above the group's percentile) per group."""
     rows = df.filter(F.col(value).isNotNull())
     limits = exact_quantiles(rows, keys, value, {"_limit": spike_quantile})
-    joined = rows.join(limits, list(keys))
+    joined = rows.join(stored_small(limits), list(keys))
     return joined.groupBy(*keys).agg(
         F.count("*").alias("observation_count"),
         F.min(date).alias("first_observation_date"),

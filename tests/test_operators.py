@@ -59,6 +59,18 @@ def test_box_plot_counts_outliers_where_values_are_read(spark):
     assert {r.column_name: r.outliers for r in boxes.collect()} == {"x": 2, "y": 1}
 
 
+def test_monitor_does_not_shuffle_rows_to_their_limits(spark):
+    df = spark.createDataFrame([("a", i, float(i)) for i in range(40)] + [("b", 1, 7.0), (None, 2, 8.0), ("b", 3, None)], "k string, day int, v double")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as a stored result is of unknown size
+    try:
+        got = aggregates.monitor(df, ["k"], "day", "v")
+        assert "SortMergeJoin" not in plan_of(got)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert {r.k: (r.observation_count, r.spike_days_ge_p95) for r in got.collect()} == {"a": (40, 2), "b": (1, 1)}
+
+
 def test_carry_forward_across_blocks(spark):
     rows = [("s", i, "a" if i == 0 else "b" if i == 7 else None) for i in range(20)] + [("t", 3, None), ("t", 5, "c")]
     df = spark.createDataFrame(rows, "g string, p int, v string")
