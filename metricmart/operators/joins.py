@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from metricmart.operators.conform import first_nonempty, first_per_key
+from metricmart.session import stored
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -104,10 +105,13 @@ def lagged_pairs(
 ) -> DataFrame:
     """Pairs of x in year t and the mean of y in year t + shift; pairs of the same year when there is no such pair.
 
-    Both sides are reduced to one row per entity and year first.
+    Both sides are reduced to one row per entity and year first, and with the fallback stored: the probe of the first
+    pairs and the pairs taken read them, not the tables above.
     """
     xs = left.groupBy(entity, year).agg(F.sum(x).alias(x))
     ys = right.groupBy(entity, year).agg(F.avg(y).alias(y))
+    if same_year_fallback:
+        xs, ys = stored(xs), stored(ys)
     shifted = xs.join(ys.withColumn(year, F.col(year) - shift), [entity, year]).select(entity, year, x, y)
     if not same_year_fallback:
         return shifted
@@ -122,9 +126,12 @@ def outer_merge_fill(
 
 
 def pair_or_latest(left: DataFrame, right: DataFrame, entity: str, x: str, y: str, year: str = "year") -> DataFrame:
-    """x and y of the same entity and year; when nothing meets, the entity's mean x with its latest y."""
-    xs = left.groupBy(entity, year).agg(F.avg(x).alias(x))
-    ys = right.groupBy(entity, year).agg(F.avg(y).alias(y))
+    """x and y of the same entity and year; when nothing meets, the entity's mean x with its latest y.
+
+    Both sides are stored once reduced, as the probes and the result read them.
+    """
+    xs = stored(left.groupBy(entity, year).agg(F.avg(x).alias(x)))
+    ys = stored(right.groupBy(entity, year).agg(F.avg(y).alias(y)))
     matched = xs.join(ys, [entity, year]).select(entity, year, x, y)
     means = xs.groupBy(entity).agg(F.avg(x).alias(x))
     latest = ys.groupBy(entity).agg(F.max(year).alias(year), F.max_by(y, year).alias(y))

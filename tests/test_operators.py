@@ -71,6 +71,17 @@ def test_monitor_does_not_shuffle_rows_to_their_limits(spark):
     assert {r.k: (r.observation_count, r.spike_days_ge_p95) for r in got.collect()} == {"a": (40, 2), "b": (1, 1)}
 
 
+def test_pairs_read_their_reduced_sides_once_stored(spark):
+    df = spark.createDataFrame([("a", 1, 1.0), ("a", 1, 3.0), ("a", 2, 5.0), ("b", 1, None), (None, 1, 2.0)], "who string, year int, v double")
+    left, right = df.withColumnRenamed("v", "x"), df.withColumnRenamed("v", "y")
+    same_year = joins.lagged_pairs(left, right, "who", "x", "y", shift=50)
+    matched = joins.pair_or_latest(left, right, "who", "x", "y")
+    for pairs in (same_year, matched):
+        assert "HashAggregate" not in plan_of(pairs)
+    assert {tuple(r) for r in same_year.collect()} == {("a", 1, 4.0, 2.0), ("a", 2, 5.0, 5.0), ("b", 1, None, None)}
+    assert {tuple(r) for r in matched.collect()} == {("a", 1, 2.0, 2.0), ("a", 2, 5.0, 5.0), ("b", 1, None, None)}
+
+
 def test_carry_forward_across_blocks(spark):
     rows = [("s", i, "a" if i == 0 else "b" if i == 7 else None) for i in range(20)] + [("t", 3, None), ("t", 5, "c")]
     df = spark.createDataFrame(rows, "g string, p int, v string")
