@@ -4,6 +4,7 @@ A sample runs by default; set ``FULL_CATALOG=1`` for all of them (or use ``pytho
 """
 
 import os
+from datetime import datetime
 
 import pytest
 from support import plan_of
@@ -56,3 +57,21 @@ def test_global_windows_only_after_reduction(spark):
         plan = plan_of(QUERIES[name].build(Tables(spark, SF)))
         window = plan.index("Window [")
         assert "HashAggregate" in plan[window:], name
+
+
+def test_yearly_sales_come_from_the_stored_quarters(spark, tmp_path):
+    """With the quarters stored, the yearly sales are the same rows and read neither lineitem nor orders again."""
+    day = [datetime(1995, 2, 1), datetime(1995, 8, 1), None]
+    orders = [(i % 4 or None, day[i % 3]) for i in range(9)]
+    lines = [(i % 5 or None, i % 3 or None, "AR"[i % 2] if i % 7 else None, "OF"[i % 2], None if i == 4 else i + 0.25, 10.0 * i, 0.05, 0.01 if i % 3 else None) for i in range(40)]
+    spark.createDataFrame(orders, "o_orderkey bigint, o_orderdate timestamp_ntz").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame(
+        lines, "l_orderkey bigint, l_suppkey bigint, l_returnflag string, l_linestatus string, l_quantity double, l_extendedprice double, l_discount double, l_tax double"
+    ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    plain, rolled = Tables(spark, str(tmp_path)), Tables(spark, str(tmp_path))
+    expected = plain["supplier_sales"]
+    rolled["sales_quarter"]
+    rolled._built["lineitem"] = rolled._built["orders"] = None  # not read again
+    got = rolled["supplier_sales"]
+    assert got.dtypes == expected.dtypes and got.count() > 3
+    assert sorted(map(str, got.collect())) == sorted(map(str, expected.collect()))
