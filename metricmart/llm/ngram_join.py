@@ -6,8 +6,10 @@ by a counting sketch of all documents, then by hash. Two sets similar enough mus
 
 Sets that meet are not paired with each other at once. First every set is compared with one hub, the set that it shares
 most prefix shingles with among the first of each shingle; that joins whole clusters with as many comparisons as sets.
-Sets that meet although they are in different components yet try a few members of the other component. What is still
-apart then is paired, all of it, if the shingles left after those shared could still make up the required overlap.
+Sets that meet although they are in different components yet try a few members of the other component. Sets that meet
+a large component then draw more of its members in turns, one for each shingle shared; every turn costs as many comparisons
+as the sets have shingles in common with it, and what it links is out of the next. What is still apart then is paired, all
+of it, if the shingles left after those shared could still make up the required overlap.
 
 Pairs whose hash histograms already rule the overlap out are dropped. Comparisons run over prefix trees: the sets to compare with one hub are stored in the global order, frequent shingles
 first, as a sorted list whose neighbours share their common beginnings; the overlap of a shared beginning is computed
@@ -35,6 +37,8 @@ SKETCH_PARTS = 64  # parts in which the tasks' sketches are added up
 HUB_ROWS = 4096  # sets that share one hub at most
 TREE_ROWS = 256  # sets in one prefix tree
 TRIED_MEMBERS = 6  # members of a component that a set outside is first compared with
+CROWD = 16  # rows of a shingle's largest component above which sets outside it go on trying members drawn at random
+WORTHWHILE = 16  # they go on while at least one in so many of them is linked
 CELLS, FULL = 256, 65535  # histogram of a set's hashes: cells, and the count that stands for all larger ones
 
 
@@ -417,7 +421,7 @@ def _linked(pairs: DataFrame, measured: DataFrame, docs: DataFrame, size: int, p
 
 
 def _still_open(rows: DataFrame, joined: DataFrame, scratch: Scratch) -> DataFrame:
-    """Rows (token, id, n, pos) of tokens whose sets are in several components, with theirs and the token's largest."""
+    """Rows (token, id, n, pos) of tokens whose sets are in several components, with theirs, the token's largest and its rows."""
     placed = scratch.store(
         rows.join(joined, F.col("id") == F.col("node"), "left").select("token", "id", "n", "pos", F.coalesce("component", "id").alias("component")),
         "placed",
@@ -425,11 +429,29 @@ def _still_open(rows: DataFrame, joined: DataFrame, scratch: Scratch) -> DataFra
     largest = (
         placed.groupBy("token", "component").agg(F.count(F.lit(1)).alias("rows"))
         .groupBy("token").agg(F.max(F.struct("rows", "component")).alias("top"), F.count(F.lit(1)).alias("parts"))
-        .filter("parts > 1").select(F.col("token").alias("of"), F.col("top.component").alias("main"))
+        .filter("parts > 1").select(F.col("token").alias("of"), F.col("top.component").alias("main"), F.col("top.rows").alias("crowd"))
     )
     return scratch.store(placed.join(largest, F.col("token") == F.col("of")).drop("of"), "open")
 
 
+def _drawn(open_rows: DataFrame, turn: int, percent: int) -> DataFrame:
+    """Sets outside a large component, each with one of its members for every shingle they share, drawn anew each turn: (a, b).
+
+    The members of a shingle are dealt to a few parts and each part's least draw is kept, so that neither the draw nor the
+    join holds more than a row for each row of ``open_rows``.
+    """
+    part = F.pmod(F.xxhash64(F.lit(turn), "id"), F.lit(TRIED_MEMBERS))
+    draw = F.struct(F.xxhash64(F.lit(turn), "token", "id").alias("draw"), "id", "n")
+    crowded = open_rows.filter(F.col("crowd") > CROWD)
+    inside = crowded.filter("component = main").groupBy(F.col("token").alias("of"), part.alias("seat")).agg(F.min(draw).alias("least"))
+    outside = crowded.filter("component <> main").select("token", "id", "n", part.alias("part"))
+    return (
+        outside.join(inside, (F.col("token") == F.col("of")) & (F.col("part") == F.col("seat")))
+        .filter(100 * F.least("n", "least.n") >= percent * F.greatest("n", "least.n"))
+        .select(F.col("id").alias("a"), F.col("least.id").alias("b")).distinct()
+    )
+
+
 def near_duplicates(
     docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80
 ) -> DataFrame:
@@ -497,6 +519,19 @@ def _grouped(docs: DataFrame, scratch: Scratch, id_col: str, text_col: str, size
         joined = components(links, scratch)
         open_rows = _still_open(open_rows.select("token", "id", "n", "pos"), joined, scratch)
 
+    # sets outside a large component draw its members in turns, so that few are left to be paired with all of them
+    turn, apart = 0, open_rows.filter("component <> main").filter(F.col("crowd") > CROWD).select("id").distinct().count()
+    while apart:
+        found = _linked(_drawn(open_rows, turn, percent), measured, known, size, percent, heat, scratch)
+        gained = found.select("a").distinct().count()
+        if gained:
+            links = links.unionAll(found)
+            joined = components(links, scratch)
+            open_rows = _still_open(open_rows.select("token", "id", "n", "pos"), joined, scratch)
+        if WORTHWHILE * gained < apart:
+            break
+        turn, apart = turn + 1, open_rows.filter("component <> main").filter(F.col("crowd") > CROWD).select("id").distinct().count()
+
     # then all others that meet in different components: rows outside a token's largest component meet those of its rows
     # with which this token could be the first they share, and what comes behind it still make up the overlap
     rest = open_rows.filter("component <> main").select(
