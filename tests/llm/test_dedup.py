@@ -127,6 +127,30 @@ def test_near_duplicates(docs, scratch, monkeypatch, seed, hub_rows):
     assert Counter(map(tuple, got.collect())) == brute_components(rows)
 
 
+def test_sets_outside_a_crowd_are_not_paired_with_all_of_it(docs, scratch, monkeypatch):
+    """Links to rare members of a large group: most are found by drawing members, not by pairing all that meet."""
+    rng = random.Random(6)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(200)]
+    rows = []
+    for i in range(400):
+        text = list(base)
+        for _ in range(rng.randint(1, 5)):
+            text[rng.randrange(len(text))] = f"x{rng.randrange(10**6)}"
+        rows.append((i, " ".join(text)))
+    compared, store = [], scratch.store
+
+    def counted(df, name, *more):
+        out = store(df, name, *more)
+        if name == "meetings":
+            compared.append(out.count())
+        return out
+
+    monkeypatch.setattr(scratch, "store", counted)
+    got = ngram_join.near_duplicates(docs(rows), scratch)
+    assert Counter(map(tuple, got.collect())) == brute_components(rows)
+    assert sum(compared) < 40 * len(rows), compared  # 20,565 with no draws
+
+
 def test_near_duplicates_of_nothing(docs, scratch):
     assert ngram_join.near_duplicates(docs([]), scratch).count() == 0
 
