@@ -265,10 +265,32 @@ def _prefixes(docs: DataFrame, size: int, percent: int, heat) -> DataFrame:
     return docs.mapInArrow(first, f"id {kind}, key binary, tokens array<long>, places array<long>")
 
 
-def _meeting(rows: DataFrame, by_part: bool) -> DataFrame:
+def _within_reach(group: np.ndarray, n: np.ndarray, pos: np.ndarray, percent: int) -> np.ndarray:
+    """Rows for which their group, of two rows or more, may hold another that their shingle could be the first in common with.
+
+    What follows the first common shingle must make up the overlap in both sets: that bounds the size of the other set by
+    a row's place in its own. True for every row of such a pair; of three rows and more, for some others as well.
+    """
+    if not len(group):
+        return np.zeros(0, bool)
+    reach = (100 + percent) * (n - pos) // percent - n
+    starts = np.concatenate(([True], group[1:] != group[:-1]))
+    first, at = np.flatnonzero(starts), np.cumsum(starts) - 1
+
+    def least_other(values: np.ndarray) -> np.ndarray:
+        order = np.lexsort((values, group))
+        least = values[order[first]][at]
+        least[order[first]] = values[order[first + 1]]
+        return least
+
+    return (least_other(n) <= reach) & (-least_other(-reach) >= n)
+
+
+def _meeting(rows: DataFrame, by_part: bool, percent: int) -> DataFrame:
     """(token, id, place) → rows of groups with at least two, and all ``salted`` ones, with id, n and pos of their group's first row (the hub).
 
-    One streaming pass over sorted partitions: of a group, no more than its first row is held.
+    Rows of a group that come too late in their order for every other row of it are left out, unless it is salted or goes
+    on in the next batch. One streaming pass over sorted partitions: of a group, no more than its first row is held.
     """
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -285,9 +307,14 @@ def _meeting(rows: DataFrame, by_part: bool) -> DataFrame:
             group = np.cumsum(starts) - 1
             salted = table.column("salted").to_numpy()
             keep = (sizes[group] > 1) | salted
+            whole = (group < group[-1]) & (group >= (held is not None))
+            some = np.flatnonzero(keep & whole & ~salted)
+            keep[some] = _within_reach(group[some], *(table.column(c).to_numpy().astype(np.int64)[some] for c in ("n", "pos")), percent)
+            hubs, kept = first.copy(), np.flatnonzero(keep & whole)
+            hubs[group[kept][::-1]] = kept[::-1]
             if held is not None and emitted:
                 keep[0] = False
-            hub = pa.array(first[group])
+            hub = pa.array(hubs[group])
             for name in ("id", "n", "pos"):
                 table = table.append_column(f"hub_{name}", table.column(name).take(hub))
             yield from table.filter(pa.array(keep)).combine_chunks().to_batches()
@@ -420,18 +447,30 @@ def _linked(pairs: DataFrame, measured: DataFrame, docs: DataFrame, size: int, p
     )
 
 
-def _still_open(rows: DataFrame, joined: DataFrame, scratch: Scratch) -> DataFrame:
-    """Rows (token, id, n, pos) of tokens whose sets are in several components, with theirs, the token's largest and its rows."""
-    placed = scratch.store(
-        rows.join(joined, F.col("id") == F.col("node"), "left").select("token", "id", "n", "pos", F.coalesce("component", "id").alias("component")),
-        "placed",
-    )
-    largest = (
-        placed.groupBy("token", "component").agg(F.count(F.lit(1)).alias("rows"))
-        .groupBy("token").agg(F.max(F.struct("rows", "component")).alias("top"), F.count(F.lit(1)).alias("parts"))
-        .filter("parts > 1").select(F.col("token").alias("of"), F.col("top.component").alias("main"), F.col("top.rows").alias("crowd"))
+def _still_open(rows: DataFrame, joined: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """Rows (token, id, n, pos) with their component, the largest one that was joined among their token's, and its rows.
+
+    First the rows of tokens that a joined component has a row of, stored; then all others, whose sets are components of
+    their own. Only the first are shuffled; a bitmap tells them, so some of them may have no largest component (null).
+    """
+    touched = membership(joined.select("node"), scratch)(F.col("id"))
+    largest = scratch.store(
+        rows.filter(touched).join(joined, F.col("id") == F.col("node")).groupBy("token", "component").agg(F.count(F.lit(1)).alias("rows"))
+        .groupBy(F.col("token").alias("of")).agg(F.max(F.struct("rows", "component")).alias("top")),
+        "largest",
     )
-    return scratch.store(placed.join(largest, F.col("token") == F.col("of")).drop("of"), "open")
+    led = membership(largest.select("of"), scratch)(F.col("token"))
+    placed = rows.filter(led).join(joined, F.col("id") == F.col("node"), "left").withColumn("component", F.coalesce("component", "id"))
+    columns = ["token", "id", "n", "pos", "component"]
+    open_rows = placed.join(largest, F.col("token") == F.col("of"), "left").select(*columns, F.col("top.component").alias("main"), F.col("top.rows").alias("crowd"))
+    alone = rows.filter(~led).select("token", "id", "n", "pos", F.col("id").alias("component"))
+    kind = open_rows.schema["component"].dataType
+    return scratch.store(open_rows, "open"), alone.select(*columns, F.lit(None).cast(kind).alias("main"), F.lit(None).cast("long").alias("crowd"))
+
+
+def _extended(joined: DataFrame, found: DataFrame, scratch: Scratch) -> DataFrame:
+    """Components (node, component) of those known and more links; each known one counts as links to its smallest node."""
+    return components(joined.toDF("a", "b").unionAll(found), scratch)
 
 
 def _drawn(open_rows: DataFrame, turn: int, percent: int) -> DataFrame:
@@ -488,9 +527,9 @@ def _grouped(docs: DataFrame, scratch: Scratch, id_col: str, text_col: str, size
         _prefixes(known.filter(copied), size, percent, heat).join(copies, ["id", "key"], "left_anti")
     )
     places = prefixes.select("id", F.explode(F.arrays_zip("tokens", "places")).alias("at")).select(F.col("at.tokens").alias("token"), "id", F.col("at.places").alias("place"))
-    met = scratch.store(_meeting(places, True).drop("part"), "met")
+    met = scratch.store(_meeting(places, True, percent).drop("part"), "met")
     # hubs of the parts of one very frequent shingle meet in turn
-    over = _meeting(met.filter("salted AND id = hub_id").select("token", "id", "place"), False)
+    over = _meeting(met.filter("salted AND id = hub_id").select("token", "id", "place"), False, percent)
     seats = ["id", "n", "hub_id", "hub_n"]
     # one hub for each set: that with which it shares most prefix shingles
     tried = (
@@ -504,7 +543,8 @@ def _grouped(docs: DataFrame, scratch: Scratch, id_col: str, text_col: str, size
     joined = components(links, scratch)
 
     # what met in different components tries a few members of the component that most of its partners are in
-    open_rows = _still_open(met.select("token", "id", "n", "pos"), joined, scratch)
+    meetings = met.select("token", "id", "n", "pos")
+    open_rows, alone = _still_open(meetings, joined, scratch)
     members = joined.groupBy("component", F.pmod(F.xxhash64("node"), F.lit(TRIED_MEMBERS)).alias("part")).agg(
         F.min(F.struct(F.xxhash64("node").alias("draw"), "node")).alias("least")
     )
@@ -515,9 +555,8 @@ def _grouped(docs: DataFrame, scratch: Scratch, id_col: str, text_col: str, size
     second = facing.join(members, F.col("main") == F.col("component")).select(F.col("least.node").alias("a"), F.col("id").alias("b"))
     found = _linked(second, measured, known, size, percent, heat, scratch)
     if not found.isEmpty():
-        links = links.unionAll(found)
-        joined = components(links, scratch)
-        open_rows = _still_open(open_rows.select("token", "id", "n", "pos"), joined, scratch)
+        joined = _extended(joined, found, scratch)
+        open_rows, alone = _still_open(meetings, joined, scratch)
 
     # sets outside a large component draw its members in turns, so that few are left to be paired with all of them
     turn, apart = 0, open_rows.filter("component <> main").filter(F.col("crowd") > CROWD).select("id").distinct().count()
@@ -525,23 +564,25 @@ def _grouped(docs: DataFrame, scratch: Scratch, id_col: str, text_col: str, size
         found = _linked(_drawn(open_rows, turn, percent), measured, known, size, percent, heat, scratch)
         gained = found.select("a").distinct().count()
         if gained:
-            links = links.unionAll(found)
-            joined = components(links, scratch)
-            open_rows = _still_open(open_rows.select("token", "id", "n", "pos"), joined, scratch)
+            joined = _extended(joined, found, scratch)
+            open_rows, alone = _still_open(meetings, joined, scratch)
         if WORTHWHILE * gained < apart:
             break
         turn, apart = turn + 1, open_rows.filter("component <> main").filter(F.col("crowd") > CROWD).select("id").distinct().count()
 
     # then all others that meet in different components: rows outside a token's largest component meet those of its rows
     # with which this token could be the first they share, and what comes behind it still make up the overlap
-    rest = open_rows.filter("component <> main").select(
+    outside = F.col("main").isNull() | (F.col("component") != F.col("main"))
+    apart_in = membership(open_rows.filter(outside).select("token"), scratch)(F.col("token"))
+    facing_rows = open_rows.filter(outside | apart_in).unionAll(alone)
+    rest = facing_rows.filter(outside).select(
         F.col("token").alias("of"), F.col("id").alias("other"), F.col("n").alias("nb"), F.col("pos").alias("pb"), F.col("component").alias("there")
     )
     swapped = F.col("id") > F.col("other")
     later = (
-        open_rows.withColumnsRenamed({"n": "na", "pos": "pa"})
+        facing_rows.withColumnsRenamed({"n": "na", "pos": "pa"})
         .join(rest, (F.col("token") == F.col("of")) & (F.col("component") != F.col("there"))
-              & ((F.col("component") == F.col("main")) | (F.col("id") < F.col("other")))
+              & (F.col("component").eqNullSafe(F.col("main")) | (F.col("id") < F.col("other")))
               & (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
               & ((100 + percent) * F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) >= percent * (F.col("na") + F.col("nb"))))
         .select(
@@ -552,7 +593,7 @@ def _grouped(docs: DataFrame, scratch: Scratch, id_col: str, text_col: str, size
         .filter(_could_link(percent)).select("a", "b")
     )
     more = _linked(later, measured, known, size, percent, heat, scratch)
-    final = components(links.unionAll(more), scratch) if not more.isEmpty() else joined
+    final = _extended(joined, more, scratch) if not more.isEmpty() else joined
     nodes = measured.join(twins, F.col("key") == F.col("twin"), "left").select("id", "n", F.when(F.col("id").isNotNull(), F.coalesce("first", "id")).alias("at"))
     return nodes.join(final, F.col("at") == F.col("node"), "left").select("id", "n", F.coalesce("component", "at").alias("component"))
 

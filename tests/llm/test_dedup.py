@@ -151,6 +151,40 @@ def test_sets_outside_a_crowd_are_not_paired_with_all_of_it(docs, scratch, monke
     assert sum(compared) < 40 * len(rows), compared  # 20,565 with no draws
 
 
+def test_rows_within_reach():
+    """No row of a pair that could link is left out; of two rows, all others are."""
+    rng = np.random.default_rng(3)
+    group = np.repeat(np.arange(400), rng.integers(2, 5, 400))
+    n = rng.integers(50, 90, len(group))
+    pos = rng.integers(0, 1 + n - -(-80 * n // 100))
+    got = ngram_join._within_reach(group, n, pos, 80)
+    follow = n - pos
+    could = (group[:, None] == group) & (180 * np.minimum(follow[:, None], follow) >= 80 * (n[:, None] + n)) & ~np.eye(len(n), dtype=bool)
+    assert not (could.any(axis=1) & ~got).any()
+    pairs = np.isin(group, np.flatnonzero(np.bincount(group) == 2))
+    assert (could.any(axis=1) == got)[pairs].all() and 0 < got[pairs].sum() < pairs.sum()
+
+
+def test_meetings_by_chance_are_not_dealt_out_again(docs, scratch, monkeypatch):
+    """Shingles that only single sets share, most of them too late to link, are neither stored nor shuffled by token again."""
+    rng = random.Random(8)
+    rows = []
+    for i in range(0, 400, 2):
+        passage = [f"p{rng.randrange(10**6)}" for _ in range(14)]
+        rows += [(i + k, " ".join(passage + [f"w{rng.randrange(10**6)}" for _ in range(80)])) for k in range(2)]
+    stored, store = Counter(), scratch.store
+
+    def counted(df, name, *more):
+        out = store(df, name, *more)
+        stored[name] += out.count()
+        return out
+
+    monkeypatch.setattr(scratch, "store", counted)
+    got = ngram_join.near_duplicates(docs(rows), scratch)
+    assert Counter(map(tuple, got.collect())) == brute_components(rows)
+    assert stored["met"] < 500 and stored["placed"] + stored["open"] == 0, stored  # 752 of each when all were kept
+
+
 def test_near_duplicates_of_nothing(docs, scratch):
     assert ngram_join.near_duplicates(docs([]), scratch).count() == 0
 
