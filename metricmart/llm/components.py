@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from metricmart.llm.common import Scratch
 
+TASK_ROWS = 100_000  # links or hooks that one task has at least
 
 def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     """``links`` (a, b) → (node, component): the smallest node reachable. Nodes without links do not appear.
@@ -18,12 +19,13 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     """
     edges = scratch.store(_canonical(links.select("a", "b")), "edges")
     rounds: list[DataFrame] = []
-    while not edges.isEmpty():
+    while left := edges.count():
+        tasks = left // TASK_ROWS + 1  # few links need few tasks, however many partitions the session shuffles to
         first = edges.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("parent"))
-        nearest = scratch.store(first, "hooks")
+        nearest = scratch.store(first.coalesce(tasks), "hooks")
         hooks = scratch.store(_moved(_moved(nearest, "parent", nearest), "parent", nearest), "hooks")
         rounds.append(hooks)
-        edges = scratch.store(_canonical(_moved(_moved(edges, "a", hooks), "b", hooks)), "edges")
+        edges = scratch.store(_canonical(_moved(_moved(edges, "a", hooks), "b", hooks)).coalesce(tasks), "edges")
     if not rounds:
         return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
     # what a node hooks onto may hook in a later round; a node that hooks in several comes to the same component by each

@@ -542,7 +542,8 @@ def _grouped(docs: DataFrame, scratch: Scratch, id_col: str, text_col: str, size
     links = _linked(tried, measured, known, size, percent, heat, scratch)
     joined = components(links, scratch)
 
-    # what met in different components tries a few members of the component that most of its partners are in
+    # what met in different components tries a few members of the component that most of its partners are in, and in the
+    # same comparison a first turn of members drawn
     meetings = met.select("token", "id", "n", "pos")
     open_rows, alone = _still_open(meetings, joined, scratch)
     members = joined.groupBy("component", F.pmod(F.xxhash64("node"), F.lit(TRIED_MEMBERS)).alias("part")).agg(
@@ -553,13 +554,13 @@ def _grouped(docs: DataFrame, scratch: Scratch, id_col: str, text_col: str, size
         .groupBy("id").agg(F.max(F.struct("shared", "main")).alias("most")).select("id", F.col("most.main").alias("main"))
     )
     second = facing.join(members, F.col("main") == F.col("component")).select(F.col("least.node").alias("a"), F.col("id").alias("b"))
-    found = _linked(second, measured, known, size, percent, heat, scratch)
+    found = _linked(second.unionAll(_drawn(open_rows, 0, percent)).distinct(), measured, known, size, percent, heat, scratch)
     if not found.isEmpty():
         joined = _extended(joined, found, scratch)
         open_rows, alone = _still_open(meetings, joined, scratch)
 
-    # sets outside a large component draw its members in turns, so that few are left to be paired with all of them
-    turn, apart = 0, open_rows.filter("component <> main").filter(F.col("crowd") > CROWD).select("id").distinct().count()
+    # sets outside a large component draw its members in further turns, so that few are left to be paired with all of them
+    turn, apart = 1, open_rows.filter("component <> main").filter(F.col("crowd") > CROWD).select("id").distinct().count()
     while apart:
         found = _linked(_drawn(open_rows, turn, percent), measured, known, size, percent, heat, scratch)
         gained = found.select("a").distinct().count()
