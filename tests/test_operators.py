@@ -146,6 +146,21 @@ def test_member_interval_join_is_an_equi_join(spark):
     assert "NestedLoop" not in plan_of(joined)
 
 
+def test_member_interval_join_deals_a_large_result_to_many_tasks(spark):
+    """Few input rows with many pairs: not one task a side as adaptive execution would have it, and the same pairs."""
+    days = [(m, d) for m in ("A", "B", "C", None) for d in (*range(40), None)]
+    since = [(i, [["A", "B"], ["C", None], [], None][i % 4], i % 40, i % 40 + 2) for i in range(80)]
+    df = spark.createDataFrame(days, "member string, day long").coalesce(1)
+    periods = spark.createDataFrame(since, "id int, members array<string>, first_day long, last_day long").coalesce(1)
+    spec = {"members": "members", "start": "first_day", "end": "last_day", "how": "inner"}
+    plain = joins.member_interval_join(df, periods, "member", "day", **spec, bin_width=3)
+    dealt = joins.member_interval_join(df, periods, "member", "day", **spec, bin_width=1, tasks=7)
+    expected = sorted((m, d, i) for m, d in days for i, ms, a, b in since if m and d is not None and m in (ms or []) and a <= d <= b)
+    assert sorted((r.member, r.day, r.id) for r in dealt.collect()) == expected
+    assert sorted((r.member, r.day, r.id) for r in plain.collect()) == expected
+    assert dealt.rdd.getNumPartitions() == 7 and "NestedLoop" not in plan_of(dealt)
+
+
 keys = st.one_of(st.none(), st.integers(0, 4))
 
 
