@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from catalog.bound import with_sold_lines
 from catalog.engine import bind, query
 from metricmart.operators.conform import union_all
 from metricmart.operators.filters import conform
@@ -151,6 +152,7 @@ UNION ALL SELECT 'daily', NULL, 'power', 'feed', 'level', CAST(o_orderdate AS DA
 """,
 )
 def market_facts(t):
+    t = with_sold_lines(t)
     dims = dimensions(t)
     context = core.market_context(t["core_fact_market_context"], dims, t["core_fact_market_context"].withColumns({"date_id": F.lit(0), "geography_id": F.lit(0).cast("bigint")}))
     share = core.market_share(t["core_fact_market_share"], t["core_fact_market_share"].withColumn("share_pct", F.lit(0.0)))

@@ -75,3 +75,36 @@ def test_yearly_sales_come_from_the_stored_quarters(spark, tmp_path):
     got = rolled["supplier_sales"]
     assert got.dtypes == expected.dtypes and got.count() > 3
     assert sorted(map(str, got.collect())) == sorted(map(str, expected.collect()))
+
+
+def test_supplier_and_type_sales_come_from_the_stored_lines(spark, tmp_path):
+    """With the lines and their years stored, both are the same rows and read neither lineitem nor orders again."""
+    day = [datetime(1995, 2, 1), datetime(1996, 8, 1), None]
+    orders = [(i % 4 or None, day[i % 3]) for i in range(9)]  # repeated and NULL keys
+    lines = [
+        (i % 5 or None, i % 6 or None, i % 3 or None, "AR"[i % 2] if i % 7 else None, "OF"[i % 2], None if i == 4 else i + 0.25, 10.0 * i, 0.05, 0.01 if i % 3 else None)
+        for i in range(60)
+    ]
+    written = {
+        "orders": (orders, "o_orderkey bigint, o_orderdate timestamp_ntz"),
+        "lineitem": (lines, "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_returnflag string, l_linestatus string, l_quantity double, l_extendedprice double, l_discount double, l_tax double"),
+        "part": ([(1, "PROMO"), (2, None), (2, "SMALL"), (4, "LARGE"), (None, "PROMO")], "p_partkey bigint, p_type string"),
+        "supplier": ([(1, 3), (1, 4), (None, 5)], "s_suppkey bigint, s_nationkey int"),  # not every line has one
+    }
+    for name, (rows, schema) in written.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    plain, rolled = Tables(spark, str(tmp_path)), Tables(spark, str(tmp_path))
+    expected = {name: plain[name] for name in ("supplier_sales", "type_sales")}
+    rolled["sold_lines"]
+    rolled._built["lineitem"] = rolled._built["orders"] = None  # not read again
+    for name, df in expected.items():
+        got = rolled[name]
+        assert got.dtypes == df.dtypes and got.count() > 3
+        assert sorted(map(str, got.collect())) == sorted(map(str, df.collect()))
+
+
+@pytest.mark.parametrize("name", ["example_top_industries"])
+def test_impact_joins_lines_and_orders_once(spark, name):
+    tables = Tables(spark, SF)
+    QUERIES[name].build(tables)
+    assert "sold_lines" in tables._built
