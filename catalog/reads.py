@@ -7,7 +7,7 @@ from collections import ChainMap
 from pyspark.sql import functions as F
 
 from catalog import marts as M
-from catalog.bound import by_nation
+from catalog.bound import by_nation, with_sold_lines
 from catalog.engine import bind, case, query
 from metricmart.operators.conform import union_all
 from metricmart.operators.filters import conform
@@ -224,7 +224,7 @@ WHERE commodity = 'electricity' AND year {_BETWEEN} AND market_share_pct_2024 IS
 """, d9=["renewable_pct"],
 )
 def renewable_share_mart(t):
-    return reads.renewable_share_from_mart(marts.market_context(t), FIRST, LAST)
+    return reads.renewable_share_from_mart(marts.market_context(with_sold_lines(t)), FIRST, LAST)
 
 
 @query(
@@ -243,7 +243,7 @@ GROUP BY 1 HAVING MAX(power_baseload_avg) IS NOT NULL
 """, d6=["power_gbp_mwh", "churn_ratio_avg"],
 )
 def power_price_mart(t):
-    mart = marts.market_context(t)
+    mart = marts.market_context(with_sold_lines(t))
     return reads.power_price_from_mart(mart, FIRST, LAST).join(reads.churn_annual(mart, FIRST, LAST), "year")
 
 
@@ -297,7 +297,7 @@ SELECT year, 'electricity' AS commodity, {_HHI} FROM (SELECT year, share_pct AS
 """, d6=["hhi_0_10000"],
 )
 def generation_hhi_mart(t):
-    return reads.generation_concentration_from_mart(marts.market_context(t), FIRST, LAST)
+    return reads.generation_concentration_from_mart(marts.market_context(with_sold_lines(t)), FIRST, LAST)
 
 
 @query(
@@ -470,7 +470,7 @@ UNION ALL (SELECT 'industry', NULL, industry_name, SUM(output_at_risk_gbp) FROM
 """, d0=["value"],
 )
 def impact(t):
-    mart = marts.economic_impact(t)
+    mart = marts.economic_impact(with_sold_lines(t))
     shape = [("source", "string"), ("year", "int"), ("code", "string"), ("value", "double")]
     region = reads.impact_by_region(mart, t["core_dim_geography"], FIRST, LAST, list(range(1, 26)))
     top = reads.top_industries(mart, FIRST, LAST, 3)
