@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog import marts as M
+from catalog.bound import with_sold_lines
 from catalog.engine import query
 from catalog.reads import FIRST, LAST, _BETWEEN
 from metricmart.operators import model, quality, stats
@@ -131,7 +132,7 @@ SELECT year, COUNT(*) AS rows, COUNT(intermediate_consumption_share) AS rows_wit
 """, d8=["avg_value", "coverage_pct"],
 )
 def input_share_coverage(t):
-    return analytics.input_share_coverage(marts.economic_impact(t))
+    return analytics.input_share_coverage(marts.economic_impact(with_sold_lines(t)))
 
 
 @query(

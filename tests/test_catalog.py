@@ -103,7 +103,7 @@ def test_supplier_and_type_sales_come_from_the_stored_lines(spark, tmp_path):
         assert sorted(map(str, got.collect())) == sorted(map(str, df.collect()))
 
 
-@pytest.mark.parametrize("name", ["example_top_industries", "read_impact"])
+@pytest.mark.parametrize("name", ["example_top_industries", "read_impact", "input_share_coverage"])
 def test_impact_joins_lines_and_orders_once(spark, name):
     tables = Tables(spark, SF)
     QUERIES[name].build(tables)
