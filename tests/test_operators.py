@@ -161,6 +161,21 @@ def test_member_interval_join_deals_a_large_result_to_many_tasks(spark):
     assert dealt.rdd.getNumPartitions() == 7 and "NestedLoop" not in plan_of(dealt)
 
 
+def test_member_interval_join_stores_a_large_result_in_few_bytes(spark, tmp_path):
+    """Each of 503 rows, three of them twice, with each of 2,003 intervals: every pair, in less than 0.3 bytes each."""
+    rows = spark.range(503).select(F.floor(F.col("id") * 7919 % 500), F.when(F.col("id") >= 0, "A"), F.lit(5).cast("long")).toDF("row", "member", "day")
+    periods = spark.range(2003).select(
+        F.floor(F.col("id") * 104729 % 2000), F.array(F.lit("A"), F.lit("B")), F.col("id") % 3 + 3, F.col("id") % 3 + 5
+    ).toDF("period", "members", "first_day", "last_day")
+    spec = {"members": "members", "start": "first_day", "end": "last_day", "how": "inner"}
+    found = joins.member_interval_join(rows, periods, "member", "day", **spec, bin_width=1, tasks=2)
+    found.select("row", "period", "first_day", "last_day").write.parquet(out := str(tmp_path / "pairs"))
+    pairs = spark.read.parquet(out)
+    expected = rows.crossJoin(periods).select("row", "period", "first_day", "last_day")
+    assert pairs.count() == 503 * 2003 and pairs.exceptAll(expected).isEmpty()
+    assert sum(p.stat().st_size for p in (tmp_path / "pairs").glob("*.parquet")) < 0.3 * 503 * 2003
+
+
 keys = st.one_of(st.none(), st.integers(0, 4))
 
 
